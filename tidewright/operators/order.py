@@ -99,16 +99,18 @@ def sort(df: DataFrame, cols) -> DataFrame:
     return df.orderBy(*_as_list(cols))
 
 
-def latest(df: DataFrame, key, ts: str) -> DataFrame:
+def latest(df: DataFrame, key, ts: str, nulls_last: bool = True) -> DataFrame:
     """The row with the greatest ``ts`` of each key.
 
     ``max`` of a struct combines before the shuffle, so a key with very many
     rows costs one row per task; a window would collect them. Columns after
-    ``ts`` break ties in column order.
+    ``ts`` break ties in column order. A missing ``ts`` counts as the oldest, or
+    as the newest with ``nulls_last=False``.
     """
     key = _as_list(key)
     rest = [ts, *[c for c in df.columns if c not in key and c != ts]]
-    best = df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row"))
+    missing = F.col(ts).isNull() if not nulls_last else F.lit(False)
+    best = df.groupBy(*key).agg(F.max(F.struct(missing.alias("_none"), *rest)).alias("_row"))
     return best.select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in df.columns])
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators.blocks import matrix
 from tidewright.operators.metrics import average_precision, mean_ap, query_costs, vote_share
+from tidewright.operators.order import cap_candidates
 from tidewright.operators.select import thin_candidates
 from tidewright.session import cut
 
@@ -123,12 +124,13 @@ class LshIndex:
         return self._pairs(queries, query, vec).select("query_id", "table_id", "img_id", "patch")
 
     def query(self, queries: DataFrame, k: int, c: float, subsample: float = 1.0, query: str = "query_id", vec: str = "vec",
-              compat: bool = False, seed: int = 0) -> DataFrame:
+              compat: bool = False, seed: int = 0, table_limit: int | None = None) -> DataFrame:
         """The ``k`` nearest of the vectors within ``c * R`` that share a bucket, one patch per image.
 
         An image stands by its nearest patch. ``compat`` takes the patch met
-        first (table, then patch order), even if that one is then too far, and
-        stops after ``5 k`` accepted candidates of the last table.
+        first (table, then patch order), even if that one is then too far.
+        ``table_limit`` ends the search of a table after so many accepted
+        candidates; without it the search is exact.
         """
         pairs = self._pairs(queries, query, vec)
         if subsample < 1.0:
@@ -136,14 +138,13 @@ class LshIndex:
         scored = pair_distance(pairs, "q_vec", "vec")
         near = F.col("dist") <= c * self.radius
         if compat:
-            # ``nsmallest`` by meeting order is a min of a struct and combines before the shuffle.
             met = scored.groupBy("query_id", "img_id").agg(F.min(F.struct("table_id", "patch", "dist", "label")).alias("_b"))
             one = met.select("query_id", "img_id", "_b.*").filter(near)
-            order = Window.partitionBy("query_id", "table_id").orderBy("img_id", "patch")
-            one = one.withColumn("_met", F.row_number().over(order)).filter(F.col("_met") <= 5 * k).drop("_met")
         else:
             best = scored.filter(near).groupBy("query_id", "img_id").agg(F.min(F.struct("dist", "patch", "table_id", "label")).alias("_b"))
             one = best.select("query_id", "img_id", "_b.*")
+        if table_limit is not None:
+            one = cap_candidates(one, ["query_id", "table_id"], ["img_id", "patch"], table_limit)
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "img_id", "patch"))
         ranked = one.withColumn("rank", rank).filter(F.col("rank") <= k)
         return ranked.select("query_id", "img_id", "patch", "label", "dist", "rank")

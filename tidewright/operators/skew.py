@@ -36,7 +36,7 @@ def slice_hot(
     if hot is None:
         return df.withColumn("_slice", F.lit(0)), False
     joined = match_on(df, hot.withColumn("_hot", F.lit(True)), keys, "left")
-    number = F.unix_micros(order) if dict(df.dtypes)[order].startswith("timestamp") else F.col(order)
+    number = F.unix_micros(F.col(order).cast("timestamp")) if dict(df.dtypes)[order].startswith("timestamp") else F.col(order)
     marked = joined.select(
         *df.columns,
         F.coalesce(F.col("_hot"), F.lit(False)).alias("_hot"),

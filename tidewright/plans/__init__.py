@@ -1 +1 @@
-"""See the module docstrings."""
+"""Whole flows put together from operators."""

@@ -1 +1 @@
-"""See the module docstrings."""
+"""Sources and sinks."""
