@@ -6,7 +6,6 @@ they share, so a crowded image is spread over many keys.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,7 +66,7 @@ def box_label_matrix(boxes: DataFrame, truth: DataFrame, classes, iou: float = 0
     hits = _class_pairs(boxes, truth, image, iou, False).groupBy(image, "box").agg(
         *[F.sum(F.when(F.col("class_name") == F.lit(c), F.col("copies"))).alias(f"_{i}") for i, c in enumerate(classes)]
     )
-    joined = boxes.join(hits.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
+    joined = boxes.select(image, "box_id", "bbox").join(hits.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
     value = [F.coalesce(F.col(f"_{i}"), F.lit(0)) for i in range(len(classes))]
     return joined.select(image, "box_id", *[
         (F.least(v, F.lit(1)) if capped else v).cast("int").alias(f"label_{c}") for v, c in zip(value, classes)
@@ -82,7 +81,7 @@ def box_label(boxes: DataFrame, truth: DataFrame, iou: float = 0.5, strict: bool
     first = met.join(order, [image, "class_name"]).groupBy(image, "box").agg(
         F.min_by("class_name", F.struct("class_pos", "class_name")).alias("class_name")
     )
-    joined = boxes.join(first.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
+    joined = boxes.select(image, "box_id", "bbox").join(first.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
     return joined.select(image, "box_id", F.coalesce("class_name", F.lit(background)).alias("class_name"))
 
 
@@ -125,28 +124,13 @@ def match_boxes(anchors: DataFrame, truth: DataFrame, iou: float = 0.5, force: b
     return best.select(image, "box_id", (-F.col("_b.col3")).alias("truth_id"), F.col("_b.iou").alias("iou"), F.col("_b.forced").alias("forced"))
 
 
-def _overlap(x, y, w, h, kx, ky, kw, kh):
+def _plain_iou(a, b):
     """IoU of plain edges, as detector post-processing uses it (no inclusive pixel)."""
-    inter_w = max(0.0, min(x + w, kx + kw) - max(x, kx))
-    inter_h = max(0.0, min(y + h, ky + kh) - max(y, ky))
+    inter_w = F.greatest(F.lit(0.0), F.least(a["x"] + a["w"], b["x"] + b["w"]) - F.greatest(a["x"], b["x"]))
+    inter_h = F.greatest(F.lit(0.0), F.least(a["y"] + a["h"], b["y"] + b["h"]) - F.greatest(a["y"], b["y"]))
     inter = inter_w * inter_h
-    union = w * h + kw * kh - inter
-    return inter / union if union > 0 else 0.0
-
-
-def _greedy(iou: float, limit: int):
-    def keep(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["score", "det_id"], ascending=[False, True])
-        kept, rows = [], []
-        for pos, row in enumerate(frame[["x", "y", "w", "h"]].itertuples(index=False)):
-            if all(_overlap(*row, *k) <= iou for k in kept):
-                kept.append(row)
-                rows.append(pos)
-                if len(kept) == limit:
-                    break
-        return frame.iloc[rows]
-
-    return keep
+    union = a["w"] * a["h"] + b["w"] * b["h"] - inter
+    return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
 
 
 def nms(det: DataFrame, iou: float = 0.6, per_class: int = 100, total: int = 100, score_threshold: float = 0.0,
@@ -159,74 +143,92 @@ def nms(det: DataFrame, iou: float = 0.6, per_class: int = 100, total: int = 100
     since each round keeps at least one box, ``per_class`` rounds are enough.
     Usually the first suffices. ``det`` has det_id, score and bbox.
     """
-    cols = [image, cls, "det_id", "score", "x", "y", "w", "h"]
-    rest = cut(det.filter(F.col("score") > score_threshold).select(image, cls, "det_id", "score", "bbox.*"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.select(*cols).schema)
-    rank = F.row_number().over(Window.partitionBy(image, cls).orderBy(F.col("score").desc(), "det_id"))
+    rest = cut(det.filter(F.col("score") > score_threshold).select(
+        image, cls, "det_id", "score", F.struct(*[F.col(f"bbox.{n}").cast("double").alias(n) for n in "xywh"]).alias("box")
+    ))
+    best_first = Window.partitionBy(image, cls).orderBy(F.col("score").desc(), "det_id")
+    item = F.struct((-F.col("score")).alias("order"), "det_id", "box")
+    empty = F.array().cast(f"array<struct<order: double, det_id: {dict(det.dtypes)['det_id']}, box: struct<x: double, y: double, w: double, h: double>>>")
+
+    def add(kept, new):
+        clash = F.exists(kept, lambda k: _plain_iou(k["box"], new["box"]) > iou)
+        return F.when(clash | (F.size(kept) >= per_class), kept).otherwise(F.array_append(kept, new))
+
     kept = None
     for _ in range(per_class):
-        ranked = rest.select(*cols).withColumn("_rank", rank)
-        first = ranked.filter(F.col("_rank") <= block).drop("_rank")
-        found = first.groupBy(image, cls).applyInPandas(_greedy(iou, per_class), schema)
-        kept = cut(found if kept is None else kept.unionByName(found))
-        limits = kept.groupBy(image, cls).agg(
-            F.count(F.lit(1)).alias("_n"), F.collect_list(F.struct("x", "y", "w", "h")).alias("_kept")
-        )  # at most ``per_class`` boxes per group and round
-        floor = first.groupBy(image, cls).agg(F.min(F.struct("score", -F.col("det_id"))).alias("_floor"))
-        open_groups = limits.filter(F.col("_n") < per_class).join(floor, [image, cls])
-        below = F.struct(F.col("score"), -F.col("det_id")) < F.col("_floor")
-        clear = ~F.exists("_kept", lambda k: _plain_iou(k) > iou)
-        rest = cut(rest.select(*cols).join(open_groups, [image, cls]).filter(below & clear).select(*cols))
-        if rest.isEmpty():
+        ranked = rest.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= block)
+        groups = ranked.groupBy(image, cls).agg(
+            F.sort_array(F.collect_list(item)).alias("_items"), F.count(F.lit(1)).alias("_n")
+        )  # at most ``block`` boxes
+        resolved = groups.select(
+            image, cls, F.aggregate("_items", empty, add).alias("_kept"),
+            (F.col("_n") >= block).alias("_more"), F.element_at("_items", -1).alias("_last"),
+        )
+        if kept is not None:
+            resolved = resolved.unionByName(kept.withColumns({"_more": F.lit(False), "_last": F.lit(None).cast(dict(resolved.dtypes)["_last"])}))
+        merged = cut(resolved.groupBy(image, cls).agg(
+            F.slice(F.array_sort(F.flatten(F.collect_list("_kept"))), 1, per_class).alias("_kept"),
+            F.max("_more").alias("_more"), F.max("_last").alias("_last"),
+        ))  # one array per round and group
+        kept = merged.select(image, cls, "_kept")
+        still = merged.filter(F.col("_more") & (F.size("_kept") < per_class))
+        if still.isEmpty():
             break
-    per = kept.withColumn("_rank", rank).filter(F.col("_rank") <= per_class).drop("_rank")
+        beyond = (-F.col("score") > F.col("_last.order")) | ((-F.col("score") == F.col("_last.order")) & (F.col("det_id") > F.col("_last.det_id")))
+        clear = ~F.exists("_kept", lambda k: _plain_iou(k["box"], F.col("box")) > iou)
+        rest = cut(rest.join(still, [image, cls]).filter(beyond & clear).select(*rest.columns))
+    rows = kept.select(image, cls, F.explode("_kept").alias("_k")).select(image, cls, "_k.det_id", (-F.col("_k.order")).alias("score"))
     over_all = F.row_number().over(Window.partitionBy(image).orderBy(F.col("score").desc(), cls, "det_id"))
-    top = per.withColumn("_rank", over_all).filter(F.col("_rank") <= total)
-    return top.select(image, cls, "det_id", "score")
-
-
-def _plain_iou(k):
-    inter_w = F.greatest(F.lit(0.0), F.least(F.col("x") + F.col("w"), k["x"] + k["w"]) - F.greatest(F.col("x"), k["x"]))
-    inter_h = F.greatest(F.lit(0.0), F.least(F.col("y") + F.col("h"), k["y"] + k["h"]) - F.greatest(F.col("y"), k["y"]))
-    inter = inter_w * inter_h
-    union = F.col("w") * F.col("h") + k["w"] * k["h"] - inter
-    return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
-
-
-def _assign(frame: pd.DataFrame) -> pd.DataFrame:
-    """Detections by falling score take their best annotation that is still free."""
-    frame = frame.sort_values(["score", "det_id", "iou", "truth_id"], ascending=[False, True, False, True])
-    taken, done, hits = set(), set(), []
-    for det, truth in zip(frame.det_id, frame.truth_id):
-        if det not in done and truth not in taken:
-            taken.add(truth)
-            done.add(det)
-            hits.append(det)
-    return pd.DataFrame({"img_id": frame.img_id.iloc[0], "class_name": frame.class_name.iloc[0], "det_id": hits})
+    return rows.withColumn("_rank", over_all).filter(F.col("_rank") <= total).drop("_rank")
 
 
-def detection_hits(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int = 100) -> DataFrame:
-    """The best ``per_image`` detections of each image and class, with 1 for a hit and 0 for a false alarm.
+def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int) -> tuple[DataFrame, DataFrame]:
+    """The best detections of each image and class, and the annotations each of them meets.
 
-    Of the annotations a detection meets only its best ``per_image`` can matter,
-    because fewer detections come before it; so a group has a fixed size.
+    Of these only the best ``per_image`` of a detection can matter, because
+    fewer detections come before it; so a group has a fixed size.
     """
-    group = Window.partitionBy("img_id", "class_name")
-    ranked = det.withColumn("_rank", F.row_number().over(group.orderBy(F.col("score").desc(), "det_id")))
-    best = ranked.filter(F.col("_rank") <= per_image).drop("_rank")
-    pairs = box_pairs(best, truth, "img_id", iou)
+    group = Window.partitionBy("img_id", "class_name").orderBy(F.col("score").desc(), "det_id")
+    best = det.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= per_image).drop("_rank")
     met = (
-        pairs.join(best.withColumnRenamed("bbox", "box"), ["img_id", "box"])
+        box_pairs(best, truth, "img_id", iou)
+        .join(best.withColumnRenamed("bbox", "box"), ["img_id", "box"])
         .join(truth.select("img_id", "class_name", F.col("bbox").alias("truth"), "truth_id"), ["img_id", "class_name", "truth"])
         .select("img_id", "class_name", "det_id", "score", "truth_id", "iou")
     )
     per_det = Window.partitionBy("img_id", "class_name", "det_id").orderBy(F.col("iou").desc(), "truth_id")
     near = met.withColumn("_rank", F.row_number().over(per_det)).filter(F.col("_rank") <= per_image).drop("_rank")
-    hits = near.groupBy("img_id", "class_name").applyInPandas(_assign, "img_id long, class_name string, det_id long")
-    return best.join(hits.withColumn("hit", F.lit(1)), ["img_id", "class_name", "det_id"], "left").select(
-        "img_id", "class_name", "det_id", "score", F.coalesce("hit", F.lit(0)).alias("hit")
+    return best, near
+
+
+def _assigned(near: DataFrame) -> DataFrame:
+    """Detections that get an annotation: by falling score, each takes its best one still free."""
+    item = F.struct((-F.col("score")).alias("order"), "det_id", (-F.col("iou")).alias("iou"), "truth_id")
+    kind = dict(near.dtypes)
+    start = F.struct(
+        F.array().cast(f"array<{kind['det_id']}>").alias("dets"), F.array().cast(f"array<{kind['truth_id']}>").alias("truths")
     )
 
+    def take(state, pair):
+        free = ~F.array_contains(state["dets"], pair["det_id"]) & ~F.array_contains(state["truths"], pair["truth_id"])
+        taken = F.struct(
+            F.array_append(state["dets"], pair["det_id"]).alias("dets"), F.array_append(state["truths"], pair["truth_id"]).alias("truths")
+        )
+        return F.when(free, taken).otherwise(state)
+
+    groups = near.groupBy("img_id", "class_name").agg(F.sort_array(F.collect_list(item)).alias("_p"))
+    return groups.select("img_id", "class_name", F.explode(F.aggregate("_p", start, take)["dets"]).alias("det_id"), F.lit(1).alias("hit"))
+
+
+def _with_hits(best: DataFrame, near: DataFrame) -> DataFrame:
+    joined = best.join(_assigned(near), ["img_id", "class_name", "det_id"], "left")
+    return joined.select("img_id", "class_name", "det_id", "score", F.coalesce("hit", F.lit(0)).alias("hit"))
+
+
+def detection_hits(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int = 100) -> DataFrame:
+    """The best ``per_image`` detections of each image and class, with 1 for a hit and 0 for a false alarm."""
+    return _with_hits(*_near_pairs(det, truth, iou, per_image))
+
 
 def _step_precision(hits: DataFrame, truth: DataFrame) -> DataFrame:
     """Average precision by class with recall over all annotations, found or not."""
@@ -248,9 +250,15 @@ def detection_map(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image:
 
 
 def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_image: int = 100) -> DataFrame:
-    """Mean AP at each IoU limit; their mean is the headline figure."""
+    """Mean AP at each IoU limit; their mean is the headline figure.
+
+    Pairs are found once for the lowest limit. They are ordered by IoU, so the
+    pairs of a higher limit are the first of them.
+    """
+    best, near = (cut(f) for f in _near_pairs(det, truth, min(limits), per_image))
     out = None
     for limit in limits:
-        row = mean_ap(detection_map(det, truth, limit, per_image)).select(F.lit(limit).alias("iou"), "map")
+        hits = _with_hits(best, near.filter(F.col("iou") >= limit))
+        row = mean_ap(_step_precision(hits, truth)).select(F.lit(limit).alias("iou"), "map")
         out = row if out is None else out.unionByName(row)
     return out

@@ -139,13 +139,13 @@ CTE = {
     "boxes": """boxes AS (SELECT img_id, truth_id AS box_id, class_name,
         x + truth_id % 3 * 6 AS x, y + truth_id % 5 * 3 AS y, w, h FROM annotations)""",
     "detections": """detections AS (SELECT img_id, class_name, box_id AS det_id, (box_id * 7919 % 1009) / 1009.0::DOUBLE AS score, x, y, w, h FROM boxes)""",
-    "pairs": """overlaps AS (SELECT b.img_id, b.box_id, t.truth_id, t.class_name,
+    "pairs": """crossing AS (SELECT b.img_id, b.box_id, t.truth_id, t.class_name,
             greatest(b.x, t.x) AS x0, least(b.x + b.w, t.x + t.w) AS x1, greatest(b.y, t.y) AS y0, least(b.y + b.h, t.y + t.h) AS y1,
             (b.w + 1) * (b.h + 1) + (t.w + 1) * (t.h + 1) AS areas
         FROM boxes b JOIN annotations t ON b.img_id = t.img_id),
         pairs AS (SELECT img_id, box_id, truth_id, class_name,
             (x1 - x0 + 1) * (y1 - y0 + 1) / (areas - (x1 - x0 + 1) * (y1 - y0 + 1)) AS iou
-        FROM overlaps WHERE x1 >= x0 AND y1 >= y0)""",
+        FROM crossing WHERE x1 >= x0 AND y1 >= y0)""",
     "images": """images AS (SELECT o_orderkey AS img_id, CAST(200 + o_orderkey % 5 * 50 AS INTEGER) AS width,
         CAST(240 + o_orderkey % 3 * 40 AS INTEGER) AS height FROM orders)""",
     "series": """series AS (SELECT user_id AS series_id, ts, event_id, value, CAST(event_type = 'error' AS INTEGER) AS cloud,

@@ -36,7 +36,9 @@ def fixed_decimals(df: DataFrame, decimals: int) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, decimals: int, mode: str = "errorifexists") -> None:
-    fixed_decimals(df, decimals).write.mode(mode).csv(path, header=True)
+    """CSV with a header; times keep their microseconds."""
+    pattern = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    fixed_decimals(df, decimals).write.mode(mode).options(timestampFormat=pattern, timestampNTZFormat=pattern).csv(path, header=True)
 
 
 def submission(df: DataFrame, id: str, score: str) -> DataFrame:
