@@ -163,71 +163,80 @@ def centre(tiles: DataFrame) -> DataFrame:
     return cut(joined.mapInPandas(shift, "bi int, bj int, ids_i array<long>, ids_j array<long>, tile array<double>"))
 
 
-def _orthonormal(z: DataFrame, d: int) -> tuple[DataFrame, np.ndarray]:
-    """Q and R of a tall matrix held as blocks: only the d x d Gram matrix reaches the driver."""
+def _grams(z: DataFrame, old: DataFrame, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """``Z'Z`` and ``Z'Z_old`` of two tall matrices held as blocks; two d x d matrices reach the driver."""
+    joined = z.join(old.select("b", F.col("q").alias("old")), "b").select("q", "old")
+
     def partial(frames):
-        total = np.zeros((d, d))
+        total = np.zeros((2, d, d))
         for f in frames:
-            for q in f.q:
+            for q, o in zip(f.q, f.old):
                 x = q.reshape(-1, d)
-                total += x.T @ x
+                total += np.stack([x.T @ x, x.T @ o.reshape(-1, d)])
         yield pd.DataFrame({"g": [total.ravel()]})
 
-    parts = z.select("q").mapInPandas(partial, "g array<double>")
+    parts = joined.mapInPandas(partial, "g array<double>")
     sums = parts.select(F.posexplode("g").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()
-    g = np.zeros(d * d)
+    g = np.zeros(2 * d * d)
     for row in sums:
         g[row["k"]] = row["v"]
-    g = g.reshape(d, d)
-    r = np.linalg.cholesky(g + np.eye(d) * np.trace(g) * 1e-15).T
-    inverse = np.linalg.inv(r)
+    return g.reshape(2, d, d)[0], g.reshape(2, d, d)[1]
 
-    def solve(frames):
-        for f in frames:
-            yield f.assign(q=[(q.reshape(-1, d) @ inverse).ravel() for q in f.q])
 
-    return z.mapInPandas(solve, "b int, ids array<long>, q array<double>"), r
+def _factor(g: np.ndarray) -> np.ndarray:
+    """Upper R with positive diagonal and ``R'R = g``."""
+    return np.linalg.cholesky(g + np.eye(len(g)) * np.trace(g) * 1e-15).T
+
+
+MAX_BROADCAST = 64 << 20
 
 
 def power_pca(centred: DataFrame, d: int, tol: float = 1e-3, max_iter: int = 1000, seed: int = 0):
     """Leading ``d`` eigenvalues and components by orthogonal power iteration.
 
-    Returns the values (a list) and a frame ``id, component``. Each round is one
-    join of tiles with the blocks of Q and a sum per block; the d x d factor is
-    all the driver sees. Rounds are checkpointed.
+    Returns the values (a list) and a frame ``id, component``. A round multiplies
+    the tiles with the blocks of Q and sums per block; Q itself is kept as
+    ``Z inv(R)`` with a d x d factor R, the only thing the driver sees. Q is
+    broadcast while its known size is small, so that the tiles stay where they
+    are. Rounds are checkpointed.
     """
     members = centred.filter("bj = 0").select(F.col("bi").alias("b"), F.col("ids_i").alias("ids"))
     start = F.flatten(F.transform("ids", lambda i: F.array(*[hash_unit(seed, F.lit(c), i) for c in range(d)])))
-    q, _ = _orthonormal(members.select("b", "ids", start.alias("q")), d)
-    q = cut(q)
-
-    def multiply(frames):
-        for f in frames:
-            out = [
-                (t.reshape(len(a), -1) @ v.reshape(-1, d)).ravel()
-                for t, a, v in zip(f.tile, f.ids_i, f.q)
-            ]
-            yield pd.DataFrame({"b": f.bi, "ids": f.ids_i, "part": out})
+    z = cut(members.select("b", "ids", start.alias("q")))
+    points = z.agg(F.sum(F.size("ids"))).first()[0] or 0
+    small = points * d * 8 <= MAX_BROADCAST
+    g, _ = _grams(z, z, d)
+    inverse = np.linalg.inv(_factor(g))
 
     values = []
     for _ in range(max_iter):
-        joined = centred.join(q.select(F.col("b").alias("bj"), "q"), "bj").select("bi", "ids_i", "tile", "q")
-        parts = joined.mapInPandas(multiply, "b int, ids array<long>, part array<double>")
+        blocks = z.select(F.col("b").alias("bj"), "q")
+        joined = centred.join(F.broadcast(blocks) if small else blocks, "bj").select("bi", "ids_i", "tile", "q")
+
+        def multiply(frames, inverse=inverse):
+            sums, ids = {}, {}
+            for f in frames:
+                for b, a, t, v in zip(f.bi, f.ids_i, f.tile, f.q):
+                    part = t.reshape(len(a), -1) @ (v.reshape(-1, d) @ inverse)
+                    sums[b] = sums[b] + part if b in sums else part
+                    ids[b] = a
+            if sums:
+                yield pd.DataFrame({"b": list(sums), "ids": list(ids.values()), "part": [s.ravel() for s in sums.values()]})
 
         def add(frame: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"b": frame.b[:1], "ids": frame.ids[:1], "q": [np.sum(np.stack(frame.part), axis=0)]})
 
-        # One row per column block, so at most MAX_POINTS / block short rows per group.
-        z = cut(parts.groupBy("b").applyInPandas(add, "b int, ids array<long>, q array<double>"))
-        fresh, r = _orthonormal(z, d)
-        fresh = cut(fresh)
-        moved = fresh.join(q.select("b", F.col("q").alias("old")), "b").select(
-            F.aggregate(F.zip_with("q", "old", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v).alias("e")
-        ).agg(F.sum("e")).first()[0]
-        q, values = fresh, np.diag(r).tolist()
+        # At most one short row per task and block.
+        parts = joined.mapInPandas(multiply, "b int, ids array<long>, part array<double>")
+        fresh = cut(parts.groupBy("b").applyInPandas(add, "b int, ids array<long>, q array<double>"))
+        g, cross = _grams(fresh, z, d)
+        r = _factor(g)
+        fresh_inverse = np.linalg.inv(r)
+        # Both Q are orthonormal, so their squared difference needs only their inner products.
+        moved = 2 * d - 2 * np.trace(fresh_inverse.T @ cross @ inverse)
+        z, inverse, values = fresh, fresh_inverse, np.diag(r).tolist()
         if moved < tol:
             break
-    rows = q.select(F.posexplode("ids").alias("p", "id"), "q").select(
-        "id", F.slice("q", F.col("p") * d + 1, d).alias("component")
-    )
-    return values, rows
+    rows = z.select(F.posexplode("ids").alias("p", "id"), "q").select("id", F.slice("q", F.col("p") * d + 1, d).alias("_z"))
+    component = [sum((F.get("_z", F.lit(k)) * float(inverse[k, c]) for k in range(d)), F.lit(0.0)) for c in range(d)]
+    return values, rows.select("id", F.array(*component).alias("component"))

@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.functions.geometry import box_iou
 from tidewright.operators.metrics import average_precision, mean_ap
 from tidewright.session import cut
 
 CELL = 64.0
 
 
-def _cells(df: DataFrame, box: str, image: str, cell: float) -> DataFrame:
-    """One row for each grid cell a box touches."""
-    def span(lo, size):
-        return F.sequence(F.floor(F.col(box)[lo] / cell), F.floor((F.col(box)[lo] + F.col(box)[size]) / cell))
-
-    return df.select("*", F.explode(span("x", "w")).alias("_cx")).select("*", F.explode(span("y", "h")).alias("_cy"))
+def _cells(df: DataFrame, box: str, image: str, cell: float, side: str) -> DataFrame:
+    """Distinct boxes, one row for each grid cell they touch, with their edges as plain columns."""
+    b = F.col(box)
+    edges = {"x0": b["x"], "y0": b["y"], "x1": b["x"] + b["w"], "y1": b["y"] + b["h"], "area": (b["w"] + 1) * (b["h"] + 1)}
+    plain = df.select(image, box).distinct().select(image, box, *[e.alias(f"{side}_{n}") for n, e in edges.items()])
+    span = [F.sequence(F.floor(F.col(f"{side}_{lo}") / cell), F.floor(F.col(f"{side}_{hi}") / cell)) for lo, hi in (("x0", "x1"), ("y0", "y1"))]
+    return plain.select("*", F.explode(span[0]).alias("_cx")).select("*", F.explode(span[1]).alias("_cy"))
 
 
 def box_pairs(boxes: DataFrame, truth: DataFrame, image: str = "img_id", min_iou: float = 0.0, cell: float = CELL) -> DataFrame:
@@ -31,19 +31,17 @@ def box_pairs(boxes: DataFrame, truth: DataFrame, image: str = "img_id", min_iou
     overlap. With ``min_iou`` boxes of too different size are left out before
     the IoU is computed. Columns: image, ``box``, ``truth``, ``iou``.
     """
-    left = _cells(boxes.select(image, F.col("bbox").alias("box")).distinct(), "box", image, cell)
-    right = _cells(truth.select(image, F.col("bbox").alias("truth")).distinct(), "truth", image, cell)
-    a, b = F.col("box"), F.col("truth")
-    here = (F.floor(F.greatest(a["x"], b["x"]) / cell) == F.col("_cx")) & (
-        F.floor(F.greatest(a["y"], b["y"]) / cell) == F.col("_cy")
-    )
-    joined = left.join(right, [image, "_cx", "_cy"]).filter(here)
+    left = _cells(boxes.select(image, F.col("bbox").alias("box")), "box", image, cell, "a")
+    right = _cells(truth.select(image, F.col("bbox").alias("truth")), "truth", image, cell, "b")
+    x0, y0 = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
+    x1, y1 = F.least("a_x1", "b_x1"), F.least("a_y1", "b_y1")
+    here = (F.floor(x0 / cell) == F.col("_cx")) & (F.floor(y0 / cell) == F.col("_cy"))
+    joined = left.join(right, [image, "_cx", "_cy"]).filter((x1 >= x0) & (y1 >= y0) & here)
     if min_iou > 0:
-        for size in ("w", "h"):
-            one, two = a[size] + 1, b[size] + 1
-            joined = joined.filter(F.least(one, two) >= min_iou * (1 - 1e-9) * F.greatest(one, two))
-    scored = joined.select(image, "box", "truth", box_iou("box", "truth").alias("iou"))
-    return scored.filter((F.col("iou") > 0) & (F.col("iou") >= min_iou))
+        joined = joined.filter(F.least("a_area", "b_area") >= min_iou * (1 - 1e-9) * F.greatest("a_area", "b_area"))
+    inter = (x1 - x0 + 1) * (y1 - y0 + 1)
+    iou = inter / (F.col("a_area") + F.col("b_area") - inter)
+    return joined.filter(iou >= min_iou).select(image, "box", "truth", iou.alias("iou"))
 
 
 def _truth_groups(truth: DataFrame, image: str) -> DataFrame:

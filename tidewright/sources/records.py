@@ -18,13 +18,14 @@ ANNOTATION_SCHEMA = """
 """
 
 
-def read_annotations(spark: SparkSession, path) -> tuple[DataFrame, DataFrame, DataFrame]:
+def read_annotations(spark: SparkSession, path, multi_line: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Images, annotations and categories of nested JSON documents.
 
     ``position`` is the annotation's place in its document. Documents are the
-    unit of parallel reading, so a large set should come as many.
+    unit of parallel reading, so a large set should come as many; with
+    ``multi_line=False`` each line is a document and files are split.
     """
-    docs = spark.read.schema(ANNOTATION_SCHEMA).json(path, multiLine=True)
+    docs = spark.read.schema(ANNOTATION_SCHEMA).json(path, multiLine=multi_line)
     images = docs.select(F.explode("images").alias("i")).select(
         F.col("i.id").alias("img_id"), "i.file_name", "i.width", "i.height"
     )
