@@ -122,9 +122,9 @@ def centred_kernel_energy(spark, folder):
 @query()
 def kernel_components(spark, folder):
     centred = centre(rbf_kernel(vectors(spark, folder), "vec_id", "vec", 0.8, 128))
-    return power_pca(centred, 3, max_iter=30)[1]
+    return power_pca(centred, 3, max_iter=10)[1]
 
 
 @query()
 def error_by_width(spark, folder):
-    return sigma_sweep(vectors(spark, folder), "vec_id", "vec", "label", [1, 3], [0.8, 1.6], max_iter=15, softmax_iter=20)
+    return sigma_sweep(vectors(spark, folder), "vec_id", "vec", "label", [1, 3], [0.8, 1.6], max_iter=6, softmax_iter=20)
