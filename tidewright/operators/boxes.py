@@ -12,59 +12,77 @@ from pyspark.sql import functions as F
 from tidewright.operators.metrics import average_precision, mean_ap
 from tidewright.session import cut
 
-CELL = 64.0
+# Side of a grid cell in pixels, a few times a usual box: smaller cells copy a box
+# more often, larger ones compare more boxes of a crowded image.
+CELL = 256.0
 
 
-def _cells(df: DataFrame, box: str, image: str, cell: float, side: str) -> DataFrame:
-    """Distinct boxes, one row for each grid cell they touch, with their edges as plain columns."""
-    b = F.col(box)
-    edges = {"x0": b["x"], "y0": b["y"], "x1": b["x"] + b["w"], "y1": b["y"] + b["h"], "area": (b["w"] + 1) * (b["h"] + 1)}
-    plain = df.select(image, box).distinct().select(image, box, *[e.alias(f"{side}_{n}") for n, e in edges.items()])
-    span = [F.sequence(F.floor(F.col(f"{side}_{lo}") / cell), F.floor(F.col(f"{side}_{hi}") / cell)) for lo, hi in (("x0", "x1"), ("y0", "y1"))]
-    return plain.select("*", F.explode(span[0]).alias("_cx")).select("*", F.explode(span[1]).alias("_cy"))
+SIDES = ("x", "y", "w", "h")
+
+
+def _flat(df: DataFrame, side: str, image: str, *cols) -> DataFrame:
+    """Box coordinates as plain columns ``a_x`` .. ``a_h``: cheaper join keys than a struct."""
+    return df.select(image, *[F.col(f"bbox.{n}").cast("double").alias(f"{side}_{n}") for n in SIDES], *cols)
+
+
+def _on(side: str, image: str) -> list[str]:
+    return [image, *[f"{side}_{n}" for n in SIDES]]
+
+
+def _cells(df: DataFrame, side: str, image: str, cell: float) -> DataFrame:
+    """Distinct boxes, one row for each grid cell they touch."""
+    x, y, w, h = (F.col(f"{side}_{n}") for n in SIDES)
+    plain = _flat(df, side, image).distinct()
+    across = plain.select("*", F.explode(F.sequence(F.floor(x / cell), F.floor((x + w) / cell))).alias("_cx"))
+    return across.select("*", F.explode(F.sequence(F.floor(y / cell), F.floor((y + h) / cell))).alias("_cy"))
+
+
+def _pairs(boxes: DataFrame, truth: DataFrame, image: str, min_iou: float, cell: float = CELL) -> DataFrame:
+    """Overlapping pairs as plain coordinates ``a_*`` and ``b_*`` with their IoU."""
+    joined = _cells(boxes, "a", image, cell).join(_cells(truth, "b", image, cell), [image, "_cx", "_cy"])
+    ax, ay, aw, ah = (F.col(f"a_{n}") for n in SIDES)
+    bx, by, bw, bh = (F.col(f"b_{n}") for n in SIDES)
+    x0, y0 = F.greatest(ax, bx), F.greatest(ay, by)
+    x1, y1 = F.least(ax + aw, bx + bw), F.least(ay + ah, by + bh)
+    here = (F.floor(x0 / cell) == F.col("_cx")) & (F.floor(y0 / cell) == F.col("_cy"))
+    areas = [(aw + 1) * (ah + 1), (bw + 1) * (bh + 1)]
+    joined = joined.filter((x1 >= x0) & (y1 >= y0) & here)
+    if min_iou > 0:
+        joined = joined.filter(F.least(*areas) >= min_iou * (1 - 1e-9) * F.greatest(*areas))
+    inter = (x1 - x0 + 1) * (y1 - y0 + 1)
+    iou = inter / (areas[0] + areas[1] - inter)
+    return joined.filter(iou >= min_iou).select(*_on("a", image), *_on("b", image)[1:], iou.alias("iou"))
 
 
 def box_pairs(boxes: DataFrame, truth: DataFrame, image: str = "img_id", min_iou: float = 0.0, cell: float = CELL) -> DataFrame:
     """Pairs of a box and an annotation of the same image that overlap, with their IoU.
 
     Each pair is reported only by the cell that holds the top-left corner of the
-    overlap. With ``min_iou`` boxes of too different size are left out before
+    overlap. With ``min_iou`` boxes of too different area are left out before
     the IoU is computed. Columns: image, ``box``, ``truth``, ``iou``.
     """
-    left = _cells(boxes.select(image, F.col("bbox").alias("box")), "box", image, cell, "a")
-    right = _cells(truth.select(image, F.col("bbox").alias("truth")), "truth", image, cell, "b")
-    x0, y0 = F.greatest("a_x0", "b_x0"), F.greatest("a_y0", "b_y0")
-    x1, y1 = F.least("a_x1", "b_x1"), F.least("a_y1", "b_y1")
-    here = (F.floor(x0 / cell) == F.col("_cx")) & (F.floor(y0 / cell) == F.col("_cy"))
-    joined = left.join(right, [image, "_cx", "_cy"]).filter((x1 >= x0) & (y1 >= y0) & here)
-    if min_iou > 0:
-        joined = joined.filter(F.least("a_area", "b_area") >= min_iou * (1 - 1e-9) * F.greatest("a_area", "b_area"))
-    inter = (x1 - x0 + 1) * (y1 - y0 + 1)
-    iou = inter / (F.col("a_area") + F.col("b_area") - inter)
-    return joined.filter(iou >= min_iou).select(image, "box", "truth", iou.alias("iou"))
-
+    def packed(side, name):
+        return F.struct(*[F.col(f"{side}_{n}").alias(n) for n in SIDES]).alias(name)
 
-def _truth_groups(truth: DataFrame, image: str) -> DataFrame:
-    """Annotations with equal box and class counted once, with their first position."""
-    return truth.groupBy(image, F.col("bbox").alias("truth"), "class_name").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("position").alias("first_pos")
-    )
+    return _pairs(boxes, truth, image, min_iou, cell).select(image, packed("a", "box"), packed("b", "truth"), "iou")
 
 
 def _class_pairs(boxes, truth, image, iou, strict):
-    pairs = box_pairs(boxes, truth, image, iou)
+    """Pairs with each class that is annotated at the place, equal annotations counted once."""
+    pairs = _pairs(boxes, truth, image, iou)
     if strict:
         pairs = pairs.filter(F.col("iou") > iou)
-    return pairs.join(_truth_groups(truth, image), [image, "truth"])
+    groups = _flat(truth, "b", image, "class_name").groupBy(*_on("b", image), "class_name").agg(F.count(F.lit(1)).alias("copies"))
+    return pairs.join(groups, _on("b", image))
 
 
 def box_label_matrix(boxes: DataFrame, truth: DataFrame, classes, iou: float = 0.5, capped: bool = True,
                      image: str = "img_id") -> DataFrame:
     """One 0/1 column per class: does the box meet an annotation of it (count when not capped)?"""
-    hits = _class_pairs(boxes, truth, image, iou, False).groupBy(image, "box").agg(
+    hits = _class_pairs(boxes, truth, image, iou, False).groupBy(*_on("a", image)).agg(
         *[F.sum(F.when(F.col("class_name") == F.lit(c), F.col("copies"))).alias(f"_{i}") for i, c in enumerate(classes)]
     )
-    joined = boxes.select(image, "box_id", "bbox").join(hits.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
+    joined = _flat(boxes, "a", image, "box_id").join(hits, _on("a", image), "left")
     value = [F.coalesce(F.col(f"_{i}"), F.lit(0)) for i in range(len(classes))]
     return joined.select(image, "box_id", *[
         (F.least(v, F.lit(1)) if capped else v).cast("int").alias(f"label_{c}") for v, c in zip(value, classes)
@@ -75,12 +93,10 @@ def box_label(boxes: DataFrame, truth: DataFrame, iou: float = 0.5, strict: bool
               background: str = "background", image: str = "img_id") -> DataFrame:
     """Class of each box: of the classes met above ``iou``, the one annotated first in its image."""
     order = truth.groupBy(image, "class_name").agg(F.min("position").alias("class_pos"))
-    met = _class_pairs(boxes, truth, image, iou, strict).select(image, "box", "class_name").distinct()
-    first = met.join(order, [image, "class_name"]).groupBy(image, "box").agg(
-        F.min_by("class_name", F.struct("class_pos", "class_name")).alias("class_name")
-    )
-    joined = boxes.select(image, "box_id", "bbox").join(first.withColumnRenamed("box", "bbox"), [image, "bbox"], "left")
-    return joined.select(image, "box_id", F.coalesce("class_name", F.lit(background)).alias("class_name"))
+    met = _class_pairs(boxes, truth, image, iou, strict).join(order, [image, "class_name"])
+    first = met.groupBy(*_on("a", image)).agg(F.min(F.struct("class_pos", "class_name")).alias("_first"))
+    joined = _flat(boxes, "a", image, "box_id").join(first, _on("a", image), "left")
+    return joined.select(image, "box_id", F.coalesce("_first.class_name", F.lit(background)).alias("class_name"))
 
 
 def boxes_per_image(images: DataFrame, boxes: DataFrame, image: str = "img_id") -> DataFrame:
@@ -97,29 +113,30 @@ def match_boxes(anchors: DataFrame, truth: DataFrame, iou: float = 0.5, force: b
     claim wins. Ties go to the smaller id. ``best`` aggregates combine before
     the shuffle.
     """
-    pairs = box_pairs(anchors, truth, image, 0.0 if force else iou)
-    a = anchors.select(image, F.col("bbox").alias("box"), "box_id")
-    t = truth.select(image, F.col("bbox").alias("truth"), "truth_id")
-    first_truth = t.groupBy(image, "truth").agg(F.min("truth_id").alias("truth_id"))
-    first_box = a.groupBy(image, "box").agg(F.min("box_id").alias("box_id"))
+    a = _flat(anchors, "a", image, "box_id")
+    t = _flat(truth, "b", image, "truth_id")
+    first_truth = t.groupBy(*_on("b", image)).agg(F.min("truth_id").alias("truth_id"))
+    first_box = a.groupBy(*_on("a", image)).agg(F.min("box_id").alias("box_id"))
+    pairs = _pairs(anchors, truth, image, 0.0 if force else iou).join(first_truth, _on("b", image)).join(first_box, _on("a", image))
+    if force:
+        pairs = cut(pairs)  # read twice: once per box, once per annotation
     own = (
-        pairs.filter(F.col("iou") >= iou).join(first_truth, [image, "truth"])
-        .groupBy(image, "box").agg(F.max(F.struct("iou", -F.col("truth_id"))).alias("_b"))
+        pairs.filter(F.col("iou") >= iou)
+        .groupBy(*_on("a", image)).agg(F.max(F.struct("iou", (-F.col("truth_id")).alias("n"))).alias("_b"))
     )
-    chosen = own.join(a, [image, "box"]).select(
-        image, "box_id", (-F.col("_b.col2")).alias("truth_id"), F.col("_b.iou").alias("iou"), F.lit(False).alias("forced")
+    chosen = own.join(a, _on("a", image)).select(
+        image, "box_id", (-F.col("_b.n")).alias("truth_id"), F.col("_b.iou").alias("iou"), F.lit(False).alias("forced")
     )
     if not force:
         return chosen
     claim = (
-        pairs.join(first_box, [image, "box"])
-        .groupBy(image, "truth").agg(F.max(F.struct("iou", -F.col("box_id"))).alias("_b"))
-        .join(t, [image, "truth"])
-        .select(image, (-F.col("_b.col2")).alias("box_id"), "truth_id", F.col("_b.iou").alias("iou"), F.lit(True).alias("forced"))
+        pairs.groupBy(*_on("b", image)).agg(F.max(F.struct("iou", (-F.col("box_id")).alias("n"))).alias("_b"))
+        .join(t, _on("b", image))
+        .select(image, (-F.col("_b.n")).alias("box_id"), "truth_id", F.col("_b.iou").alias("iou"), F.lit(True).alias("forced"))
     )
     both = chosen.unionByName(claim)
-    best = both.groupBy(image, "box_id").agg(F.max(F.struct("forced", "iou", -F.col("truth_id"))).alias("_b"))
-    return best.select(image, "box_id", (-F.col("_b.col3")).alias("truth_id"), F.col("_b.iou").alias("iou"), F.col("_b.forced").alias("forced"))
+    best = both.groupBy(image, "box_id").agg(F.max(F.struct("forced", "iou", (-F.col("truth_id")).alias("n"))).alias("_b"))
+    return best.select(image, "box_id", (-F.col("_b.n")).alias("truth_id"), F.col("_b.iou").alias("iou"), F.col("_b.forced").alias("forced"))
 
 
 def _plain_iou(a, b):
@@ -189,9 +206,9 @@ def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int) ->
     group = Window.partitionBy("img_id", "class_name").orderBy(F.col("score").desc(), "det_id")
     best = det.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= per_image).drop("_rank")
     met = (
-        box_pairs(best, truth, "img_id", iou)
-        .join(best.withColumnRenamed("bbox", "box"), ["img_id", "box"])
-        .join(truth.select("img_id", "class_name", F.col("bbox").alias("truth"), "truth_id"), ["img_id", "class_name", "truth"])
+        _pairs(best, truth, "img_id", iou)
+        .join(_flat(best, "a", "img_id", "class_name", "det_id", "score"), _on("a", "img_id"))
+        .join(_flat(truth, "b", "img_id", "class_name", "truth_id"), [*_on("b", "img_id"), "class_name"])
         .select("img_id", "class_name", "det_id", "score", "truth_id", "iou")
     )
     per_det = Window.partitionBy("img_id", "class_name", "det_id").orderBy(F.col("iou").desc(), "truth_id")
@@ -244,7 +261,7 @@ IOU_LIMITS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
 def detection_map(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int = 100) -> DataFrame:
     """AP of every annotated class at one IoU limit."""
-    return _step_precision(detection_hits(det, truth, iou, per_image), truth)
+    return _step_precision(cut(detection_hits(det, truth, iou, per_image)), truth)
 
 
 def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_image: int = 100) -> DataFrame:
@@ -256,7 +273,7 @@ def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_i
     best, near = (cut(f) for f in _near_pairs(det, truth, min(limits), per_image))
     out = None
     for limit in limits:
-        hits = _with_hits(best, near.filter(F.col("iou") >= limit))
+        hits = cut(_with_hits(best, near.filter(F.col("iou") >= limit)))
         row = mean_ap(_step_precision(hits, truth)).select(F.lit(limit).alias("iou"), "map")
         out = row if out is None else out.unionByName(row)
     return out

@@ -198,14 +198,18 @@ def bagging_plan(df: DataFrame, key, estimators, rows=1.0, replace: bool = True,
     """
     keys = _as_list(key)
     numbers = range(estimators) if isinstance(estimators, int) else estimators
-    spread = df.select(*keys, F.explode(F.array(*[F.lit(e) for e in numbers])).alias("estimator"))
+    every = F.array(*[F.lit(e) for e in numbers])
     if replace:
-        if isinstance(rows, float):
-            mean = rows
-        else:
-            mean = rows / df.count()
-        unit = md5_number(value_key(seed, "estimator", *keys)) / F.lit(float(HASH_RANGE))
-        return spread.withColumn("weight", _poisson_weight(unit, mean)).filter("weight > 0")
+        mean = rows if isinstance(rows, float) else rows / df.count()
+
+        def draw(e):
+            unit = md5_number(value_key(seed, e, *keys)) / F.lit(float(HASH_RANGE))
+            weight = F.transform(F.array(unit), lambda u: _poisson_weight(u, mean))[0]  # hashes once
+            return F.struct(e.alias("estimator"), weight.alias("weight"))
+
+        drawn = F.filter(F.transform(every, draw), lambda d: d["weight"] > 0)
+        return df.select(*keys, F.explode(drawn).alias("_d")).select(*keys, "_d.*")
+    spread = df.select(*keys, F.explode(every).alias("estimator"))
     wanted = _amount(rows, df.count())
     return sample_n(spread, wanted, "estimator", ["estimator", *keys], seed).withColumn("weight", F.lit(1))
 

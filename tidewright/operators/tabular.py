@@ -19,14 +19,11 @@ MAX_DUMMIES = 10_000
 
 def kinetic(df: DataFrame, cols, name: str = "kinetic") -> DataFrame:
     """Sum of squared shares of the distinct values within one row; null is a value of its own."""
-    values = F.array(*[F.col(c).cast("double") for c in cols])
-    size = float(len(cols))
-
-    def share(v):
-        return F.size(F.filter(values, lambda u: u.eqNullSafe(v))) / F.lit(size)
-
-    shares = F.transform(F.array_distinct(values), lambda v: share(v) * share(v))
-    return df.withColumn(name, F.aggregate(shares, F.lit(0.0), lambda a, s: a + s))
+    n = len(cols)
+    values = [F.col(c) for c in cols]
+    # Equal pairs count each value n_v * (n_v - 1) / 2 times: the sum of squares without arrays.
+    pairs = [values[i].eqNullSafe(values[j]).cast("int") for i in range(n) for j in range(i)]
+    return df.withColumn(name, (F.lit(n) + 2 * sum(pairs, F.lit(0))) / F.lit(float(n * n)))
 
 
 def kinetic_groups(df: DataFrame, compat: bool = False) -> DataFrame:
