@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +45,14 @@ def submission(df: DataFrame, id: str, score: str) -> DataFrame:
     return df.select(F.col(id).cast("int").alias("id"), F.col(score).alias("target"))
 
 
-def plain_path(uri) -> F.Column:
-    """File URI as a plain path, escapes undone."""
-    return F.url_decode(F.replace(F.regexp_replace(uri, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
+def without_scheme(path) -> Column:
+    """A local path without ``file:``; paths of other stores stay as they are."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def plain_path(uri) -> Column:
+    """The path of a row's file, whose URI is escaped."""
+    return F.url_decode(F.replace(without_scheme(uri), F.lit("+"), F.lit("%2B")))
 
 
 def discover(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -55,7 +60,7 @@ def discover(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     )
-    return found.select(plain_path(F.col("path")).alias("path"), "modificationTime", "length")
+    return found.select(without_scheme(F.col("path")).alias("path"), "modificationTime", "length")
 
 
 def discover_many(spark: SparkSession, root: str, patterns=("*.csv", "*.xlsx"), keep=None) -> DataFrame:
