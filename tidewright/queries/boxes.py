@@ -26,18 +26,19 @@ def overlapping_pairs(spark, folder):
     return rounded(pairs.select("img_id", "iou", F.col("box.x").alias("bx"), F.col("box.h").alias("bh"), F.col("truth.x").alias("tx"), F.col("truth.h").alias("th")).distinct(), 9)
 
 
-@query(with_(_BASE, """, hits AS (SELECT img_id, box_id, class_name, count(*) AS n FROM pairs WHERE iou >= 0.5 GROUP BY ALL)
-    SELECT b.img_id, b.box_id, """ + ", ".join(
-        f"CAST(coalesce(max(CASE WHEN h.class_name = '{c}' THEN 1 END), 0) AS INTEGER) AS label_{c}" for c in CLASSES)
-    + " FROM boxes b LEFT JOIN hits h ON b.img_id = h.img_id AND b.box_id = h.box_id GROUP BY b.img_id, b.box_id"))
+@query(with_(_BASE, """, hits AS (SELECT img_id, box_id, """ + ", ".join(
+        f"max(CASE WHEN class_name = '{c}' THEN 1 ELSE 0 END) AS label_{c}" for c in CLASSES)
+    + """ FROM pairs WHERE iou >= 0.5 GROUP BY img_id, box_id)
+    SELECT b.img_id, b.box_id, """ + ", ".join(f"CAST(coalesce(label_{c}, 0) AS INTEGER) AS label_{c}" for c in CLASSES)
+    + " FROM boxes b LEFT JOIN hits h ON b.img_id = h.img_id AND b.box_id = h.box_id"))
 def box_label_columns(spark, folder):
     return box_label_matrix(boxes(spark, folder), annotations(spark, folder), CLASSES)
 
 
 @query(with_(_BASE, """, first AS (SELECT img_id, class_name, min(truth_id) AS pos FROM annotations GROUP BY ALL),
-    met AS (SELECT DISTINCT p.img_id, p.box_id, p.class_name, pos FROM pairs p JOIN first USING (img_id, class_name) WHERE iou > 0.5)
-    SELECT b.img_id, b.box_id, coalesce(arg_min(m.class_name, m.pos), 'background') AS class_name FROM boxes b LEFT JOIN met m
-    ON b.img_id = m.img_id AND b.box_id = m.box_id GROUP BY b.img_id, b.box_id"""))
+    met AS (SELECT img_id, box_id, arg_min(class_name, pos) AS class_name FROM pairs JOIN first USING (img_id, class_name) WHERE iou > 0.5 GROUP BY img_id, box_id)
+    SELECT b.img_id, b.box_id, coalesce(m.class_name, 'background') AS class_name FROM boxes b LEFT JOIN met m
+    ON b.img_id = m.img_id AND b.box_id = m.box_id"""))
 def box_classes(spark, folder):
     return box_label(boxes(spark, folder), annotations(spark, folder))
 

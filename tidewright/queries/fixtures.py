@@ -51,8 +51,8 @@ def annotations(spark, folder) -> DataFrame:
     """One image per order; its lineitems are annotated boxes."""
     return table(spark, folder, "lineitem").selectExpr(
         "l_orderkey as img_id",
-        "l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey as truth_id",
-        "l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey as position",
+        "l_linenumber * 100000000000000 + l_partkey * 100000000 + l_suppkey * 100 + cast(l_quantity as bigint) as truth_id",
+        "l_linenumber * 100000000000000 + l_partkey * 100000000 + l_suppkey * 100 + cast(l_quantity as bigint) as position",
         "element_at(array('bear', 'bird', 'cat', 'cow'), cast(l_suppkey % 4 + 1 as int)) as class_name",
         """named_struct('x', cast(l_partkey % 40 * 4 as double), 'y', cast(l_suppkey % 10 * 16 as double),
              'w', 40 + l_quantity, 'h', cast(60 + l_partkey % 7 * 5 as double)) as bbox""",
@@ -99,8 +99,8 @@ def image_files(spark, folder) -> DataFrame:
 
 
 def model_scores(spark, folder) -> DataFrame:
-    """Three estimators' class probabilities for each order."""
-    p = [f"(o_orderkey * {a} % 997 + 1) / 998.0D" for a in (7, 31, 101)]
+    """Three estimators' class probabilities for each order, in 1024ths so that sums are exact."""
+    p = [f"(o_orderkey * {a} % 1023 + 1) / 1024.0D" for a in (7, 31, 101)]
     return table(spark, folder, "orders").selectExpr(
         "o_orderkey as row_id",
         f"explode(array(named_struct('estimator', 0, 'p', {p[0]}), named_struct('estimator', 1, 'p', {p[1]}), named_struct('estimator', 2, 'p', {p[2]}))) as s",
@@ -132,7 +132,7 @@ CTE = {
         l_linenumber % 2 AS ps_calc_15_bin, CAST(l_suppkey % 2 AS INTEGER) AS ps_calc_16_bin, CAST(l_quantity AS INTEGER) % 2 AS ps_calc_17_bin,
         CAST(l_returnflag = 'R' AS INTEGER) AS target FROM lineitem)""",
     "annotations": """annotations AS (SELECT l_orderkey AS img_id,
-        l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey AS truth_id,
+        l_linenumber * 100000000000000 + l_partkey * 100000000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS truth_id,
         ['bear', 'bird', 'cat', 'cow'][l_suppkey % 4 + 1] AS class_name,
         CAST(l_partkey % 40 * 4 AS DOUBLE) AS x, CAST(l_suppkey % 10 * 16 AS DOUBLE) AS y,
         40 + l_quantity AS w, CAST(60 + l_partkey % 7 * 5 AS DOUBLE) AS h FROM lineitem)""",
@@ -153,9 +153,9 @@ CTE = {
     "image_files": """image_files AS (SELECT o_orderkey AS img_id,
         '/obs/' || strftime(o_orderdate, '%Y%m%d') || '/b/' || o_custkey || '/img' || o_orderkey || '.tif' AS img_path FROM orders)""",
     "model_scores": """model_scores AS (
-        SELECT o_orderkey AS row_id, 0 AS estimator, (o_orderkey * 7 % 997 + 1) / 998.0::DOUBLE AS p FROM orders UNION ALL
-        SELECT o_orderkey, 1, (o_orderkey * 31 % 997 + 1) / 998.0::DOUBLE FROM orders UNION ALL
-        SELECT o_orderkey, 2, (o_orderkey * 101 % 997 + 1) / 998.0::DOUBLE FROM orders)""",
+        SELECT o_orderkey AS row_id, 0 AS estimator, (o_orderkey * 7 % 1023 + 1) / 1024.0::DOUBLE AS p FROM orders UNION ALL
+        SELECT o_orderkey, 1, (o_orderkey * 31 % 1023 + 1) / 1024.0::DOUBLE FROM orders UNION ALL
+        SELECT o_orderkey, 2, (o_orderkey * 101 % 1023 + 1) / 1024.0::DOUBLE FROM orders)""",
     "buckets": f"""planes AS (SELECT t, p, list_transform(range({DIM}), lambda i:
             ((t * 7919 + p * 104729 + i * 1299709 + t * p * i * 31) % 1009 - 504) / 2520.0::DOUBLE) AS plane
         FROM range({TABLES}) a(t), range({PLANES}) b(p)),

@@ -90,7 +90,7 @@ def status_log(spark, folder):
     return read_table(spark, path)
 
 
-@query("""SELECT l_orderkey AS img_id, l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey AS truth_id, CAST(l_partkey % 40 * 4 AS DOUBLE) AS x, 40 + l_quantity AS w FROM lineitem""")
+@query("""SELECT l_orderkey AS img_id, l_linenumber * 100000000000000 + l_partkey * 100000000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS truth_id, CAST(l_partkey % 40 * 4 AS DOUBLE) AS x, 40 + l_quantity AS w FROM lineitem""")
 def annotation_documents(spark, folder):
     """Annotations written as JSON documents, one per task, and read back."""
     path = scratch_path(spark, "annotations")
