@@ -3,7 +3,8 @@
 An index row is one (vector, table); query and index meet in an equi join on
 (table, bucket key). Pairs are scored where they are joined and thrown away
 unless near, so no candidate list is shuffled; a bucket with very many vectors
-is cut into chunks and its queries visit each chunk.
+is cut into chunks and its queries visit each chunk. Copies of a vector, in the
+index or among the queries, are searched once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators.blocks import matrix
 from tidewright.operators.metrics import average_precision, mean_ap, query_costs, vote_share
-from tidewright.operators.order import cap_candidates
+from tidewright.operators.order import cap_candidates, group_index
 from tidewright.operators.select import thin_candidates
 from tidewright.session import cut
 
@@ -72,11 +73,26 @@ def pair_distance(df: DataFrame, a: str, b: str, name: str = "dist") -> DataFram
     return df.mapInArrow(measure, f"{fields}, `{name}` double")
 
 
+# Copies of a vector are told by two 64-bit hashes of it.
+COPY = ["_h1", "_h2"]
+
+
+def _with_copy_key(df: DataFrame, vec: str) -> DataFrame:
+    return df.withColumns({"_h1": F.xxhash64(vec), "_h2": F.xxhash64(F.lit(1), vec)})
+
+
 @dataclass
 class LshIndex:
-    """Hash tables over vectors ``img_id, patch, vec`` (and a label, when there is one)."""
+    """Hash tables over vectors ``img_id, patch, vec`` (and a label, when there is one).
+
+    ``entries`` numbers the images that hold the same vector, by id, as
+    ``_copy``. All copies are equally far from a query, so of each vector only
+    the first k images can be among the k nearest, and a vector that very many
+    images share costs k rows, not all of them.
+    """
 
     entries: DataFrame
+    copies: DataFrame
     crowded: DataFrame | None
     planes: np.ndarray
     radius: float
@@ -88,25 +104,38 @@ class LshIndex:
         if not isinstance(planes, np.ndarray):
             dim = dim or df.select(F.size(vec)).first()[0]
             planes = random_planes(tables, planes, dim, seed)
-        rows = df.select(
+        rows = _with_copy_key(df.select(
             F.col(image).alias("img_id"), (F.col(patch) if patch else F.lit(0)).alias("patch"), F.col(vec).alias("vec"),
             (F.col(label) if label else F.lit(None).cast("string")).alias("label"),
-        ).filter(F.col("vec").isNotNull())
-        keyed = _bucket_keys(rows, "vec", planes, radius)
+        ).filter(F.col("vec").isNotNull()), "vec")
+        copies = cut(rows.groupBy(*COPY).agg(F.count(F.lit(1)).alias("_n")))
+        # Equal patches of one image: the first stands for them.
+        single = rows.groupBy(*COPY, "img_id").agg(F.min(F.struct("patch", "label", "vec")).alias("_r")).select(*COPY, "img_id", "_r.*")
+        numbered = group_index(single, COPY, "img_id", "_copy")
+        keyed = _bucket_keys(numbered, "vec", planes, radius)
         entries = cut(keyed.select("*", F.posexplode("_keys").alias("table_id", "key")))
         sizes = entries.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows)
         sizes = cut(sizes.select("table_id", "key", F.ceil(F.col("_n") / chunk_rows).alias("_chunks")))
-        return cls(entries, None if sizes.isEmpty() else sizes, planes, radius)
+        return cls(entries, copies, None if sizes.isEmpty() else sizes, planes, radius)
 
     def table(self) -> DataFrame:
         """The hash tables: ``table_id, key, img_id, patch``."""
         return self.entries.select("table_id", "key", "img_id", "patch")
 
-    def _pairs(self, queries: DataFrame, query: str, vec: str) -> DataFrame:
-        """Each (query, indexed vector) that shares a bucket, once, with the first shared table."""
-        keyed = _bucket_keys(queries.select(F.col(query).alias("query_id"), F.col(vec).alias("q_vec")), "q_vec", self.planes, self.radius)
+    def _distinct(self, queries: DataFrame, query: str, vec: str) -> tuple[DataFrame, DataFrame]:
+        """Each different query vector once, and which queries ask it."""
+        asked = _with_copy_key(queries.select(F.col(query).alias("query_id"), F.col(vec).alias("q_vec")), "q_vec")
+        reps = asked.groupBy(*COPY).agg(F.min(F.struct("query_id", "q_vec")).alias("_r"))
+        return reps.select(F.col("_r.query_id").alias("rep"), "_r.q_vec", *COPY), asked.drop("q_vec")
+
+    def _pairs(self, reps: DataFrame, first: int) -> DataFrame:
+        """Each (query vector, indexed vector) that shares a bucket, once, with the first shared table.
+
+        Of a vector's copies the ``first`` images take part.
+        """
+        keyed = _bucket_keys(reps.select("rep", "q_vec"), "q_vec", self.planes, self.radius)
         asked = keyed.withColumnRenamed("_keys", "_q_keys").select("*", F.posexplode("_q_keys").alias("table_id", "key"))
-        held = self.entries
+        held = self.entries.filter(F.col("_copy") < first)
         on = ["table_id", "key"]
         if self.crowded is not None:
             chunks = F.coalesce("_chunks", F.lit(1))
@@ -117,11 +146,7 @@ class LshIndex:
         earlier = F.exists(
             F.slice(F.zip_with("_q_keys", "_keys", lambda a, b: a == b), F.lit(1), F.col("table_id")), lambda same: same
         )
-        return joined.filter(~earlier).select("query_id", "q_vec", "vec", "table_id", "img_id", "patch", "label")
-
-    def candidates(self, queries: DataFrame, query: str = "query_id", vec: str = "vec") -> DataFrame:
-        """Ids of the pairs that share a bucket, with the first shared table."""
-        return self._pairs(queries, query, vec).select("query_id", "table_id", "img_id", "patch")
+        return joined.filter(~earlier).select("rep", "q_vec", "vec", *COPY, "table_id", "img_id", "patch", "label")
 
     def query(self, queries: DataFrame, k: int, c: float, subsample: float = 1.0, query: str = "query_id", vec: str = "vec",
               compat: bool = False, seed: int = 0, table_limit: int | None = None) -> DataFrame:
@@ -130,28 +155,39 @@ class LshIndex:
         An image stands by its nearest patch. ``compat`` takes the patch met
         first (table, then patch order), even if that one is then too far.
         ``table_limit`` ends the search of a table after so many accepted
-        candidates; without it the search is exact.
+        candidates. With ``subsample`` candidates are left out at random. Each
+        of these three can pass over a copy, so then all copies take part.
         """
-        pairs = self._pairs(queries, query, vec)
+        exact = not compat and table_limit is None and subsample >= 1.0
+        reps, asked = self._distinct(queries, query, vec)
+        pairs = self._pairs(reps, k if exact else 1 << 62).drop(*COPY)
         if subsample < 1.0:
-            pairs = thin_candidates(pairs, subsample, seed, ["query_id", "img_id", "patch"])
+            pairs = thin_candidates(pairs, subsample, seed, ["rep", "img_id", "patch"])
         scored = pair_distance(pairs, "q_vec", "vec")
         near = F.col("dist") <= c * self.radius
         if compat:
-            met = scored.groupBy("query_id", "img_id").agg(F.min(F.struct("table_id", "patch", "dist", "label")).alias("_b"))
-            one = met.select("query_id", "img_id", "_b.*").filter(near)
+            met = scored.groupBy("rep", "img_id").agg(F.min(F.struct("table_id", "patch", "dist", "label")).alias("_b"))
+            one = met.select("rep", "img_id", "_b.*").filter(near)
         else:
-            best = scored.filter(near).groupBy("query_id", "img_id").agg(F.min(F.struct("dist", "patch", "table_id", "label")).alias("_b"))
-            one = best.select("query_id", "img_id", "_b.*")
+            best = scored.filter(near).groupBy("rep", "img_id").agg(F.min(F.struct("dist", "patch", "table_id", "label")).alias("_b"))
+            one = best.select("rep", "img_id", "_b.*")
         if table_limit is not None:
-            one = cap_candidates(one, ["query_id", "table_id"], ["img_id", "patch"], table_limit)
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "img_id", "patch"))
+            one = cap_candidates(one, ["rep", "table_id"], ["img_id", "patch"], table_limit)
+        rank = F.row_number().over(Window.partitionBy("rep").orderBy("dist", "img_id", "patch"))
         ranked = one.withColumn("rank", rank).filter(F.col("rank") <= k)
-        return ranked.select("query_id", "img_id", "patch", "label", "dist", "rank")
+        same = asked.join(reps.select("rep", *COPY), COPY)
+        return same.join(ranked, "rep").select("query_id", "img_id", "patch", "label", "dist", "rank")
 
     def computed(self, queries: DataFrame, query: str = "query_id", vec: str = "vec") -> DataFrame:
-        """Distance computations of each query; counts combine before the shuffle."""
-        return self._pairs(queries, query, vec).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_computed"))
+        """Candidates of each query: vectors that share a bucket, copies counted, without listing them.
+
+        Counts combine before the shuffle; a query without any has no row.
+        """
+        reps, asked = self._distinct(queries, query, vec)
+        met = self._pairs(reps, 1).select("rep", *COPY).join(self.copies, COPY)
+        totals = met.groupBy("rep").agg(F.sum("_n").alias("n_computed"))
+        same = asked.join(reps.select("rep", *COPY), COPY)
+        return same.join(totals, "rep").select("query_id", "n_computed")
 
     def evaluate(self, queries: DataFrame, classes, ks, c: float, query: str = "query_id", vec: str = "vec", label: str = "label",
                  background=None, compat: bool = False) -> DataFrame:

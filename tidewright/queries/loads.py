@@ -92,12 +92,11 @@ def status_log(spark, folder):
 
 @query("""SELECT l_orderkey AS img_id, l_linenumber * 100000000000000 + l_partkey * 100000000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS truth_id, CAST(l_partkey % 40 * 4 AS DOUBLE) AS x, 40 + l_quantity AS w FROM lineitem""")
 def annotation_documents(spark, folder):
-    """Annotations written as JSON documents, one per task, and read back."""
+    """Annotations written as JSON documents and read back."""
     path = scratch_path(spark, "annotations")
-    marked = annotations(spark, folder).withColumn("_doc", F.pmod("img_id", F.lit(64)))
-    docs = marked.groupBy("_doc").agg(
-        F.collect_set(F.struct(F.col("img_id").alias("id"))).alias("images"),
-        F.collect_list(F.struct(
+    docs = annotations(spark, folder).select(
+        F.array(F.struct(F.col("img_id").alias("id"))).alias("images"),
+        F.array(F.struct(
             F.col("truth_id").alias("id"), F.col("img_id").alias("image_id"), F.lit(1).alias("category_id"),
             F.array("bbox.x", "bbox.y", "bbox.w", "bbox.h").alias("bbox"),
         )).alias("annotations"),
@@ -109,22 +108,18 @@ def annotation_documents(spark, folder):
 
 
 def _records(spark, folder):
-    return table(spark, folder, "orders").join(
-        annotations(spark, folder).groupBy(F.col("img_id").alias("o_orderkey")).agg(
-            F.collect_list(F.struct("truth_id", "bbox")).alias("b")
-        ), "o_orderkey", "left",
-    ).select(
-        F.col("o_orderkey").alias("id"), F.encode("o_orderpriority", "utf-8").alias("encoded"),
-        F.when(F.col("o_orderstatus") == "F", "png").alias("format"), F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("label"),
-        F.lit(None).cast("string").alias("text"),
-        F.sort_array("b.bbox.y").alias("ymin"), F.sort_array("b.bbox.x").alias("xmin"), F.sort_array("b.bbox.h").alias("ymax"), F.sort_array("b.bbox.w").alias("xmax"),
-        F.lit(None).cast("array<bigint>").alias("object_label"),
-        F.when(F.col("o_orderstatus") == "O", "validation").otherwise("train").alias("split"),
+    """Orders as example records; those with status P have no boxes."""
+    side = "case when o_orderstatus <> 'P' then transform(sequence(0, cast(o_custkey % 4 as int)), i -> cast(i * {0} as float)) end as {1}"
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey as id", "encode(o_orderpriority, 'utf-8') as encoded",
+        "case when o_orderstatus = 'F' then 'png' end as format", "case when o_orderstatus <> 'P' then o_custkey end as label",
+        "cast(null as string) as text", side.format(3, "ymin"), side.format(4, "xmin"), side.format(5, "ymax"), side.format(6, "xmax"),
+        "cast(null as array<bigint>) as object_label", "if(o_orderstatus = 'O', 'validation', 'train') as split",
     )
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'png' ELSE 'jpeg' END AS format,
-    CAST(CASE WHEN o_orderstatus <> 'P' THEN o_custkey ELSE -1 END AS INTEGER) AS label, '' AS text, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_boxes FROM orders""")
+    CAST(CASE WHEN o_orderstatus <> 'P' THEN o_custkey ELSE -1 END AS INTEGER) AS label, '' AS text, CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 4 + 1 ELSE 0 END AS n_boxes FROM orders""")
 def records_with_defaults(spark, folder):
     out = example_records(_records(spark, folder))
     return out.select("id", "format", "label", "text", F.size("boxes").cast("long").alias("n_boxes"))

@@ -122,14 +122,13 @@ def log_mean_of_scores(spark, folder):
     return rounded(logs.select("row_id", log_mean_exp("l").alias("log_p")), 9)
 
 
-@query(with_("annotations", """SELECT img_id, list([y, x, y + h, x + w] ORDER BY truth_id) AS boxes FROM annotations GROUP BY img_id"""))
+@query("""SELECT vec_id, list_transform(range(len(embedding)), lambda i: [embedding[i + 1], embedding[len(embedding) - i], embedding[i + 1] + 1, embedding[len(embedding) - i] + 2]) AS boxes FROM embeddings""")
 def packed_boxes(spark, folder):
-    grouped = annotations(spark, folder).groupBy("img_id").agg(F.sort_array(F.collect_list(F.struct("truth_id", "bbox"))).alias("b"))
-    sides = grouped.select(
-        "img_id", F.col("b.bbox.y").alias("ymin"), F.col("b.bbox.x").alias("xmin"),
-        F.transform("b.bbox", lambda r: r["y"] + r["h"]).alias("ymax"), F.transform("b.bbox", lambda r: r["x"] + r["w"]).alias("xmax"),
+    sides = vectors(spark, folder).select(
+        "vec_id", F.col("vec").alias("ymin"), F.reverse("vec").alias("xmin"),
+        F.transform("vec", lambda v: v + F.lit(1.0).cast("float")).alias("ymax"), F.transform(F.reverse("vec"), lambda v: v + F.lit(2.0).cast("float")).alias("xmax"),
     )
-    return sides.select("img_id", pack_boxes("ymin", "xmin", "ymax", "xmax").alias("boxes"))
+    return sides.select("vec_id", pack_boxes("ymin", "xmin", "ymax", "xmax").alias("boxes"))
 
 
 @query("""SELECT vec_id, CAST((i - 1) // 8 AS INTEGER) AS x, CAST((i - 1) % 8 AS INTEGER) AS y, v AS value

@@ -32,11 +32,11 @@ def hash_table_buckets(spark, folder):
     return numbered.select("vec_id", F.posexplode("buckets").alias("table_id", "bucket")).withColumn("table_id", F.col("table_id").cast("long"))
 
 
-@query(with_("buckets", """SELECT q.vec_id AS query_id, i.vec_id AS img_id, min(q.table_id) AS table_id FROM buckets q JOIN buckets i
-    ON q.table_id = i.table_id AND q.bucket = i.bucket GROUP BY ALL"""))
+@query(with_("buckets", """SELECT q.vec_id AS query_id, count(DISTINCT i.vec_id) AS n_computed FROM buckets q JOIN buckets i
+    ON q.table_id = i.table_id AND q.bucket = i.bucket GROUP BY 1"""))
 def bucket_candidates(spark, folder):
-    found = _index(spark, folder).candidates(_queries(spark, folder))
-    return found.select("query_id", "img_id", F.col("table_id").cast("long").alias("table_id"))
+    """How many vectors share a bucket with each query."""
+    return _index(spark, folder).computed(_queries(spark, folder))
 
 
 @query(with_("buckets", f""", {_NEAR} SELECT query_id, img_id, label, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM near"""))
