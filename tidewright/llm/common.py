@@ -37,3 +37,26 @@ def text_bytes(column) -> list[bytes]:
 
 def empty_if_null(name: str):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+#: Letters of Latin-1, in composed form, then ASCII marks.
+WORD_AND_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
+
+class Remembered(dict):
+    """A dict that finds missing values with ``find`` and keeps at most two generations of ``limit`` entries."""
+
+    def __init__(self, find, limit: int):
+        super().__init__()
+        self.find, self.limit, self.old = find, limit, {}
+
+    def __missing__(self, key):
+        if key in self.old:
+            found = self.old[key]
+        else:
+            found = self.find(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found

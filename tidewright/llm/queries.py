@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import table
+from tidewright.llm.decontaminate import contamination, n_hit
 from tidewright.llm.token_file import read_token_file, write_token_file
 from tidewright.session import scratch_path
 
@@ -19,5 +21,26 @@ def op1_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_file,)}
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of documents inside windows of benchmark items."""
+    marked = contamination(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    items = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return marked.select(
+        "doc_id", "n_words", n_hit().alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit() > 0).alias("contaminated"), "hits",
+    )
+
+
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of whole texts and the bytes that they decode to."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = round_trip(table(spark, folder, "documents").select("doc_id", "text"), path, pattern)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_file, op2_decontamination, op4_byte_bpe)}
 ORACLE: dict[str, str] = {}

@@ -15,7 +15,6 @@ one id with very many rows is spread over partitions.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -25,17 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import empty_if_null, text_bytes
+from tidewright.llm.common import WORD_AND_MARKS, Remembered, empty_if_null, text_bytes
 
 #: A block is closed at this many ids; one longer document makes one longer block.
 BLOCK_IDS = 1 << 20
 #: One select sample for so many documents.
 SAMPLE = 64
-#: Words whose ids a worker keeps; beyond it the memory is started afresh.
+#: Words of a generation of a worker's memory.
 CACHE_WORDS = 600_000
-#: Letters of Latin-1, in composed form, then ASCII marks.
-WORD_AND_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
-
 
 
 def _byte_letters() -> dict[int, str]:
@@ -104,7 +100,7 @@ def ef_select(i: int, width: int, low: bytes, high: bytes, samples: bytes) -> in
     return value
 
 
-class WordIds(dict):
+class WordIds(Remembered):
     """Ids of blank-free words as bytes, filled by the tokenizer on first sight.
 
     The vocabulary's pre-tokenizer drops white space and no token spans it, so a
@@ -114,29 +110,23 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str, dtype: str):
-        super().__init__()
+        super().__init__(self._ids, CACHE_WORDS)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _ids(self, word: bytes) -> bytes:
         if word.isalpha():  # of bytes: ASCII letters only
-            found = self._letters(word.decode())
-        else:
-            text = word.decode("utf-8", "replace")
-            parts = WORD_AND_MARKS.fullmatch(text)
-            if parts is None:
-                found = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            elif parts[2]:
-                found = self[parts[1].encode()] + self[parts[2].encode()]
-            else:
-                found = self._letters(text)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = found
-        return found
+            return self._letters(word.decode())
+        text = word.decode("utf-8", "replace")
+        parts = WORD_AND_MARKS.fullmatch(text)
+        if parts is None:
+            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if parts[2]:
+            return self[parts[1].encode()] + self[parts[2].encode()]
+        return self._letters(text)
 
     def _letters(self, text: str) -> bytes:
         """Composed letters: of the normalizer's work only case and bytes remain."""
