@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.llm import quality, secrets, shards, url_filter
 from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import table
 from tidewright.llm.decontaminate import contamination, n_hit
@@ -42,5 +43,45 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_file, op2_decontamination, op4_byte_bpe)}
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host rules, then boosted trees on lexical features."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.fit(pages)).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of texts and the verdict of adaptive thresholds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    )
+
+
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets by kind."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def of(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("secrets")).alias("spans"),
+    )
+
+
+def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight shards of equal counts, written and read back."""
+    written = shards.reshard(table(spark, folder, "documents"), 8)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return written.select(
+        "doc_id", shards.size_of().alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_file, op2_decontamination, op4_byte_bpe, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
+)}
 ORACLE: dict[str, str] = {}
