@@ -30,7 +30,7 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 REPEAT_WORDS, SYMBOLS = 8, "#*$%&|<>"
 #: Measures that are fenced: whether low values, too, are out, and the least distance of a fence from its quantile,
 #: so that a group without any spread does not lose each document that differs a little.
-MEASURES = {"symbol_share": (False, 0.05), "dup_line_share": (False, 0.05), "repeat_share": (False, 0.1), "word_length": (True, 2.0)}
+MEASURES = {"symbol_share": (False, 0.05), "dup_line_share": (False, 0.05), "word_length": (True, 2.0)}
 
 
 def words_of(text: Column) -> Column:
@@ -92,7 +92,7 @@ def shares() -> list[Column]:
     n, lines = F.col("n_words"), F.col("n_dup_lines")
     return [
         (F.col("n_symbols") / n).alias("symbol_share"), (lines / n).alias("dup_line_share"),
-        (F.col("n_repeat_words") / n).alias("repeat_share"), (F.col("word_chars") / n).alias("word_length"),
+        (F.col("word_chars") / n).alias("word_length"),
     ]
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import quality, secrets, shards, url_filter
+from tidewright.llm import language, quality, secrets, shards, url_filter
 from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import table
 from tidewright.llm.decontaminate import contamination, n_hit
@@ -43,6 +43,14 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each text; learned from rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~language.held_out())
+    rows = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.identify(rows, model).drop("text")
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Host rules, then boosted trees on lexical features."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -82,6 +90,6 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_file, op2_decontamination, op4_byte_bpe, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
+    op1_token_file, op2_decontamination, op4_byte_bpe, op5_language, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
 )}
 ORACLE: dict[str, str] = {}
