@@ -28,14 +28,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import WORD_AND_MARKS, Remembered, text_bytes
+from tidewright.llm.common import WORD_AND_MARKS, Remembered, slices, text_bytes
 
-#: Entries of a generation of each cache.
-CACHE = 300_000
+#: Entries of a generation of the cache of chunks and of each other cache: at most some 200 MB in all.
+CACHE_CHUNKS, CACHE = 250_000, 80_000
 #: Longest piece or half that is remembered, in bytes.
 REMEMBERED = 48
 #: Bytes of a leaf of the tree, which is merged directly.
-LEAF = 8
+LEAF = 6
 NO_RANK = 1 << 60
 
 
@@ -47,7 +47,6 @@ class Ranks:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self._merged = Remembered(self._merge_short, CACHE)
-        self._encoded = Remembered(self._reduce, CACHE)
         self._stable = Remembered(self._is_stable, CACHE)
         self.chunks = _Chunks(self)
 
@@ -120,7 +119,7 @@ class Ranks:
             return (rank,)
         if len(piece) <= LEAF:
             return self.merge(piece)
-        return self._encoded[piece] if len(piece) <= REMEMBERED else self._reduce(piece)
+        return self._reduce(piece)
 
     def _reduce(self, piece: bytes) -> tuple[int, ...]:
         half = 1 << (len(piece) - 1).bit_length() - 1  # halves that start alike are met again
@@ -140,7 +139,7 @@ class Ranks:
         first, *rest = raw.split(b" ")
         try:
             chunks = self.chunks
-            return b"".join([chunks.ids(first), *map(chunks.__getitem__, rest)])
+            return b"".join([chunks.ids(first, b""), *map(chunks.__getitem__, rest)])
         except TypeError:
             return array("i", self.encode(raw.decode())).tobytes()
 
@@ -157,21 +156,22 @@ class _Chunks(Remembered):
     """
 
     def __init__(self, ranks: Ranks):
-        super().__init__(lambda chunk: self.ids(chunk, " "), CACHE)
+        super().__init__(self.ids, CACHE_CHUNKS)
         self.ranks = ranks
 
-    def ids(self, chunk: bytes, before: str = "") -> bytes | None:
+    def ids(self, chunk: bytes, before: bytes = b" ") -> bytes | None:
+        if chunk.isalpha():  # of bytes: ASCII letters only
+            return array("i", self.ranks.encode_piece(before + chunk)).tobytes()
         text = chunk.decode()
         if not text or text[0].isspace():
             return None
         parts = WORD_AND_MARKS.fullmatch(text)
         if parts is None:
-            found = self.ranks.encode(before + text)
-        else:
-            found = self.ranks.encode_piece((before + parts[1]).encode())
-            if parts[2]:
-                found += self.ranks.encode_piece(parts[2].encode())
-        return array("i", found).tobytes()
+            return array("i", self.ranks.encode(before.decode() + text)).tobytes()
+        if not parts[2]:
+            return array("i", self.ranks.encode_piece(before + chunk)).tobytes()
+        word, marks = parts[1].encode(), array("i", self.ranks.encode_piece(parts[2].encode())).tobytes()
+        return (self[word] if before else self.ids(word, before)) + marks
 
 
 def load_ranks(path: str, pattern: str) -> Ranks:
@@ -202,7 +202,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             found = [ranks.encode_bytes(t) for t in text_bytes(batch.column(text_col))]
             ends = np.cumsum([0, *map(len, found)]) // 4
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
@@ -219,7 +219,7 @@ def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(columns.index(ids_col))
             flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
             texts = [ranks.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]

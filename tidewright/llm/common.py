@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,13 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast("binary").to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut to fewer rows, so that Python objects of few texts live at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def empty_if_null(name: str):
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import store, text_bytes
+from tidewright.llm.common import store, slices, text_bytes
 
 #: Words of an item that make a window; a shorter item is one window.
 WINDOW = 10
@@ -247,7 +247,7 @@ def contamination(
 def _matcher(shared, columns: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared)
-        for batch in batches:
+        for batch in slices(batches):
             n_words, hits, ids = [], [], []
             had = zip(batch.column("hits").to_pylist(), batch.column("item_ids").to_pylist())
             for text, (spans, items) in zip(text_bytes(batch.column(text_col)), had):
@@ -279,7 +279,7 @@ def remove_spans(marked: DataFrame, text_col: str = "text", coverage: float = CO
     schema = kept.select(*columns).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = []
             for text, hits in zip(batch.column(text_col).to_pylist(), batch.column("hits").to_pylist()):
                 if hits:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.keys import hash_unit
-from tidewright.llm.common import text_bytes
+from tidewright.llm.common import slices, text_bytes
 
 #: Labelled rows per language that the model is fitted on, about; chosen by hash of id and text.
 FIT_ROWS = 2_000
@@ -123,7 +123,7 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 if has_letter(text):
                     found = np.bincount(grams(text), minlength=1 << BUCKET_BITS)
@@ -156,7 +156,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = LanguageModel(*shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [local.predict(t) for t in text_bytes(batch.column(text_col))]
             new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, "lang_pred", "score"])

@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import language, quality, secrets, shards, url_filter
+from tidewright.llm import jaccard, language, quality, secret_scan, shards, transcripts, url_filter
 from tidewright.llm.bpe import round_trip
-from tidewright.llm.common import table
+from tidewright.llm.common import store, table
 from tidewright.llm.decontaminate import contamination, n_hit
 from tidewright.llm.token_file import read_token_file, write_token_file
 from tidewright.session import scratch_path
@@ -32,6 +32,18 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns recovered from raw transcripts of all conversations; the model learns from two thirds of them."""
+    raw = store(transcripts.raw_transcripts(table(spark, folder, "conversations")), "transcripts")
+    held_out = language.held_out("conv_id")
+    model = transcripts.fit(raw.where(~held_out))
+    parsed = transcripts.parse(raw, model)
+    return parsed.select(
+        "conv_id", "segment", held_out.alias("held_out"), F.size("turns").cast("long").alias("n_turns"),
+        F.array_join(F.col("turns.role"), ",").alias("roles"), F.sha2("canonical", 256).alias("canonical_sha256"), "canonical",
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of whole texts and the bytes that they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -51,6 +63,11 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(rows, model).drop("text")
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of texts that share four fifths of their word 5-grams."""
+    return jaccard.similar_components(table(spark, folder, "documents").select("doc_id", "text")).drop("class", "group")
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Host rules, then boosted trees on lexical features."""
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -67,15 +84,15 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets by kind."""
-    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    found = secret_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
     def of(kind: str):
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select(
-        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
-        secrets.as_text(F.col("secrets")).alias("spans"),
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("secrets")).alias("spans"),
     )
 
 
@@ -90,6 +107,6 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_file, op2_decontamination, op4_byte_bpe, op5_language, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
+    op1_token_file, op2_decontamination, op3_transcripts, op4_byte_bpe, op5_language, op6_jaccard_join, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
 )}
 ORACLE: dict[str, str] = {}

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import WORD_AND_MARKS, Remembered, empty_if_null, text_bytes
+from tidewright.llm.common import WORD_AND_MARKS, Remembered, empty_if_null, slices, text_bytes
 
 #: A block is closed at this many ids; one longer document makes one longer block.
 BLOCK_IDS = 1 << 20
@@ -172,7 +172,7 @@ def write_token_file(
         end = np.asarray([end_id], dtype).tobytes()
         part, number, first = TaskContext.get().partitionId(), 0, 0
         ids, payloads, size = [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 payload = b"".join([*map(words.__getitem__, text.lower().split()), end])
                 if ids and size + len(payload) > block_ids * width:
