@@ -89,7 +89,7 @@ def base_failed() -> Column:
 
 def shares() -> list[Column]:
     """Measures as numbers that do not grow with the text; null without words."""
-    n, lines = F.col("n_words"), F.col("n_dup_lines")
+    n, lines = F.nullif("n_words", F.lit(0)), F.col("n_dup_lines")
     return [
         (F.col("n_symbols") / n).alias("symbol_share"), (lines / n).alias("dup_line_share"),
         (F.col("word_chars") / n).alias("word_length"),
