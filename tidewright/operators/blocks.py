@@ -1,8 +1,7 @@
 """Matrix work on vector columns: Gram matrix, distance tiles, kernel components.
 
-A point set of n vectors has n * n distances, so these are for kernel analysis
-of at most ``MAX_POINTS`` points; beyond that use ``landmarks``. Points are cut
-into blocks of fixed size and the unit of work is one pair of blocks (a tile).
+A point set of n vectors has n * n distances; where these are too many,
+``landmarks`` draws a subset. Points are cut into blocks of fixed size and the unit of work is one pair of blocks (a tile).
 Tiles are balanced by construction and each is one dense array in one row.
 """
 
@@ -19,9 +18,9 @@ from tidewright.operators.order import row_index
 from tidewright.operators.select import sample_n
 from tidewright.session import cut
 
-MAX_POINTS = 1_000_000
-MAX_GRAM_WIDTH = 4096
 BLOCK = 256
+#: Columns of a block of the Gram matrix.
+GRAM_BLOCK = 1024
 
 
 def matrix(column) -> np.ndarray:
@@ -36,22 +35,29 @@ def gram(df: DataFrame, vec: str, norm: float = 1.0) -> DataFrame:
     """``sum over rows of v[i] * v[j]``, divided by ``norm``; one row for each (i, j).
 
     A row is one place, its array the values of all filters there. Each task
-    sums its own outer products, so only one small matrix per task is shuffled.
+    sums its own outer products while they fit one block, so only one small matrix per task is
+    shuffled; wider ones leave block by block.
     """
+    def cells(total, row, column):
+        i, j = np.indices(total.shape)
+        columns = [pa.array(i.ravel() + row, pa.int32()), pa.array(j.ravel() + column, pa.int32()), pa.array(total.ravel())]
+        return pa.RecordBatch.from_arrays(columns, names=["i", "j", "g"])
+
     def partial(batches):
         total = None
         for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column(0)).astype(np.float64)
-                if x.shape[1] > MAX_GRAM_WIDTH:
-                    raise ValueError(f"gram is for at most {MAX_GRAM_WIDTH} filters")
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(0)).astype(np.float64)
+            if x.shape[1] <= GRAM_BLOCK:
                 total = x.T @ x if total is None else total + x.T @ x
+                continue
+            starts = range(0, x.shape[1], GRAM_BLOCK)
+            for row in starts:
+                for column in starts:
+                    yield cells(x[:, row: row + GRAM_BLOCK].T @ x[:, column: column + GRAM_BLOCK], row, column)
         if total is not None:
-            i, j = np.indices(total.shape)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())],
-                names=["i", "j", "g"],
-            )
+            yield cells(total, 0, 0)
 
     parts = df.filter(F.col(vec).isNotNull()).select(vec).mapInArrow(partial, "i int, j int, g double")
     return parts.groupBy("i", "j").agg((F.sum("g") / F.lit(float(norm))).alias("g"))
@@ -65,9 +71,6 @@ def landmarks(df: DataFrame, id: str, n: int, seed: int) -> DataFrame:
 def point_blocks(df: DataFrame, id: str, vec: str, block: int = BLOCK) -> DataFrame:
     """Points packed as one row per block: block number, ids and the stacked vectors."""
     numbered = row_index(df.select(id, vec), id, "_idx")
-    points = numbered.count()
-    if points > MAX_POINTS:
-        raise ValueError(f"{points} points: all distances are for at most {MAX_POINTS}; draw landmarks first")
     packed = numbered.groupBy(F.floor(F.col("_idx") / block).cast("int").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("_idx", F.col(id).alias("id"), F.col(vec).alias("v")))).alias("p")
     )  # at most ``block`` points per group

@@ -197,20 +197,24 @@ def nms(det: DataFrame, iou: float = 0.6, per_class: int = 100, total: int = 100
     return rows.withColumn("_rank", over_all).filter(F.col("_rank") <= total).drop("_rank")
 
 
-def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int) -> tuple[DataFrame, DataFrame]:
-    """The best detections of each image and class, and the annotations each of them meets.
+def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int | None) -> tuple[DataFrame, DataFrame]:
+    """The detections of each image and class, and the annotations each of them meets.
 
-    Of these only the best ``per_image`` of a detection can matter, because
-    fewer detections come before it; so a group has a fixed size.
+    With ``per_image`` only so many of the best count, as in the published metric; then only so many
+    annotations of a detection can matter, because fewer detections come before it, and a group has a fixed size.
     """
     group = Window.partitionBy("img_id", "class_name").orderBy(F.col("score").desc(), "det_id")
-    best = det.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= per_image).drop("_rank")
+    best = det
+    if per_image is not None:
+        best = det.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= per_image).drop("_rank")
     met = (
         _pairs(best, truth, "img_id", iou)
         .join(_flat(best, "a", "img_id", "class_name", "det_id", "score"), _on("a", "img_id"))
         .join(_flat(truth, "b", "img_id", "class_name", "truth_id"), [*_on("b", "img_id"), "class_name"])
         .select("img_id", "class_name", "det_id", "score", "truth_id", "iou")
     )
+    if per_image is None:
+        return best, met
     per_det = Window.partitionBy("img_id", "class_name", "det_id").orderBy(F.col("iou").desc(), "truth_id")
     near = met.withColumn("_rank", F.row_number().over(per_det)).filter(F.col("_rank") <= per_image).drop("_rank")
     return best, near
@@ -240,8 +244,8 @@ def _with_hits(best: DataFrame, near: DataFrame) -> DataFrame:
     return joined.select("img_id", "class_name", "det_id", "score", F.coalesce("hit", F.lit(0)).alias("hit"))
 
 
-def detection_hits(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int = 100) -> DataFrame:
-    """The best ``per_image`` detections of each image and class, with 1 for a hit and 0 for a false alarm."""
+def detection_hits(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int | None = None) -> DataFrame:
+    """The detections of each image and class (the best ``per_image``, if given; the published metric takes 100), with 1 for a hit and 0 for a false alarm."""
     return _with_hits(*_near_pairs(det, truth, iou, per_image))
 
 
@@ -259,12 +263,12 @@ def _step_precision(hits: DataFrame, truth: DataFrame) -> DataFrame:
 IOU_LIMITS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
 
-def detection_map(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int = 100) -> DataFrame:
+def detection_map(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int | None = None) -> DataFrame:
     """AP of every annotated class at one IoU limit."""
     return _step_precision(cut(detection_hits(det, truth, iou, per_image)), truth)
 
 
-def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_image: int = 100) -> DataFrame:
+def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_image: int | None = None) -> DataFrame:
     """Mean AP at each IoU limit; their mean is the headline figure.
 
     Pairs are found once for the lowest limit. They are ordered by IoU, so the

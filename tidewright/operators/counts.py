@@ -35,19 +35,37 @@ def add_counts(df: DataFrame, cols, name: str | None = None) -> DataFrame:
     return match_on(df, counts, cols, "left")
 
 
+#: Finest key groups; the others are rolled up from them and ride on their join.
+CLICK_COUNT_CHAINS = (
+    (("ip", "day", "hour", "minute"), ("ip", "day", "hour"), ("ip",)),
+    (("ip", "app", "os"), ("ip", "app")),
+    (("os", "app", "channel"), ("app", "channel")),
+    (("os", "device"),),
+    (("ip", "device"),),
+)
+
+
 def click_counts(clicks: DataFrame) -> DataFrame:
     """Time parts and the nine count features of a click log.
 
-    Each count table is taken from the input, not from the frame joined so far,
-    so it scans only its key columns.
+    The log is aggregated once for each finest key group. Coarser counts are sums of finer
+    ones and are joined to those small tables, so five joins with the rows carry all nine.
     """
     timed = clicks.withColumns(time_parts("click_time"))
     out = timed
-    for cols in CLICK_COUNT_KEYS:
-        name = "_".join(cols) + "_count"
-        counts = timed.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
-        out = match_on(out, counts, cols, "left")
-    return out
+    for finest, *coarser in CLICK_COUNT_CHAINS:
+        counts = timed.groupBy(*finest).agg(F.count(F.lit(1)).alias(_count_name(finest)))
+        wide, below, name = counts, counts, _count_name(finest)
+        for cols in coarser:
+            below = below.groupBy(*cols).agg(F.sum(name).alias(_count_name(cols)))
+            name = _count_name(cols)
+            wide = match_on(wide, below, cols)
+        out = match_on(out, wide, finest, "left")
+    return out.select(*timed.columns, *[_count_name(cols) for cols in CLICK_COUNT_KEYS])
+
+
+def _count_name(cols) -> str:
+    return "_".join(cols) + "_count"
 
 
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:

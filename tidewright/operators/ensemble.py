@@ -96,7 +96,7 @@ def _stop_round(aucs: list[float], patience: int) -> int:
     return at + 1
 
 
-def fit_boosted(df: DataFrame, features, label: str, key, folds: int = 5, max_iter: int = 20, patience: int = 50,
+def fit_boosted(df: DataFrame, features, label: str, key, folds: int = 5, max_iter: int = 20, patience: int = 5,
                 depth: int = 5, step: float = 0.1, seed: int = 0, weight: str | None = None) -> Boosted:
     """Boosted trees with the number of rounds that has the best mean AUC over the folds."""
     split = cut(stratified_folds(df, label, key, folds, seed, "_fold"))
@@ -112,7 +112,7 @@ def fit_boosted(df: DataFrame, features, label: str, key, folds: int = 5, max_it
     return Boosted(model, rounds, list(features), [(r["round"], r["auc"]) for r in mean])
 
 
-def fit_chunks(df: DataFrame, features, label: str, chunk: str = "chunk", max_iter: int = 20, patience: int = 20,
+def fit_chunks(df: DataFrame, features, label: str, chunk: str = "chunk", max_iter: int = 20, patience: int = 5,
                depth: int = 5, step: float = 0.1, seed: int = 0, weight: str | None = None) -> list[Boosted]:
     """One model for each chunk but chunk 0, which decides when each stops."""
     valid = df.filter(F.col(chunk) == 0)
@@ -379,13 +379,13 @@ def fit_fm(df: DataFrame, label: str, features: str = "leaves", factors: int = 5
 
 # ---------------------------------------------------------------- hard negatives
 
-# Caps on positives and the pool size rule of the mining rounds.
-MAX_POSITIVES = 25_000
-POOL_LIMIT = 30_000
+# Published settings of the mining rounds, defaults of the parameters below.
+POSITIVES, POOL_LIMIT = 25_000, 30_000
 
 
-def pool_size(n: int) -> int:
-    return 5 * n if 5 * n < POOL_LIMIT else int(1.5 * n)
+def pool_size(n: int, pool_limit: int = POOL_LIMIT) -> int:
+    """Rows of the random pool: five per positive, one and a half where that would reach ``pool_limit``."""
+    return 5 * n if 5 * n < pool_limit else int(1.5 * n)
 
 
 def hard_negatives(scored: DataFrame, score: str, key, n: int) -> DataFrame:
@@ -393,23 +393,29 @@ def hard_negatives(scored: DataFrame, score: str, key, n: int) -> DataFrame:
     return scored.orderBy(F.col(score).desc(), *_as_list(key)).limit(n)
 
 
-def mine_negatives(negatives: DataFrame, score, key, n: int, seed: int) -> DataFrame:
+def mine_negatives(negatives: DataFrame, score, key, n: int, seed: int, pool_limit: int = POOL_LIMIT) -> DataFrame:
     """Next training negatives: the hardest ``n`` of a random pool and ``n`` random ones.
 
     ``score`` adds a column ``_score`` to a frame. A row may be drawn twice, as hard and as random.
     """
     everyone = negatives.withColumn("_all", F.lit(0))
-    pool = sample_n(everyone, pool_size(n), "_all", key, seed).drop("_all")
+    pool = sample_n(everyone, pool_size(n, pool_limit), "_all", key, seed).drop("_all")
     hard = hard_negatives(score(pool), "_score", key, n).select(*negatives.columns)
     rnd = sample_n(everyone, n, "_all", key, seed + 1).select(*negatives.columns)
     return hard.unionByName(rnd)
 
 
-def one_class(df: DataFrame, features: str, label: str, key, rounds: int = 10, seed: int = 0, reg: float = 0.01) -> list:
-    """A linear hinge-loss model for each mining round of one class; ``features`` is a vector column."""
+def one_class(df: DataFrame, features: str, label: str, key, rounds: int = 10, seed: int = 0, reg: float = 0.01,
+              positives_for_fit: int | None = POSITIVES, pool_limit: int = POOL_LIMIT) -> list:
+    """A linear hinge-loss model for each mining round of one class; ``features`` is a vector column.
+
+    ``positives_for_fit`` bounds the labelled positives of a fit (None: all), ``pool_limit`` is the switch of ``pool_size``; the
+    defaults are the published settings.
+    """
     data = df.select(*_as_list(key), features, F.col(label).cast("double").alias("_y"))
     everyone = data.withColumn("_all", F.lit(0))
-    positives = cut(sample_n(everyone.filter("_y > 0"), MAX_POSITIVES, "_all", key, seed).drop("_all"))
+    found = everyone.filter("_y > 0")
+    positives = cut((found if positives_for_fit is None else sample_n(found, positives_for_fit, "_all", key, seed)).drop("_all"))
     negatives = data.filter("_y = 0")
     n = positives.count()
     current = sample_n(everyone.filter("_y = 0"), 2 * n, "_all", key, seed).drop("_all")
@@ -422,7 +428,7 @@ def one_class(df: DataFrame, features: str, label: str, key, rounds: int = 10, s
         def score(frame, model=model):
             return model.transform(frame).withColumn("_score", vector_to_array("rawPrediction")[1])
 
-        current = mine_negatives(negatives, score, key, n, seed + 2 * (r + 1))
+        current = mine_negatives(negatives, score, key, n, seed + 2 * (r + 1), pool_limit)
     return models
 
 

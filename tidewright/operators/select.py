@@ -107,16 +107,19 @@ def sample_fraction(df: DataFrame, frac: float, key, seed: int) -> DataFrame:
     return df.filter(hash_unit(seed, *_as_list(key)) < frac)
 
 
-def sample_n(df: DataFrame, n: int, by, key, seed: int, cells: int = 4096) -> DataFrame:
+def sample_n(df: DataFrame, n: int, by, key, seed: int, cell_rows: int = 50_000) -> DataFrame:
     """``n`` rows of each group without replacement (all when it has fewer).
 
     The rows with the smallest hash are taken. Counts of rows per hash cell
     show in which cell the n-th row falls: lower cells are taken whole and only
-    that one cell is ranked, so no group is ever sorted in one task.
+    that one cell is ranked. Cells are as many as make about ``cell_rows`` of the
+    largest group fall into one, so no group is ever sorted in one task.
     """
     by, keys = _as_list(by), _as_list(key)
+    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    cells = min(1 << 24, max(1, -(-largest // cell_rows)))
     hashed = df.withColumn("_h", md5_number(value_key(seed, *keys))).withColumn(
-        "_cell", F.floor(F.col("_h") / ((1 << 32) // cells))
+        "_cell", F.floor(F.col("_h") * cells / (1 << 32))
     )
     sizes = hashed.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -9,14 +9,14 @@ from tidewright.functions.keys import match_on
 from tidewright.functions.times import epoch_seconds
 from tidewright.functions.vectors import status_code
 from tidewright.operators.order import _as_list
-from tidewright.operators.skew import HOT_ROWS, SLICES, carry_over, slice_hot
+from tidewright.operators.skew import HOT_ROWS, carry_over, slice_hot
 
 LAST_EVENT_SENTINEL = 3_000_000_000
 
 
 def _neighbour(df, keys, order_by, value, forward, name, hot_rows, slices):
     """Add ``value`` of the neighbouring row of the key as ``name``, null at the end."""
-    sliced, split = slice_hot(df, keys, order_by[0], hot_rows, slices)
+    sliced, split = slice_hot(df, keys, order_by, hot_rows, slices)
     window = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
     shift = F.lead if forward else F.lag
     if not split:
@@ -32,7 +32,7 @@ def _neighbour(df, keys, order_by, value, forward, name, hot_rows, slices):
 
 def next_gap(
     df: DataFrame, key, ts: str, id: str, sentinel: int = LAST_EVENT_SENTINEL,
-    name: str = "next_gap", hot_rows: int = HOT_ROWS, slices: int = SLICES,
+    name: str = "next_gap", hot_rows: int = HOT_ROWS, slices: int | None = None,
 ) -> DataFrame:
     """Whole seconds to the next event of the same key; the last one gets ``sentinel - t``."""
     timed = df.withColumn("_t", epoch_seconds(F.col(ts)))
@@ -43,7 +43,7 @@ def next_gap(
 
 def previous(
     df: DataFrame, key, order_by, col: str, default=0, name: str = "previous",
-    hot_rows: int = HOT_ROWS, slices: int = SLICES,
+    hot_rows: int = HOT_ROWS, slices: int | None = None,
 ) -> DataFrame:
     """``col`` of the row before; ``default`` for the first row of a key."""
     marked = df.withColumn("_cell", F.struct(F.col(col).alias("v")))
@@ -54,7 +54,7 @@ def previous(
 
 def first_arrival(
     df: DataFrame, series, ts: str, cloud: str, water: str,
-    hot_rows: int = HOT_ROWS, slices: int = SLICES,
+    hot_rows: int = HOT_ROWS, slices: int | None = None,
 ) -> DataFrame:
     """First time a series turns from clear-and-dry to clear-and-wet.
 

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.keys import match_on
 
-MAX_DUMMIES = 10_000
-
-
 def kinetic(df: DataFrame, cols, name: str = "kinetic") -> DataFrame:
     """Sum of squared shares of the distinct values within one row; null is a value of its own."""
     n = len(cols)
@@ -67,11 +64,8 @@ class Scaler:
 
 
 def _fitted_values(df: DataFrame, col: str) -> list:
-    """Sorted distinct values; more than ``MAX_DUMMIES`` would not fit as columns."""
-    rows = df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).limit(MAX_DUMMIES + 1).collect()
-    if len(rows) > MAX_DUMMIES:
-        raise ValueError(f"{col} has more than {MAX_DUMMIES} values; use WideOneHot")
-    return [r[0] for r in rows]
+    """Sorted distinct values. Each becomes a column, so they fit in a plan; for other columns there is ``WideOneHot``."""
+    return [r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).collect()]
 
 
 @dataclass(frozen=True)

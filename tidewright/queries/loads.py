@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.operators.loads import due_jobs, load_report, retain
-from tidewright.plans.load_job import LoadJob, register_files, run_job
+from tidewright.operators.order import latest
+from tidewright.plans.load_job import LoadJob, register_files, run_due_jobs, run_job
 from tidewright.plans.record_feed import record_batches
 from tidewright.queries.fixtures import annotations, table
 from tidewright.queries.registry import query
@@ -42,10 +43,10 @@ def retained_rows(spark, folder):
 
 
 def _files(spark, folder):
-    """Orders as CSV files, at least one for each priority."""
+    """Orders as CSV files, some for each priority."""
     path = scratch_path(spark, "incoming")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    orders.repartition("o_orderpriority").write.partitionBy("o_orderpriority").csv(path, header=True)
+    orders.repartition("o_orderpriority", F.pmod(F.xxhash64("o_orderkey"), F.lit(4))).write.partitionBy("o_orderpriority").csv(path, header=True)
     return path
 
 
@@ -56,8 +57,8 @@ def _job(spark, source, **more):
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def loaded_orders(spark, folder):
-    """Files found, tracked and loaded two at a time, newest first; a second run finds nothing."""
-    job = _job(spark, _files(spark, folder), files_per_commit=2)
+    """Files found, tracked and loaded eight at a time, newest first; a second run finds nothing."""
+    job = _job(spark, _files(spark, folder), files_per_commit=8)
     run_job(spark, job)
     run_job(spark, job)
     return spark.read.parquet(job.data).select("o_orderkey", "o_custkey", "o_totalprice")
@@ -65,12 +66,33 @@ def loaded_orders(spark, folder):
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def streamed_orders(spark, folder):
-    job = _job(spark, _files(spark, folder), files_per_commit=2)
+    job = _job(spark, _files(spark, folder), files_per_commit=8)
     register_files(spark, job)
     load_stream(spark, job)
     return spark.read.parquet(job.data).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query("""SELECT o_orderpriority AS job_name, CAST(count(*) AS BIGINT) AS rows, 'done' AS action FROM orders GROUP BY 1
+    HAVING arg_max(o_orderstatus, o_orderkey) <> 'F'""")
+def due_jobs_done(spark, folder):
+    """One job per priority; those whose last log entry is not done are run, loaded and logged, and then none is due."""
+    source, log = _files(spark, folder), scratch_path(spark, "jobs")
+    entries = table(spark, folder, "orders").selectExpr(
+        "o_orderpriority as job_name", "timestamp_seconds(o_orderkey) as action_date", "if(o_orderstatus = 'F', 'done', 'started') as action",
+        "cast(null as interval day to second) as load_interval",
+    )
+    append_log(entries, log)
+    names = sorted(r[0] for r in entries.select("job_name").distinct().collect())
+    jobs = {name: _job(spark, f"{source}/o_orderpriority={name}", files_per_commit=8) for name in names}
+    ran = run_due_jobs(spark, log, jobs, NOW)
+    left = run_due_jobs(spark, log, jobs, NOW)
+    loaded = spark.createDataFrame([], "job_name string, o_orderkey bigint")
+    for name in [n for n in ran if n not in left]:
+        loaded = loaded.unionByName(spark.read.parquet(jobs[name].data).select(F.lit(name).alias("job_name"), "o_orderkey"))
+    last = latest(read_table(spark, log), "job_name", "action_date").select("job_name", "action")
+    return loaded.groupBy("job_name").agg(F.count(F.lit(1)).alias("rows")).join(last, "job_name")
+
+
 @query("SELECT o_orderpriority AS priority, count(*) AS rows, CAST(0 AS BIGINT) AS failed FROM orders GROUP BY 1")
 def rows_per_folder(spark, folder):
     path = _files(spark, folder)

@@ -6,7 +6,7 @@ from tidewright.queries.fixtures import EVENT_TYPES, table
 from tidewright.queries.registry import query
 from tidewright.session import scratch_path
 from tidewright.sources.tables import read_table
-from tidewright.streaming.evaluate import stream_eval
+from tidewright.streaming.evaluate import accuracy_of_hits, stream_eval
 from tidewright.streaming.events import stream_counts, stream_dedupe, stream_first_arrival, stream_next_gap
 
 # The watermark of a finished run: latest event less ten minutes, in whole milliseconds.
@@ -16,7 +16,12 @@ _MARK = "mark AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - 600000000 AS mark FR
 def _stream(spark, folder, name="events"):
     """One table of the folder as a file stream; times as instants."""
     schema = table(spark, folder, name).schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    path = f"{folder}/{name}.parquet"
+    # A table of size is a folder of part files; a single file is picked by name in its folder.
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    is_folder = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
+    reader = spark.readStream.schema(schema)
+    rows = reader.parquet(path) if is_folder else reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
@@ -72,5 +77,5 @@ def evaluated_stream(spark, folder):
     )
     path = scratch_path(spark, "accuracy")
     stream_eval(scored, 3, path, path + "-checkpoint")
-    out = read_table(spark, path)
+    out = accuracy_of_hits(read_table(spark, path), "step", 3)
     return out.select("step", "n", F.round("top_1", 9).alias("top_1"), F.round("top_3", 9).alias("top_3"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,7 +34,23 @@ def get_session(app: str = "tidewright", cores: int | str | None = None, **conf)
         )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per session, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewright_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidewright-package-")) / "tidewright-package.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))  # the driver's own copy; Spark sends it to the executors
+    context._tidewright_shipped = True
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

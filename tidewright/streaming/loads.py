@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.plans.load_job import STATUS_SCHEMA, TRACKING_SCHEMA, LoadJob, _read_or_empty
+from tidewright.plans.load_job import STATUS_SCHEMA, TRACKING_SCHEMA, LoadJob, _read_or_empty, register_paths
 from tidewright.sources.tables import append_log
 from tidewright.sources.text_files import plain_path
 
@@ -16,7 +16,7 @@ from tidewright.sources.text_files import plain_path
 def commit_batch(df: DataFrame, batch_id: int, job: LoadJob) -> None:
     """Write one micro-batch and its status rows.
 
-    A batch whose status rows exist is skipped. Data goes to one folder per
+    Files that no scan has registered are registered first, so none is lost. A batch whose status rows exist is skipped. Data goes to one folder per
     load, replaced as a whole, so a batch that failed between data and status
     writes the same rows again.
     """
@@ -24,11 +24,12 @@ def commit_batch(df: DataFrame, batch_id: int, job: LoadJob) -> None:
     status = _read_or_empty(spark, job.status, STATUS_SCHEMA)
     if not status.filter(F.col("batch_id") == batch_id).isEmpty():
         return
+    register_paths(spark, job, df.select("path"))
     tracking = _read_or_empty(spark, job.tracking, TRACKING_SCHEMA)
     done = status.filter("action_type = 'loaded'").select("load_id")
-    todo = tracking.join(done, "load_id", "left_anti").select("load_id", "file_location", "destination_schema")
-    keyed = df.join(todo, "file_location")
-    (keyed.drop("file_location", "destination_schema").write.mode("overwrite")
+    todo = tracking.join(done, "load_id", "left_anti").select("load_id", "path", "destination_schema")
+    keyed = df.join(todo, "path")
+    (keyed.drop("path", "destination_schema").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(job.data))
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     files = keyed.select("load_id", "destination_schema").distinct()
@@ -50,7 +51,7 @@ def load_stream(spark: SparkSession, job: LoadJob, files_per_commit: int | None
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_commit or job.files_per_commit)
         .csv(job.scan_location)
-        .withColumn("file_location", plain_path(F.col("_metadata.file_path")))
+        .withColumn("path", plain_path(F.col("_metadata.file_path")))
     )
     query = (
         rows.writeStream.foreachBatch(lambda df, batch_id: commit_batch(df, batch_id, job))
