@@ -203,9 +203,7 @@ def bagging_plan(df: DataFrame, key, estimators, rows=1.0, replace: bool = True,
         mean = rows if isinstance(rows, float) else rows / df.count()
 
         def draw(e):
-            unit = md5_number(value_key(seed, e, *keys)) / F.lit(float(HASH_RANGE))
-            weight = F.transform(F.array(unit), lambda u: _poisson_weight(u, mean))[0]  # hashes once
-            return F.struct(e.alias("estimator"), weight.alias("weight"))
+            return F.struct(e.alias("estimator"), _row_weight(keys, e, mean, seed).alias("weight"))
 
         drawn = F.filter(F.transform(every, draw), lambda d: d["weight"] > 0)
         return df.select(*keys, F.explode(drawn).alias("_d")).select(*keys, "_d.*")
@@ -214,6 +212,18 @@ def bagging_plan(df: DataFrame, key, estimators, rows=1.0, replace: bool = True,
     return sample_n(spread, wanted, "estimator", ["estimator", *keys], seed).withColumn("weight", F.lit(1))
 
 
+def _row_weight(keys: list[str], estimator, mean: float, seed: int):
+    """Poisson multiplicity of a row for one estimator."""
+    unit = md5_number(value_key(seed, estimator, *keys)) / F.lit(float(HASH_RANGE))
+    return F.transform(F.array(unit), lambda u: _poisson_weight(u, mean))[0]  # hashes once
+
+
+def _drawn_weight(df: DataFrame, key, estimator: int, rows, seed: int):
+    """The weight that ``bagging_plan`` with replacement gives a row of ``df``."""
+    mean = rows if isinstance(rows, float) else rows / df.count()
+    return _row_weight(_as_list(key), F.lit(estimator), mean, seed)
+
+
 def feature_plan(features, estimator: int, cols=1.0, replace: bool = False, seed: int = 0) -> list[str]:
     """Feature subset of one estimator; column names are few and drawn on the driver."""
     rng = np.random.default_rng([seed, estimator])
@@ -233,18 +243,29 @@ class Ensemble:
     def scores(self, df: DataFrame, key) -> DataFrame:
         """Class probabilities of every base model: ``(key, estimator, probs)``; no shuffle."""
         keys = _as_list(key)
+        rows = F.array(*[F.struct(F.lit(i).alias("estimator"), F.col(f"_v{i}").alias("probs")) for i in range(len(self.models))])
+        return self._wide(df, keys).select(*keys, F.explode(rows).alias("_s")).select(*keys, "_s.*")
+
+    def _wide(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """Keys and the probability array ``_v<i>`` of each base model, side by side on the row."""
         out = df
         for i, (model, cols) in enumerate(zip(self.models, self.features)):
             model.setFeaturesCol("_x").setPredictionCol(f"_c{i}").setProbabilityCol(f"_p{i}").setRawPredictionCol("_r")
             unique = list(dict.fromkeys(cols))
             out = model.transform(assemble(out, unique, "_x")).drop("_x", "_r", f"_c{i}")
-        rows = F.array(*[
-            F.struct(F.lit(i).alias("estimator"), vector_to_array(f"_p{i}").alias("probs")) for i in range(len(self.models))
-        ])
-        return out.select(*keys, F.explode(rows).alias("_s")).select(*keys, "_s.*")
+        return out.select(*keys, *[vector_to_array(f"_p{i}").alias(f"_v{i}") for i in range(len(self.models))])
 
     def predict_proba(self, df: DataFrame, key) -> DataFrame:
-        return mean_proba(self.scores(df, key), key)
+        """Mean probability of each class, taken on the row: no shuffle. The key names rows, so it is unique."""
+        keys = _as_list(key)
+        classes = max(model.numClasses for model in self.models)
+        means = []
+        for c in range(classes):
+            parts = [F.get(f"_v{i}", F.lit(c)) for i in range(len(self.models))]
+            known = sum((p.isNotNull().cast("int") for p in parts), F.lit(0))
+            means.append(sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)) / known)
+        wide = self._wide(df, keys).select(*keys, F.array(*means).alias("_means"))
+        return wide.select(*keys, F.posexplode("_means").alias("class_index", "p"))
 
     def predict(self, df: DataFrame, key) -> DataFrame:
         return ensemble_class(self.predict_proba(df, key))
@@ -268,10 +289,11 @@ def fit_bagging(df: DataFrame, features, label: str, key, estimators=10, rows=1.
     models, subsets = [], []
     for e in numbers:
         subset = feature_plan(list(features), e, cols, replace_cols, seed)
-        plan = bagging_plan(df, key, [e], rows, replace, seed)
-        # The plan of one estimator with replacement is an expression on the row itself,
-        # so Spark plans this join on the key both sides already have.
-        weighted = match_on(df, plan.drop("estimator"), _as_list(key)).withColumn("_w", F.col("weight").cast("double"))
+        if replace:  # the multiplicity is an expression on the row: no join
+            weighted = df.withColumn("_w", _drawn_weight(df, key, e, rows, seed).cast("double")).filter("_w > 0")
+        else:
+            plan = bagging_plan(df, key, [e], rows, replace, seed)
+            weighted = match_on(df, plan.drop("estimator"), _as_list(key)).withColumn("_w", F.col("weight").cast("double"))
         data = assemble(weighted.withColumn("_y", F.col(label).cast("double")), list(dict.fromkeys(subset)), "_x")
         tree = DecisionTreeClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxDepth=depth, seed=seed + e)
         models.append(tree.fit(data))

@@ -14,7 +14,7 @@ from tidewright.queries.registry import query
 from tidewright.session import scratch_path
 from tidewright.sources.records import example_records, read_annotations, read_split, write_shards
 from tidewright.sources.tables import append_log, ensure_table, read_table
-from tidewright.sources.text_files import discover
+from tidewright.sources.text_files import discover, mark_done
 from tidewright.streaming.loads import load_stream
 
 NOW = datetime(2000, 1, 1)
@@ -101,6 +101,16 @@ def rows_per_folder(spark, folder):
     return load_report(rows.withColumnRenamed("o_orderpriority", "priority").join(found, "priority"), ["priority"])
 
 
+@query("SELECT r_name, '1' AS content FROM region")
+def run_markers(spark, folder):
+    """A marker file per region, found again by the parameter in its name."""
+    path = scratch_path(spark, "markers")
+    for row in table(spark, folder, "region").select("r_name").collect():
+        mark_done(spark, path, region=row["r_name"])
+    name = F.url_decode(F.regexp_extract(F.input_file_name(), "region-(.*)_[0-9]+/[^/]*$", 1))
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(name.alias("r_name"), F.col("value").alias("content"))
+
+
 @query("SELECT o_orderkey AS load_id, CASE WHEN o_orderstatus = 'F' THEN 'loaded' ELSE 'failed' END AS action_type FROM orders")
 def status_log(spark, folder):
     """A log created empty and appended to in two parts."""
