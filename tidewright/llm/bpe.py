@@ -28,10 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import WORD_AND_MARKS, Remembered, slices, text_bytes
+from tidewright.llm.common import WORD_AND_MARKS, Remembered, claim, slices, text_bytes
 
-#: Entries of a generation of the cache of chunks and of each other cache: at most some 200 MB in all.
-CACHE_CHUNKS, CACHE = 250_000, 80_000
+#: Entries of a generation of the cache of chunks and of each other cache: at most some 100 MB in all.
+CACHE_CHUNKS, CACHE = 160_000, 40_000
 #: Longest piece or half that is remembered, in bytes.
 REMEMBERED = 48
 #: Bytes of a leaf of the tree, which is merged directly.
@@ -186,6 +186,7 @@ _RANKS: dict[tuple[str, str], Ranks] = {}
 
 def _ranks(path: str, pattern: str) -> Ranks:
     """Loaded once per worker."""
+    claim("bpe", _RANKS.clear)
     if (path, pattern) not in _RANKS:
         _RANKS[path, pattern] = load_ranks(path, pattern)
     return _RANKS[path, pattern]

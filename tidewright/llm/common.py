@@ -13,7 +13,8 @@ from tidewright.session import scratch_path
 
 #: Words as runs of anything but ASCII white space.
 BLANK = r"[\x20\x09-\x0D]+"
-WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Spark's switch that removes shuffle files at the end of a query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,11 +25,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once below the shared checkpoint folder and read it from there.
 
     The files are complete before anything reads them, so a lost executor
-    costs no recomputation of what came before.
+    costs no recomputation of what came before, and the shuffle files of the write go as soon as it ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,6 +58,16 @@ def empty_if_null(name: str):
 WORD_AND_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
 
 
+_HELD: dict = {}
+
+
+def claim(operator: str, forget) -> None:
+    """Say that a worker now works for an operator: what others have remembered in it is forgotten."""
+    for other in [name for name in _HELD if name != operator]:
+        _HELD.pop(other)()
+    _HELD[operator] = forget
+
+
 class Remembered(dict):
     """A dict that finds missing values with ``find`` and keeps at most two generations of ``limit`` entries."""
 
@@ -59,6 +75,10 @@ class Remembered(dict):
         super().__init__()
         self.find, self.limit, self.old = find, limit, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, key):
         if key in self.old:
             found = self.old[key]

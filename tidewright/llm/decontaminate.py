@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import store, slices, text_bytes
+from tidewright.llm.common import claim, store, slices, text_bytes
 
 #: Words of an item that make a window; a shorter item is one window.
 WINDOW = 10
@@ -196,6 +196,7 @@ _LOADED: list = []
 
 def _automaton(shared) -> Automaton:
     """The automaton of a broadcast, unpickled once per worker."""
+    claim("decontaminate", _LOADED.clear)
     if not _LOADED or _LOADED[0] is not shared:
         _LOADED[:] = [shared, pickle.loads(shared.value)]
     return _LOADED[1]

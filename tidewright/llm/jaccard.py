@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import Remembered, slices, store, text_bytes
+from tidewright.llm.common import Remembered, claim, slices, store, text_bytes
 from tidewright.llm.components import components
 
 #: Words of an n-gram and the least similarity in percent.
@@ -36,7 +36,7 @@ WORDS_PER_GRAM, PERCENT = 5, 80
 #: Classes in a leaf, about.
 LEAF_CLASSES = 256
 #: Words whose hash a worker keeps, per generation.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 80_000
 #: Bits of the filter that spares texts of untested classes the shuffle: 2 MB, whatever the input.
 FILTER_BITS = 1 << 24
 
@@ -115,6 +115,7 @@ def sets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     """doc_id, n, class, point, prefix of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard", _HASHES.forget)
         for batch in slices(batches):
             n, names, points, prefixes = [], [], [], []
             for text in text_bytes(batch.column(1)):
@@ -152,6 +153,7 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, text_col: str) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(classes))  # 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard", _HASHES.forget)
         bits = shared.value
         for batch in slices(batches):
             names, found = [], []
@@ -279,24 +281,24 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     least = found.groupBy("group").agg(F.min(F.struct("doc_id", "class")).alias("_r")).select("_r.*")
     counts = found.groupBy("doc_id", "class").agg(F.count("*").alias("_rows"))
     same = F.col("l.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("l.class") == F.col("c.class"))
-    stay = least.alias("l").join(counts.alias("c"), same).select(
+    stay = store(least.alias("l").join(counts.alias("c"), same).select(
         F.col("l.doc_id").alias("_id"), F.col("l.class").alias("_kept"), "_rows"
-    )
+    ), "kept")
     columns = docs.columns
     named = docs.mapInArrow(_namer(columns, text_col), docs.withColumn("_class", F.lit(None).cast("long")).schema)
-    kept = named.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_kept")))
-    parts = (
-        named.where("_class is null").select(*columns),
-        kept.where("_rows = 1").select(*columns),
-        kept.where("_rows > 1").dropDuplicates(["_id", "_class"]).select(*columns),
-    )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_kept"))
+    kept = named.join(stay, match, "left").where("_class is null or _kept is not null")
+    if stay.where("_rows > 1").isEmpty():
+        return kept.select(*columns)
+    once = kept.where("_class is null or _rows = 1").select(*columns)
+    return once.unionByName(kept.where("_rows > 1").dropDuplicates(["_id", "_class"]).select(*columns))
 
 
 def _namer(columns: list[str], text_col: str):
     """Adds the class of each row's set, null without n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard", _HASHES.forget)
         for batch in slices(batches):
             found = [gram_set(t) for t in text_bytes(batch.column(text_col))]
             names = pa.array([class_name(m) if len(m) else None for m in found], pa.int64())

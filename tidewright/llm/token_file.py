@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import WORD_AND_MARKS, Remembered, empty_if_null, slices, text_bytes
+from tidewright.llm.common import WORD_AND_MARKS, Remembered, claim, empty_if_null, slices, text_bytes
 
 #: A block is closed at this many ids; one longer document makes one longer block.
 BLOCK_IDS = 1 << 20
@@ -141,6 +141,7 @@ _TOKENIZERS: dict[tuple[str, str], WordIds] = {}
 
 
 def _word_ids(path: str, dtype: str) -> WordIds:
+    claim("token_file", _TOKENIZERS.clear)
     if (path, dtype) not in _TOKENIZERS:
         _TOKENIZERS[path, dtype] = WordIds(path, dtype)
     return _TOKENIZERS[path, dtype]
