@@ -192,6 +192,17 @@ def _ranks(path: str, pattern: str) -> Ranks:
     return _RANKS[path, pattern]
 
 
+def _id_lists(ranks: Ranks, texts: list[bytes]) -> pa.ListArray:
+    found = [ranks.encode_bytes(t) for t in texts]
+    ends = np.cumsum([0, *map(len, found)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+
+def _bytes_of(ranks: Ranks, ids: pa.ListArray) -> pa.Array:
+    flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+    return pa.array([ranks.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.binary())
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """All rows and columns, with the ids of the whole text as ``array<int>``.
 
@@ -204,9 +215,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(path, pattern)
         for batch in slices(batches):
-            found = [ranks.encode_bytes(t) for t in text_bytes(batch.column(text_col))]
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+            ids = _id_lists(ranks, text_bytes(batch.column(text_col)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), ids], names=[*columns, ids_col])
 
     return out.mapInArrow(run, schema)
@@ -221,14 +230,23 @@ def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(path, pattern)
         for batch in slices(batches):
-            ids = batch.column(columns.index(ids_col))
-            flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
-            texts = [ranks.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.binary())], names=[*columns, bytes_col])
+            texts = _bytes_of(ranks, batch.column(columns.index(ids_col)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), texts], names=[*columns, bytes_col])
 
     return out.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``encode`` then ``decode``."""
-    return decode(encode(docs, path, pattern, text_col), path, pattern)
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """``encode`` then ``decode`` of these ids, in one worker per task so that the caches are held once."""
+    out = docs.drop(ids_col, bytes_col)
+    columns = out.columns
+    schema = out.withColumns({ids_col: F.lit(None).cast("array<int>"), bytes_col: F.lit(None).cast("binary")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _ranks(path, pattern)
+        for batch in slices(batches):
+            ids = _id_lists(ranks, text_bytes(batch.column(text_col)))
+            new = [ids, _bytes_of(ranks, ids)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, ids_col, bytes_col])
+
+    return out.mapInArrow(run, schema)

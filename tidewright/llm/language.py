@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.keys import hash_unit
-from tidewright.llm.common import slices, text_bytes
+from tidewright.llm.common import claim, slices, text_bytes
 
 #: Labelled rows per language that the model is fitted on, about; chosen by hash of id and text.
 FIT_ROWS = 2_000
@@ -122,6 +122,7 @@ def fit(
     sample = rows.join(F.broadcast(counts), "_lang").where(draw * F.col("_n") < fit_rows)  # one row per language, as in the model
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language", int)  # nothing to forget
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
@@ -155,6 +156,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     shared = docs.sparkSession.sparkContext.broadcast((model.names, model.table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language", int)
         local = LanguageModel(*shared.value)
         for batch in slices(batches):
             found = [local.predict(t) for t in text_bytes(batch.column(text_col))]
