@@ -197,32 +197,49 @@ def _verified(pairs: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     return both.where(100 * common >= PERCENT * (F.size("_a") + F.size("_b") - common)).select("a", "b")
 
 
-def _leaf_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) from rows (member, class, comp, n, point) that meet in leaves and pass the bounds.
+def _leaf_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) from rows (member, class, comp, n) that meet in leaves and pass the bounds.
 
-    Similar sets differ in size by a quarter at most, so they lie in the same or in adjacent bands of that ratio.
+    Similar sets differ in size by a quarter at most, so they lie in the same or in adjacent bands of that ratio. A
+    band's classes are dealt into leaves of about ``LEAF_CLASSES`` by hash; a cell is a pair of leaves, and points are joined
+    only once the cells are known.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
     banded = rows.withColumn("band", band)
     counts = banded.groupBy("member", "band").agg(F.count("*").alias("_n"))
-    dealt = banded.join(counts, ["member", "band"]).withColumn(
-        "leaf", F.pmod(F.xxhash64("class", "member"), F.ceil(F.col("_n") / LEAF_CLASSES)).cast("int")
-    )
-    held = F.collect_list(F.struct("class", "comp", "n", "point"))
-    leaves = store(dealt.groupBy("member", "band", "leaf").agg(held.alias("rows")), "leaves")
-    left = leaves.select("member", "band", F.col("leaf").alias("_leaf"), F.col("rows").alias("_rows"), F.lit(True).alias("same"))
-    right = left.withColumn("band", F.col("band") + 1).withColumn("same", F.lit(False))
-    met = leaves.join(left.unionByName(right), ["member", "band"]).where(~F.col("same") | (F.col("leaf") <= F.col("_leaf")))
+    leaves = F.ceil(F.col("_n") / LEAF_CLASSES).cast("int")
+    lower = counts.select("member", (F.col("band") + 1).alias("band"), leaves.alias("_below"))
+    upper = counts.select("member", (F.col("band") - 1).alias("band"), leaves.alias("_above"))
+    around = counts.withColumn("_leaves", leaves).join(lower, ["member", "band"], "left").join(upper, ["member", "band"], "left")
+    dealt = banded.join(around, ["member", "band"]).withColumn("_leaf", F.pmod(F.xxhash64("class", "member"), "_leaves").cast("int"))
+
+    def cells(count, at, side: str, left, right):
+        """One cell for each of ``count`` partner leaves."""
+        partners = F.filter(F.sequence(F.lit(0), F.greatest(F.coalesce(count, F.lit(0)), F.lit(1)) - 1), lambda k: k < F.coalesce(count, F.lit(0)))
+        return F.transform(partners, lambda k: F.struct(at.alias("at"), F.lit(side).alias("side"), left(k).alias("i"), right(k).alias("j")))
+
+    own, leaf = 2 * F.col("band"), F.col("_leaf")
+    alone = F.when(F.col("_n") > 1, F.col("_leaves"))  # a band of one class has no pairs of its own
+    same = F.filter(cells(alone, own, "a", lambda k: leaf, lambda k: k), lambda c: c["j"] <= c["i"])
+    other = F.filter(cells(alone, own, "b", lambda k: k, lambda k: leaf), lambda c: c["j"] < c["i"])
+    down = cells(F.col("_below"), own - 1, "a", lambda k: leaf, lambda k: k)
+    up = cells(F.col("_above"), own + 1, "b", lambda k: k, lambda k: leaf)
+    placed = dealt.select("member", "class", "comp", "n", F.explode(F.concat(same, other, down, up)).alias("_c"))
+    full = placed.join(classes.select("class", "point"), "class")
+    held = F.collect_list(F.struct(F.col("_c.side").alias("side"), "class", "comp", "n", "point"))
+    met = full.groupBy("member", "_c.at", "_c.i", "_c.j").agg(held.alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 16):
             found: set[tuple[int, int]] = set()
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found.update(_leaf_join(a, b))
+            for rows in batch.column(0).to_pylist():
+                left, right = ([r for r in rows if r["side"] == side] for side in "ab")
+                if left:
+                    found.update(_leaf_join(left, right or left))
             ordered = sorted(found)
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in ordered], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return met.select("rows", "_rows").mapInArrow(run, "a long, b long").distinct()
+    return met.select("rows").mapInArrow(run, "a long, b long").distinct()
 
 
 def _leaf_join(a: list[dict], b: list[dict]) -> Iterator[tuple[int, int]]:
@@ -260,8 +277,8 @@ def similar_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     comp = F.coalesce("comp", "class").alias("comp")
     placed = met.select("member", "class").join(joined.withColumnRenamed("node", "class"), "class", "left").select("member", "class", comp)
     mixed = placed.groupBy("member").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("member")
-    open_rows = placed.join(mixed, "member").join(classes, "class")
-    more = store(_verified(store(_leaf_pairs(open_rows), "leaf-pairs"), docs, text_col), "more-links")
+    open_rows = store(placed.join(mixed, "member").join(classes.select("class", "n"), "class"), "open")
+    more = store(_verified(store(_leaf_pairs(open_rows, classes), "leaf-pairs"), docs, text_col), "more-links")
     found = components(links.unionByName(more))
 
     named = rows.join(found.withColumnRenamed("node", "class"), "class", "left")
