@@ -4,8 +4,10 @@ One pass measures each text. Per language and source each measure is summed up i
 a relative-error quantile sketch: counts of logarithmic buckets, which merge by
 adding (per task before the shuffle, then per group, language and corpus). A
 document is kept when each measure lies inside the fences that its group's
-quantiles set; small groups borrow the sketch of their language, then that of all
-documents. Thresholds join back on the group, one row each.
+quartiles set; small groups borrow the sketch of their language, then that of all
+documents. A group's fences lie inside wider ones of its language and, for shares, of
+all documents, so that a source full of junk does not set its own standard.
+Thresholds join back on the group, one row each.
 
 Only column functions are used. Measures are written once and read twice.
 """
@@ -21,16 +23,22 @@ from tidewright.llm.common import BLANK, empty_if_null, store
 ERROR = 0.02
 #: Rows a group needs for its own thresholds.
 LEAST_ROWS = 200
-#: A value is out when it lies so many times the distance from the median to the outer quantile beyond that quantile.
-REACH = 3.0
-LOW, MIDDLE, HIGH = 0.05, 0.5, 0.95
+#: A value is out when it lies so many times the distance from the median to a quartile beyond that quartile.
+REACH = 8.0
+#: The fences of a language and of the corpus bound those of their groups at so many times the distance from the quartile.
+BOUND = 2.0
+LOW, LOWER, MIDDLE, UPPER, HIGH = 0.05, 0.25, 0.5, 0.75, 0.95
 #: Base rules: fewest words, most repeated words in percent. Fixed values.
 LEAST_WORDS, MOST_REPEATED = 20, 30
 #: Words of a window that counts as repeated, and the symbols. Fixed values.
 REPEAT_WORDS, SYMBOLS = 8, "#*$%&|<>"
-#: Measures that are fenced: whether low values, too, are out, and the least distance of a fence from its quantile,
-#: so that a group without any spread does not lose each document that differs a little.
-MEASURES = {"symbol_share": (False, 0.05), "dup_line_share": (False, 0.05), "word_length": (True, 2.0)}
+#: Measures that are fenced: whether low values, too, are out, the least distance of a fence from its quartile,
+#: so that a group without any spread does not lose each document that differs a little, and whether the corpus
+#: bounds the fence, which would be wrong for the length of words and texts, since languages differ in them.
+MEASURES = {
+    "symbol_share": (False, 0.05, True), "dup_line_share": (False, 0.5, True), "repeat_share": (False, 0.25, True),
+    "word_length": (True, 2.0, False), "log_words": (True, 3.0, False),
+}
 
 
 def words_of(text: Column) -> Column:
@@ -59,11 +67,11 @@ def _repeated_words(sorted_hashes: Column) -> Column:
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All rows and columns with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null text counts as empty.
+    """All rows and columns with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words; null text counts as empty.
 
     Columns of these names are replaced. Windows are compared by 64-bit hash within one text.
     """
-    base = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    base = docs.drop("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
     text = empty_if_null(text_col)
     lines = F.filter(F.split(text, "\n"), lambda s: F.regexp_like(s, F.lit(r"[^\x20\x09-\x0D]")))
     first = base.select(
@@ -73,13 +81,14 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     second = first.select(
         *base.columns, "n_symbols", F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _window_hashes(F.col("_words")).alias("_hashes"),
     )
     any_twice = F.size(F.array_distinct(F.transform("_hashes", lambda x: x["h"]))) < F.size("_hashes")
     repeated = F.when(any_twice, _repeated_words(F.col("_hashes"))).otherwise(F.lit(0).cast("long"))
     return second.select(
-        *base.columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"),
+        *base.columns, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", repeated.alias("n_repeat_words"),
     )
 
 
@@ -88,11 +97,12 @@ def base_failed() -> Column:
 
 
 def shares() -> list[Column]:
-    """Measures as numbers that do not grow with the text; null without words."""
-    n, lines = F.nullif("n_words", F.lit(0)), F.col("n_dup_lines")
+    """Measures as shares, means and the logarithm of the words; null without words."""
+    n, lines = F.nullif("n_words", F.lit(0)), F.nullif("n_lines", F.lit(0))
     return [
-        (F.col("n_symbols") / n).alias("symbol_share"), (lines / n).alias("dup_line_share"),
-        (F.col("word_chars") / n).alias("word_length"),
+        (F.col("n_symbols") / n).alias("symbol_share"), (F.col("n_dup_lines") / lines).alias("dup_line_share"),
+        (F.col("n_repeat_words") / n).alias("repeat_share"), (F.col("word_chars") / n).alias("word_length"),
+        F.log(n).alias("log_words"),
     ]
 
 
@@ -123,7 +133,7 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows and the low, middle and high quantile of each group and measure: the value of the bucket of rank ceil(q n)."""
+    """Rows, quartiles and the low and high quantile of each group and measure: the value of the bucket of rank ceil(q n)."""
     group = Window.partitionBy(*keys, "measure")
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketches.withColumns({"_upto": F.sum("n").over(upto), "_all": F.sum("n").over(group)})
@@ -132,22 +142,34 @@ def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
         return F.min(F.when(F.col("_upto") >= F.ceil(q * F.col("_all")), _bucket_value(F.col("bucket"))))
 
     return ranked.groupBy(*keys, "measure").agg(
-        F.max("_all").alias("rows"), at(LOW).alias("low"), at(MIDDLE).alias("middle"), at(HIGH).alias("high"),
+        F.max("_all").alias("rows"), at(LOW).alias("low"), at(LOWER).alias("lower"), at(MIDDLE).alias("middle"),
+        at(UPPER).alias("upper"), at(HIGH).alias("high"),
     )
 
 
 def _wide(found: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """One row per group: for each measure the fence below and above, null with too few rows."""
+    """One row per group: for each measure the fence below and above and the bounds for finer groups, null with too few rows."""
     enough = F.col("rows") >= LEAST_ROWS
     columns = []
-    for m, (_, slack) in MEASURES.items():
-        below = F.col("low") - F.greatest(REACH * (F.col("middle") - F.col("low")), F.lit(slack))
-        above = F.col("high") + F.greatest(REACH * (F.col("high") - F.col("middle")), F.lit(slack))
+    for m, (_, slack, _) in MEASURES.items():
+        down = F.greatest(REACH * (F.col("middle") - F.col("lower")), F.lit(slack))
+        up = F.greatest(REACH * (F.col("upper") - F.col("middle")), F.lit(slack))
+        fences = {
+            "below": F.col("lower") - down, "above": F.col("upper") + up,
+            "least": F.col("lower") - BOUND * down, "most": F.col("upper") + BOUND * up,
+        }
         mine = enough & (F.col("measure") == m)
-        columns += [F.max(F.when(mine, below)).alias(f"{prefix}{m}_below"), F.max(F.when(mine, above)).alias(f"{prefix}{m}_above")]
+        columns += [F.max(F.when(mine, fence)).alias(f"{prefix}{m}_{name}") for name, fence in fences.items()]
     return found.groupBy(*keys).agg(*columns)
 
 
+def _fence(measure: str, side: str, bound: str, by_corpus: bool) -> Column:
+    """Fence of the group, else of its language or the corpus, inside the bounds of the coarser ones."""
+    own = F.coalesce(*[f"{p}{measure}_{side}" for p in ("_own_", "_lang_", "_all_")])
+    bounds = [F.col(f"{p}{measure}_{bound}") for p in (("_lang_", "_all_") if by_corpus else ("_lang_",))]
+    return (F.least if side == "above" else F.greatest)(own, *bounds)  # nulls are skipped
+
+
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """All rows and columns, the measures, ``base_failed`` and ``kept``.
 
@@ -169,10 +191,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
         .join(F.broadcast(_wide(quantiles(merge(by_lang, []), []), [], "_all_")), how="left")  # one row
     )
     inside = F.lit(True)
-    for m, (two_sided, _) in MEASURES.items():
-        above = F.coalesce(f"_own_{m}_above", f"_lang_{m}_above", f"_all_{m}_above")
-        inside &= F.coalesce(F.col(m) <= above, F.lit(True))
+    for m, (two_sided, _, by_corpus) in MEASURES.items():
+        inside &= F.coalesce(F.col(m) <= _fence(m, "above", "most", by_corpus), F.lit(True))
         if two_sided:
-            below = F.coalesce(f"_own_{m}_below", f"_lang_{m}_below", f"_all_{m}_below")
-            inside &= F.coalesce(F.col(m) >= below, F.lit(True))
+            inside &= F.coalesce(F.col(m) >= _fence(m, "below", "least", by_corpus), F.lit(True))
     return marked.select(*keep, "base_failed", (~F.col("base_failed") & inside).alias("kept"))
