@@ -2,7 +2,8 @@
 
 The labelled URLs are those that a rule decides. A bounded sample of them
 (``fit_rows``) trains gradient-boosted trees on length, depth, digit ratio,
-character entropy, parameter counts and smoothed block rates of host suffixes.
+character entropy, parameter counts and smoothed block rates of host suffixes,
+domains and first path parts; the rates count all labelled URLs.
 Everything is built of column functions and the JVM's tree learner; rules are a
 literal, so no join is made for them, and suffix statistics are joined on the
 suffix after aggregation, whose size is that of the distinct suffixes.
@@ -18,6 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import store
+
 #: Rules of the query: host, path, verdict. Fixed values.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 #: Most labelled rows the trees are fitted on, chosen by hash.
@@ -82,7 +85,6 @@ def lexical_features(pages: DataFrame, url_col: str = "url") -> DataFrame:
     out = pages.withColumn("_host", host).withColumn("_path", path)
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     labels = F.split("_host", r"\.")
-    first = F.regexp_extract("_path", r"^/([^/]*)", 1)
     return out.select(
         "*",
         F.length(url).cast("double").alias("_url_length"), F.length("_host").cast("double").alias("_host_length"),
@@ -94,21 +96,26 @@ def lexical_features(pages: DataFrame, url_col: str = "url") -> DataFrame:
         F.size(F.filter(F.split(query, "&"), lambda p: p != "")).cast("double").alias("_parameters"),
         F.contains(url, F.lit("#")).cast("double").alias("_has_fragment"),
         F.startswith(url, F.lit("https:")).cast("double").alias("_is_https"),
-        F.substring_index("_host", ".", -1).alias("_suffix"), F.substring_index("_host", ".", -2).alias("_domain"),
-        first.alias("_first_part"),
+        *_keys(),
     )
 
 
-def _sample(labelled: DataFrame, rows: int) -> DataFrame:
-    """At most about ``rows`` rows by hash of the URL, with equal URLs counted once."""
-    distinct = labelled.dropDuplicates(["_url"])
-    n = distinct.count()
+def _sample(distinct: DataFrame, n: int, rows: int) -> DataFrame:
+    """At most about ``rows`` of ``n`` rows by hash of the URL."""
     return distinct if n <= rows else distinct.where(F.pmod(F.xxhash64("_url"), F.lit(1 << 20)) < int((1 << 20) * rows / n))
 
 
-def _rates(sample: DataFrame, key: str, prior: float) -> DataFrame:
+def _keys() -> list[Column]:
+    """Host suffix, domain and first part of the path, over which block rates are counted."""
+    return [
+        F.substring_index("_host", ".", -1).alias("_suffix"), F.substring_index("_host", ".", -2).alias("_domain"),
+        F.regexp_extract("_path", r"^/([^/]*)", 1).alias("_first_part"),
+    ]
+
+
+def _rates(labelled: DataFrame, key: str, prior: float) -> DataFrame:
     rate = (F.sum("_label") + PRIOR_ROWS * prior) / (F.count("*") + PRIOR_ROWS)
-    return sample.groupBy(key).agg(rate.alias(f"{key}_rate"))
+    return labelled.groupBy(key).agg(rate.alias(f"{key}_rate"))
 
 
 def _with_rates(rows: DataFrame, rates: dict[str, DataFrame], prior: float) -> DataFrame:
@@ -120,20 +127,22 @@ def _with_rates(rows: DataFrame, rates: dict[str, DataFrame], prior: float) -> D
 def fit(pages: DataFrame, rules=RULES, url_col: str = "url", fit_rows: int = FIT_ROWS, rounds: int = 15, depth: int = 4) -> UrlModel | None:
     """Trees from the URLs that a rule decides; None where they hold one verdict only.
 
-    ``fit_rows`` bounds the labelled rows for the fit. Nulls are never labelled.
+    ``fit_rows`` bounds the labelled rows for the trees; the block rates count all labelled URLs, equal ones once. Nulls are
+    never labelled.
     """
     name, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
     host, path = split_url(url_col)
     labelled = (
         pages.select(F.col(url_col).alias("_url"), host.alias("_host"), path.alias("_path"))
-        .select("_url", (verdict == "block").cast("double").alias("_label"))
+        .select("_url", (verdict == "block").cast("double").alias("_label"), *_keys())
         .where(F.col("_label").isNotNull())
     )
-    sample = lexical_features(_sample(labelled, fit_rows), "_url").cache()
-    prior, n_labels = sample.agg(F.avg("_label"), F.countDistinct("_label")).first()
-    if n_labels < 2:
+    labelled = store(labelled.dropDuplicates(["_url"]), "labelled_urls")
+    prior, least, most, n = labelled.agg(F.avg("_label"), F.min("_label"), F.max("_label"), F.count("*")).first()
+    if least == most:  # also without rows
         return None
-    rates = {key: _rates(sample, key, prior) for key in ("_suffix", "_domain", "_first_part")}
+    rates = {key: store(_rates(labelled, key, prior), f"rates{key}") for key in ("_suffix", "_domain", "_first_part")}
+    sample = lexical_features(_sample(labelled.select("_url", "_label"), n, fit_rows), "_url").cache()
     train = _assemble(_with_rates(sample, rates, prior))
     trees = GBTClassifier(
         labelCol="_label", featuresCol="_features", maxIter=rounds, maxDepth=depth, seed=7, stepSize=0.2, cacheNodeIds=False,
