@@ -12,6 +12,7 @@ from tidewright.operators.boxes import (
     match_boxes,
     nms,
 )
+from tidewright.operators.order import row_index
 from tidewright.operators.raster import box_features, central_crop, global_avg, grid_cells, max_around, max_filter, pyramid_pool
 from tidewright.queries.fixtures import CLASSES, annotations, boxes, detections, images, rounded, vectors, with_
 from tidewright.queries.registry import query
@@ -70,7 +71,7 @@ def detection_average_precision(spark, folder):
 
 @query()
 def detection_map_by_limit(spark, folder):
-    return detection_map_set(detections(spark, folder), annotations(spark, folder), (0.5, 0.75, 0.95))
+    return detection_map_set(detections(spark, folder), annotations(spark, folder))
 
 
 _CELLS = """cells AS (SELECT vec_id, CAST((i - 1) % 8 AS INTEGER) AS x, CAST((i - 1) // 8 AS INTEGER) AS y, v AS value
@@ -125,5 +126,8 @@ def pyramid_of_boxes(spark, folder):
 
 @query()
 def box_feature_arrays(spark, folder):
-    """Boxes of the images that have a grid, on an 8 x 8 grid of 28-pixel steps."""
-    return box_features(_grids(spark, folder), boxes(spark, folder), images(spark, folder), cells=8, stride=28)
+    """All boxes, on an 8 x 8 grid of 28-pixel steps; image i takes the grid at place i modulo their number."""
+    placed = row_index(_grids(spark, folder).withColumnRenamed("img_id", "vec_id"), "vec_id", "place")
+    shown = images(spark, folder)
+    taken = shown.select("img_id", F.pmod("img_id", F.lit(placed.count())).alias("place"))
+    return box_features(taken.join(placed, "place").drop("place", "vec_id"), boxes(spark, folder), shown, cells=8, stride=28)
