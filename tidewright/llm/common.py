@@ -38,6 +38,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have: the name with as many leading underscores as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_bytes(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow text column; null is empty."""
     return [b"" if v is None else v for v in column.cast("binary").to_pylist()]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import jaccard, language, quality, secret_scan, shards, transcripts, url_filter
+from tidewright.llm.block_names import exact_classes
 from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import store, table
 from tidewright.llm.decontaminate import contamination, n_hit
@@ -106,7 +107,17 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of equal texts by block names; the largest id of each stays."""
+    return exact_classes(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_file, op2_decontamination, op3_transcripts, op4_byte_bpe, op5_language, op6_jaccard_join, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
+    op13_exact_dedup,
 )}
-ORACLE: dict[str, str] = {}
+#: SQL of the queries that SQL can say.
+ORACLE: dict[str, str] = {
+    "op13_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(low) AS text_sha256
+        FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents) WINDOW same AS (PARTITION BY low)""",
+}
