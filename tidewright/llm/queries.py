@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import jaccard, language, quality, secret_scan, shards, transcripts, url_filter
+from tidewright.llm import jaccard, language, merkle, quality, secret_scan, shards, transcripts, url_filter
 from tidewright.llm.block_names import exact_classes
 from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import store, table
@@ -107,6 +107,22 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents in trees by source; rows with an even checksum of the id lose their line ends and fail."""
+    docs = table(spark, folder, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf, cut = merkle.leaf_digest(*columns, F.col("text")), merkle.leaf_digest(*columns, F.replace("text", F.lit("\n"), F.lit("")))
+    leaves = docs.select("doc_id", F.col("source").alias("group"), leaf.alias("digest"), F.when(tampered, cut).otherwise(leaf).alias("again"))
+    proven = merkle.manifest(leaves, ["doc_id"])
+    names = {"leaf": "digest", "subroot": "subroot", "root": "root"}
+    out = proven.select(
+        "doc_id", *[F.lower(F.hex(c)).alias(n) for n, c in names.items()], F.sha2(F.array_join(merkle.proof(), ""), 256).alias("proof_sha256"),
+        merkle.folded("again").alias("folded_root"),
+    )
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of equal texts by block names; the largest id of each stays."""
     return exact_classes(table(spark, folder, "documents"))
@@ -114,10 +130,39 @@ def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_file, op2_decontamination, op3_transcripts, op4_byte_bpe, op5_language, op6_jaccard_join, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
-    op13_exact_dedup,
+    op11_merkle_manifest, op13_exact_dedup,
 )}
+def _merkle_sql() -> str:
+    fields = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars")]
+    text = "coalesce(strlen({0}) || ':' || {0}, '-')"
+    head = " || ".join(fields) + " || "
+    return f"""WITH RECURSIVE
+    crc_table AS (SELECT list(list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+        FROM (SELECT unnest(range(256)) AS i)),
+    leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({head}{text.format("text")}) AS digest, sha256({head}{text.format("replace(text, chr(10), '')")}) AS cut,
+            xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS crc FROM documents, crc_table),
+    low AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    up AS (SELECT tree, 0 AS lvl, idx, n, digest FROM low UNION ALL
+        SELECT tree, lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY tree, lvl, idx // 3, n),
+    subroots AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+    top AS (SELECT 0 AS lvl, idx, n, subroot AS digest FROM subroots UNION ALL
+        SELECT lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 3, n),
+    path AS (SELECT doc_id, tree, 0 AS lvl, idx, n, '' AS proof, CASE WHEN crc % 2 = 0 THEN cut ELSE digest END AS fold FROM low UNION ALL
+        SELECT p.doc_id, p.tree, p.lvl + 1, p.idx // 3, (p.n + 2) // 3, p.proof || coalesce(string_agg(u.digest, '' ORDER BY u.idx) FILTER (WHERE u.idx <> p.idx), ''),
+            sha256(string_agg(CASE WHEN u.idx = p.idx THEN p.fold ELSE u.digest END, '' ORDER BY u.idx))
+        FROM path p JOIN up u ON u.tree = p.tree AND u.lvl = p.lvl AND u.idx // 3 = p.idx // 3 WHERE p.n > 1 GROUP BY p.doc_id, p.tree, p.lvl, p.idx, p.n, p.proof, p.fold),
+    crown AS (SELECT p.doc_id, 0 AS lvl, s.idx, s.n, p.proof, p.fold, s.subroot FROM path p JOIN subroots s USING (tree) WHERE p.n = 1 UNION ALL
+        SELECT p.doc_id, p.lvl + 1, p.idx // 3, (p.n + 2) // 3, p.proof || coalesce(string_agg(u.digest, '' ORDER BY u.idx) FILTER (WHERE u.idx <> p.idx), ''),
+            sha256(string_agg(CASE WHEN u.idx = p.idx THEN p.fold ELSE u.digest END, '' ORDER BY u.idx)), p.subroot
+        FROM crown p JOIN top u ON u.lvl = p.lvl AND u.idx // 3 = p.idx // 3 WHERE p.n > 1 GROUP BY p.doc_id, p.lvl, p.idx, p.n, p.proof, p.fold, p.subroot)
+    SELECT doc_id, low.digest AS leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = t.digest AS verified
+    FROM crown JOIN low USING (doc_id), (SELECT digest FROM top WHERE n = 1) t WHERE crown.n = 1"""
+
+
 #: SQL of the queries that SQL can say.
 ORACLE: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op13_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(low) AS text_sha256
         FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents) WINDOW same AS (PARTITION BY low)""",
 }
