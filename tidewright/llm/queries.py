@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import jaccard, language, merkle, quality, secret_scan, shards, transcripts, url_filter
+from tidewright.llm import hard_negatives, jaccard, language, merkle, quality, secret_scan, shards, transcripts, url_filter
 from tidewright.llm.block_names import exact_classes
 from tidewright.llm.bpe import round_trip
 from tidewright.llm.common import store, table
@@ -123,6 +123,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector; every seventh label is shifted."""
+    vectors = table(spark, folder, "embeddings").where(hard_negatives.usable("label", "embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), label.cast("long").alias("label"), hard_negatives.integer_vector("embedding").alias("vec"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of equal texts by block names; the largest id of each stays."""
     return exact_classes(table(spark, folder, "documents"))
@@ -130,7 +138,7 @@ def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_file, op2_decontamination, op3_transcripts, op4_byte_bpe, op5_language, op6_jaccard_join, op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shards,
-    op11_merkle_manifest, op13_exact_dedup,
+    op11_merkle_manifest, op12_hard_negatives, op13_exact_dedup,
 )}
 def _merkle_sql() -> str:
     fields = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars")]
@@ -163,6 +171,16 @@ def _merkle_sql() -> str:
 #: SQL of the queries that SQL can say.
 ORACLE: dict[str, str] = {
     "op11_merkle_manifest": _merkle_sql(),
+    "op12_hard_negatives": """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        scored AS (SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same, CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+            FROM v a JOIN v ON a.vec_id % 100 = 0 AND v.vec_id <> a.vec_id),
+        positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM scored JOIN positives USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 10""",
     "op13_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(low) AS text_sha256
         FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents) WINDOW same AS (PARTITION BY low)""",
 }
