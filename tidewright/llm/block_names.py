@@ -27,6 +27,8 @@ from tidewright.llm.common import free_name, slices, store, text_bytes
 
 #: Bytes of a block.
 BLOCK = 2048
+#: A class that holds at least this share of all rows (one in ``LARGE``) is large.
+LARGE = 2000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -133,11 +135,16 @@ def classes(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """row, id, keep_id, group_size, kept, digest for each row of rows(row, id, text), as ``identities`` takes it.
 
     Of equal texts the row with the largest id stays (a null id is the smallest; of equal ids the one with the largest row).
-    Counts and maxima combine before the shuffle; a class with very many rows is only joined to its one line of figures.
+    Counts and maxima combine before the shuffle. Rows of large classes, of which there are ``LARGE`` at most, get
+    their class's figures by a broadcast and are not shuffled by class.
     """
-    found = identities(rows, block)
-    best = found.groupBy("level", "name").agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("group_size"))
-    return found.join(best, ["level", "name"]).select(
+    found, by = identities(rows, block), ["level", "name"]
+    best = store(found.groupBy(*by).agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("group_size")), "classes")
+    total = best.agg(F.sum("group_size")).first()[0] or 0
+    is_large = F.col("group_size") * LARGE >= F.lit(total)
+    large = best.where(is_large)
+    told = found.join(F.broadcast(large), by).unionByName(found.join(F.broadcast(large.select(*by)), by, "left_anti").join(best.where(~is_large), by))
+    return told.select(
         "row", "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("best.row") == F.col("row")).alias("kept"), "digest",
     )
 
