@@ -6,12 +6,9 @@ from tidewright.queries.fixtures import EVENT_TYPES, table
 from tidewright.queries.registry import query
 from tidewright.session import scratch_path
 from tidewright.sources.tables import read_table
+from tidewright.streaming.closing import run_to_end
 from tidewright.streaming.evaluate import accuracy_of_hits, stream_eval
-from tidewright.streaming.events import stream_counts, stream_dedupe, stream_first_arrival, stream_next_gap
-
-# The watermark of a finished run: latest event less ten minutes, in whole milliseconds.
-_MARK = "mark AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - 600000000 AS mark FROM events)"
-
+from tidewright.streaming.events import stream_counts, stream_distinct, stream_first_arrival, stream_next_gap
 
 def _stream(spark, folder, name="events"):
     """One table of the folder as a file stream; times as instants."""
@@ -25,43 +22,46 @@ def _stream(spark, folder, name="events"):
     return rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
-def _finish(sdf, label):
-    """Write a stream to a new folder until its input is used up, and read it back."""
-    spark = sdf.sparkSession
+def _naive(df):
+    """Instants as the plain timestamps of the given tables."""
+    return df.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
+
+
+def _to_end(spark, sdf, label, make):
+    """The whole result of a stream: read until its input is used up, then closed."""
     path = scratch_path(spark, label)
-    writer = sdf.writeStream.format("parquet").outputMode("append").option("checkpointLocation", path + "-checkpoint")
-    writer.trigger(availableNow=True).start(path).awaitTermination()
-    out = spark.read.schema(sdf.schema).parquet(path)
-    return out.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in out.dtypes])
+    return _naive(run_to_end(sdf, make, "ts", path, path + "-checkpoint"))
 
 
-@query(f"""WITH {_MARK} SELECT user_id, event_type, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n
-    FROM events, mark WHERE epoch_us(date_trunc('hour', ts) + INTERVAL 1 HOUR) <= mark GROUP BY 1, 2, 3, 4""")
+@query("""SELECT user_id, event_type, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n
+    FROM events GROUP BY 1, 2, 3, 4""")
 def windowed_stream_counts(spark, folder):
-    return _finish(stream_counts(_stream(spark, folder), ["user_id", "event_type"], "ts", "1 hour", "10 minutes"), "counts")
+    return _to_end(spark, _stream(spark, folder), "counts", lambda s: stream_counts(s, ["user_id", "event_type"], "ts", "1 hour", "10 minutes"))
 
 
-@query(f"""WITH {_MARK}, gaps AS (SELECT user_id, event_id, epoch_us(ts) AS t, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nt FROM events)
-    SELECT user_id, event_id, CASE WHEN nt IS NULL THEN 3000000000 - t // 1000000 ELSE nt // 1000000 - t // 1000000 END AS next_gap
-    FROM gaps, mark WHERE nt <= mark OR (nt IS NULL AND t + 604800000000 <= mark)""")
+@query("""SELECT user_id, event_id, coalesce(lead(epoch_us(ts) // 1000000) OVER (PARTITION BY user_id ORDER BY ts, event_id), 3000000000)
+    - epoch_us(ts) // 1000000 AS next_gap FROM events""")
 def next_gap_on_stream(spark, folder):
-    """The gaps whose end the watermark has passed; the rest is still open."""
-    return _finish(stream_next_gap(_stream(spark, folder), "user_id", "ts", "event_id", "10 minutes"), "gaps")
+    """Every event, the last of each user with its sentinel."""
+    return _to_end(spark, _stream(spark, folder), "gaps", lambda s: stream_next_gap(s, "user_id", "ts", "event_id", "10 minutes"))
 
 
-@query(f"""WITH {_MARK}, coded AS (SELECT user_id AS series_id, ts, CASE WHEN event_type = 'error' THEN 10 ELSE 0 END + CAST(value > 40 AS INTEGER) AS code FROM events, mark WHERE epoch_us(ts) <= mark),
-    stepped AS (SELECT *, lag(code, 1, 0) OVER (PARTITION BY series_id ORDER BY ts) AS before FROM coded)
-    SELECT series_id, min(ts) FILTER (WHERE code < 10 AND code - before = 1) AS found_at FROM stepped GROUP BY series_id
-    HAVING arg_min(code, ts) FILTER (WHERE code < 10) <> 1 AND min(ts) FILTER (WHERE code < 10 AND code - before = 1) IS NOT NULL""")
+@query("""WITH coded AS (SELECT user_id AS series_id, ts, CASE WHEN event_type = 'error' THEN 10 ELSE 0 END + CAST(value > 40 AS INTEGER) AS code FROM events),
+    stepped AS (SELECT *, lag(code, 1, 0) OVER (PARTITION BY series_id ORDER BY ts) AS before FROM coded),
+    facts AS (SELECT series_id, min(ts) FILTER (WHERE code < 10 AND code - before = 1) AS arrived, arg_min(code, ts) FILTER (WHERE code < 10) AS first,
+        count(*) FILTER (WHERE code < 10) AS clear_n FROM stepped GROUP BY series_id)
+    SELECT series_id, CAST(CASE WHEN clear_n = 0 THEN NULL WHEN first = 1 OR clear_n = 1 THEN -1 ELSE 0 END AS INTEGER) AS status,
+        CASE WHEN clear_n > 1 AND first <> 1 THEN arrived END AS found_at FROM facts""")
 def first_arrival_on_stream(spark, folder):
+    """A status for each series."""
     series = _stream(spark, folder).selectExpr("user_id as series_id", "ts", "cast(event_type = 'error' as int) as cloud", "cast(value > 40 as int) as water")
-    return _finish(stream_first_arrival(series, "series_id", "ts", "cloud", "water"), "arrivals")
+    return _to_end(spark, series, "arrivals", lambda s: stream_first_arrival(s, "series_id", "ts", "cloud", "water"))
 
 
 @query("SELECT DISTINCT user_id FROM events")
 def deduplicated_stream(spark, folder):
-    """One row per user; all copies lie within the delay."""
-    return _finish(stream_dedupe(_stream(spark, folder).select("user_id", "ts"), "user_id", "ts", "60 days"), "users").select("user_id")
+    """One row per user, however far apart the copies lie."""
+    return _to_end(spark, _stream(spark, folder).select("user_id", "ts"), "users", lambda s: stream_distinct(s, "user_id", "ts", "1 day")).select("user_id")
 
 
 @query("""SELECT day(ts) AS step, count(*) AS n, round(avg(CAST(own >= best AS DOUBLE)), 9) AS top_1, round(avg(CAST(better < 3 AS DOUBLE)), 9) AS top_3
