@@ -1,4 +1,4 @@
-"""Model data flow: boosting rounds by cross validation, bagging, stacking, searches.
+"""Model data flow: searches, bagging, stacking, leaf features, hard negatives, scoring (boosted trees: ``boosting``).
 
 Every fit is a distributed Spark ML fit; a loop on the driver only starts them.
 """
@@ -6,26 +6,26 @@ Every fit is a distributed Spark ML fit; a loop on the driver only starts them.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     FMClassifier,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.keys import HASH_RANGE, match_on, md5_number, value_key
 from tidewright.functions.vectors import log_mean_exp
+from tidewright.operators.boosting import Boosted
 from tidewright.operators.metrics import roc_auc, throughput
 from tidewright.operators.order import _as_list, stratified_folds
 from tidewright.operators.select import sample_n
@@ -38,95 +38,6 @@ def add_class_weight(df: DataFrame, label: str, positive_weight: float, name: st
     return df.withColumn(name, F.when(F.col(label) == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0)))
 
 
-# ---------------------------------------------------------------- boosting
-
-
-@dataclass
-class Boosted:
-    """Boosted trees, of which the first ``rounds`` are used."""
-
-    model: object
-    rounds: int
-    features: list[str]
-    cv: list[tuple[int, float]] = field(default_factory=list)
-
-    def margins(self, df: DataFrame, name: str = "margins", rounds: int | None = None) -> DataFrame:
-        """Running sum of the tree outputs, one entry per round."""
-        trees = self.model.trees[: rounds or self.model.getNumTrees]
-        out = assemble(df, self.features, "_x")
-        for i, tree in enumerate(trees):
-            tree.setPredictionCol(f"_t{i}").setFeaturesCol("_x")
-            out = tree.transform(out)
-        weighted = [F.col(f"_t{i}") * float(w) for i, w in zip(range(len(trees)), self.model.treeWeights)]
-        sums, total = [], F.lit(0.0)
-        for w in weighted:
-            total = total + w
-            sums.append(total)
-        return out.withColumn(name, F.array(*sums)).drop("_x", *[f"_t{i}" for i in range(len(trees))])
-
-    def transform(self, df: DataFrame, name: str = "p") -> DataFrame:
-        """Probability of class 1 and the 0/1 prediction."""
-        scored = self.margins(df, "_m", self.rounds)
-        margin = F.element_at("_m", -1)
-        return scored.withColumn(name, 1 / (1 + F.exp(-2 * margin))).withColumn("prediction", (margin > 0).cast("int")).drop("_m")
-
-
-def _gbt(max_iter, depth, step, seed, weight):
-    gbt = GBTClassifier(featuresCol="_x", labelCol="_y", maxIter=max_iter, maxDepth=depth, stepSize=step, seed=seed)
-    return gbt.setWeightCol(weight) if weight else gbt
-
-
-def _train(df, features, label):
-    return assemble(df.withColumn("_y", F.col(label).cast("double")), features, "_x")
-
-
-def _auc_by_round(model: Boosted, valid: DataFrame, label: str) -> DataFrame:
-    scored = model.margins(valid, "_m").select(label, F.posexplode("_m").alias("round", "score"))
-    return roc_auc(scored, label, "score", ["round"])
-
-
-def _stop_round(aucs: list[float], patience: int) -> int:
-    """Rounds to keep: the best one before ``patience`` rounds without gain."""
-    best, at = float("-inf"), 0
-    for i, auc in enumerate(aucs):
-        if auc > best:
-            best, at = auc, i
-        elif i - at >= patience:
-            break
-    return at + 1
-
-
-def fit_boosted(df: DataFrame, features, label: str, key, folds: int = 5, max_iter: int = 20, patience: int = 5,
-                depth: int = 5, step: float = 0.1, seed: int = 0, weight: str | None = None) -> Boosted:
-    """Boosted trees with the number of rounds that has the best mean AUC over the folds."""
-    split = cut(stratified_folds(df, label, key, folds, seed, "_fold"))
-    per_round = None
-    for fold in range(folds):
-        train = _train(split.filter(F.col("_fold") != fold), features, label)
-        fitted = Boosted(_gbt(max_iter, depth, step, seed, weight).fit(train), max_iter, list(features))
-        aucs = _auc_by_round(fitted, split.filter(F.col("_fold") == fold), label)
-        per_round = aucs if per_round is None else per_round.unionByName(aucs)
-    mean = per_round.groupBy("round").agg(F.avg("auc").alias("auc")).orderBy("round").collect()  # one row per round
-    rounds = _stop_round([r["auc"] for r in mean], patience)
-    model = _gbt(rounds, depth, step, seed, weight).fit(_train(df, features, label))
-    return Boosted(model, rounds, list(features), [(r["round"], r["auc"]) for r in mean])
-
-
-def fit_chunks(df: DataFrame, features, label: str, chunk: str = "chunk", max_iter: int = 20, patience: int = 5,
-               depth: int = 5, step: float = 0.1, seed: int = 0, weight: str | None = None) -> list[Boosted]:
-    """One model for each chunk but chunk 0, which decides when each stops."""
-    valid = df.filter(F.col(chunk) == 0)
-    last = df.agg(F.max(chunk)).first()[0] or 0
-    out = []
-    for number in range(1, last + 1):
-        train = _train(df.filter(F.col(chunk) == number), features, label)
-        fitted = Boosted(_gbt(max_iter, depth, step, seed, weight).fit(train), max_iter, list(features))
-        aucs = _auc_by_round(fitted, valid, label).orderBy("round").collect()  # one row per round
-        fitted.rounds = _stop_round([r["auc"] for r in aucs], patience)
-        out.append(fitted)
-    return out
-
-
 # ---------------------------------------------------------------- searches
 
 
@@ -384,13 +295,11 @@ def fit_stack(scores: DataFrame, cols, label: str, c: float = 1e6) -> Stack:
 
 def leaf_features(df: DataFrame, model: Boosted, name: str = "leaves") -> DataFrame:
     """The leaf a row reaches in each tree, as one sparse one-hot vector."""
-    used = model.model.setLeafCol("_leaf").setFeaturesCol("_x")
-    scored = used.transform(assemble(df, model.features, "_x")).withColumn("_l", vector_to_array("_leaf"))
-    trees = range(model.model.getNumTrees)
-    spread = scored.select(*df.columns, *[F.col("_l")[i].alias(f"_l{i}") for i in trees])
-    encoder = OneHotEncoder(inputCols=[f"_l{i}" for i in trees], outputCols=[f"_h{i}" for i in trees], dropLast=False, handleInvalid="keep")
-    hot = encoder.fit(spread).transform(spread)
-    return VectorAssembler(inputCols=[f"_h{i}" for i in trees], outputCol=name).transform(hot).select(*df.columns, name)
+    counts = model.leaf_counts
+    starts = [sum(counts[:i]) for i in range(len(counts))]
+    places = F.transform(F.arrays_zip(F.col("_l").alias("leaf"), F.array(*[F.lit(s) for s in starts]).alias("start")), lambda p: p["leaf"] + p["start"])
+    sparse = F.udf(lambda at, size=sum(counts): Vectors.sparse(size, at, [1.0] * len(at)), VectorUDT())
+    return model.leaves(df, "_l").withColumn(name, sparse(places)).select(*df.columns, name)
 
 
 def fit_fm(df: DataFrame, label: str, features: str = "leaves", factors: int = 5, max_iter: int = 50, seed: int = 0):
