@@ -1,5 +1,6 @@
 """Fit-and-apply features on the policy stand-in."""
 
+from tidewright.operators.neighbours import neighbour_information
 from tidewright.operators.tabular import LabelBinarizer, OneHot, Scaler, kinetic, kinetic_groups, mutual_information
 from tidewright.queries.fixtures import policy, rounded, table, with_
 from tidewright.queries.registry import query
@@ -70,6 +71,31 @@ def mutual_information_with_target(spark, folder):
     return rounded(mutual_information(policy(spark, folder), ["ps_ind_03", "ps_ind_15", "ps_car_01_cat", "ps_reg_01"], "target"), 9)
 
 
+def _psi(x):
+    """Digamma of a whole number in SQL."""
+    up = f"({x} + 6.0::DOUBLE)"
+    shift = " - ".join(["", *[f"1 / ({x} + {i}.0::DOUBLE)" for i in range(6)]])
+    return f"(ln({up}) - 0.5::DOUBLE / {up} - 1 / (12 * {up} ** 2) + 1 / (120 * {up} ** 4) - 1 / (252 * {up} ** 6) + 1 / (240 * {up} ** 8){shift})"
+
+
+_NEAR = ", ".join(f"x - lag(x, {i}) OVER w, lead(x, {i}) OVER w - x" for i in (1, 2, 3))
+
+
+@query(with_("policy", f""", long AS (SELECT 'ps_reg_03' AS feature, target AS y, CAST(ps_reg_03 AS DOUBLE) AS x FROM policy
+        UNION ALL SELECT 'ps_car_13', target, ps_car_13 FROM policy UNION ALL SELECT 'ps_ind_15', target, ps_ind_15 FROM policy),
+    sized AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS size FROM long QUALIFY size > 1),
+    near AS (SELECT feature, x, size, least(3, size - 1) AS k, list_sort(list_filter([{_NEAR}], lambda v: v IS NOT NULL))[least(3, size - 1)] AS r
+        FROM sized WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+    cum AS (SELECT feature, x AS v, count(*) AS here, CAST(sum(count(*)) OVER (PARTITION BY feature ORDER BY x) AS BIGINT) AS upto FROM near GROUP BY feature, x),
+    counted AS (SELECT q.feature, size, k, hi.upto - coalesce(lo.upto, 0) AS m FROM near q ASOF JOIN cum hi ON q.feature = hi.feature AND q.x + r > hi.v
+          ASOF LEFT JOIN cum lo ON q.feature = lo.feature AND q.x - r >= lo.v WHERE r > 0
+        UNION ALL SELECT q.feature, size, k, here FROM near q JOIN cum ON q.feature = cum.feature AND q.x = v WHERE r = 0)
+    SELECT feature, round(greatest(0.0::DOUBLE, {_psi('count(*)')} + avg({_psi('k')}) - avg({_psi('size')}) - avg({_psi('m')})), 6) AS mi FROM counted GROUP BY feature"""))
+def neighbour_information_with_target(spark, folder):
+    """The published estimator: third neighbour of the same class."""
+    return rounded(neighbour_information(policy(spark, folder), ["ps_reg_03", "ps_car_13", "ps_ind_15"], "target"), 6)
+
+
 @query()
 def mutual_information_of_bins(spark, folder):
     """Quantile bins are approximate, so only rows are checked here; a test compares with exact bins."""
