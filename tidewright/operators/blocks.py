@@ -2,7 +2,7 @@
 
 A point set of n vectors has n * n distances; where these are too many,
 ``landmarks`` draws a subset. Points are cut into blocks of fixed size and the unit of work is one pair of blocks (a tile).
-Tiles are balanced by construction and each is one dense array in one row.
+Tiles are balanced by construction. Sums, products and components use a tile when it is there and drop it.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.keys import hash_unit
 from tidewright.operators.order import row_index
 from tidewright.operators.select import sample_n
-from tidewright.session import cut
+from tidewright.session import cut, stored
 
 BLOCK = 256
 #: Columns of a block of the Gram matrix.
@@ -79,14 +79,14 @@ def point_blocks(df: DataFrame, id: str, vec: str, block: int = BLOCK) -> DataFr
     )
 
 
-def distance_tiles(blocks: DataFrame, sigma: float | None = None) -> DataFrame:
-    """Squared distances of each pair of blocks (or their RBF kernel), one dense tile per row.
+def distance_tiles(blocks: DataFrame) -> DataFrame:
+    """Squared distances of each pair of blocks, one dense tile per row.
 
     Each block is sent to the row and to the column of tiles it takes part in
     and the tiles meet in an equi join, so every task has the same work.
     """
     count = blocks.count()
-    other = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    other = F.explode(F.sequence(F.lit(0), F.lit(max(count, 1) - 1)))
     left = blocks.select(F.col("block").alias("bi"), other.alias("bj"), F.col("ids").alias("ids_i"), F.col("values").alias("vi"))
     right = blocks.select(F.col("block").alias("bj"), other.alias("bi"), F.col("ids").alias("ids_j"), F.col("values").alias("vj"))
     pairs = left.join(right, ["bi", "bj"]).select("bi", "bj", "ids_i", "ids_j", "vi", "vj")
@@ -95,9 +95,7 @@ def distance_tiles(blocks: DataFrame, sigma: float | None = None) -> DataFrame:
         for frame in frames:
             out = []
             for ids_i, ids_j, vi, vj in zip(frame.ids_i, frame.ids_j, frame.vi, frame.vj):
-                x, y = vi.reshape(len(ids_i), -1), vj.reshape(len(ids_j), -1)
-                d = np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T), 0.0)
-                out.append((np.exp(-d / sigma**2) if sigma else d).ravel())
+                out.append(squared_distances(vi.reshape(len(ids_i), -1), vj.reshape(len(ids_j), -1)).ravel())
             yield pd.DataFrame({"bi": frame.bi, "bj": frame.bj, "ids_i": frame.ids_i, "ids_j": frame.ids_j, "tile": out})
 
     return pairs.mapInPandas(tile, "bi int, bj int, ids_i array<long>, ids_j array<long>, tile array<double>")
@@ -116,130 +114,242 @@ def all_pairs(df: DataFrame, id: str, vec: str, block: int = BLOCK) -> DataFrame
         .select("i", "c.j", "c.d2")
 
 
-def rbf_kernel(df: DataFrame, id: str, vec: str, sigma: float, block: int = BLOCK) -> DataFrame:
-    """RBF kernel tiles, written to the shared folder since every iteration reads them."""
-    return cut(distance_tiles(point_blocks(df, id, vec, block), sigma))
+def _sides(points: DataFrame, extra: str) -> DataFrame:
+    """Each pair of blocks once, with the points and the column ``extra`` of both."""
+    last = points.agg(F.max("block")).first()[0]
+    last = -1 if last is None else last
+    columns = ["ids", "values", extra]
+    left = points.where(F.col("block") <= last).select(
+        F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(max(last, 0)))).alias("bj"), *[F.col(c).alias(f"{c}_i") for c in columns])
+    right = points.select(
+        F.col("block").alias("bj"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi"), *[F.col(c).alias(f"{c}_j") for c in columns])
+    return left.join(right, ["bi", "bj"])
 
 
-def kernel_means(tiles: DataFrame) -> tuple[DataFrame, float]:
-    """Mean of each kernel row, and the mean of all entries."""
-    def sums(frames):
-        for f in frames:
-            ids, totals, sizes = [], [], []
-            for a, b, t in zip(f.ids_i, f.ids_j, f.tile):
-                ids.append(a)
-                totals.append(t.reshape(len(a), len(b)).sum(1))
-                sizes.append(np.full(len(a), len(b)))
-            if ids:
-                yield pd.DataFrame({"id": np.concatenate(ids), "s": np.concatenate(totals), "n": np.concatenate(sizes)})
-
-    rows = (
-        tiles.select("ids_i", "ids_j", "tile").mapInPandas(sums, "id long, s double, n long")
-        .groupBy("id").agg((F.sum("s") / F.sum("n")).alias("row_mean"))
-    )
-    rows = cut(rows)
-    return rows, rows.agg(F.avg("row_mean")).first()[0]
-
-
-def centre(tiles: DataFrame) -> DataFrame:
-    """Kernel less row and column means plus the grand mean, tile by tile."""
-    means, grand = kernel_means(tiles)
-    # The means of a block travel with its number; a block has a fixed size.
-    members = tiles.filter("bj = 0").select(F.col("bi").alias("b"), F.posexplode("ids_i").alias("p", "id"))
-    packed = members.join(means, "id").groupBy("b").agg(
-        F.sort_array(F.collect_list(F.struct("p", "row_mean"))).alias("m")
-    ).select("b", F.col("m.row_mean").alias("m"))
-    joined = (
-        tiles.join(packed.withColumnsRenamed({"b": "bi", "m": "mi"}), "bi")
-        .join(packed.withColumnsRenamed({"b": "bj", "m": "mj"}), "bj")
-        .select("bi", "bj", "ids_i", "ids_j", "tile", "mi", "mj")
-    )
+def squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T), 0.0)
+
+
+#: Numbers that a task sums before it hands them on.
+HELD = 1 << 23
 
-    def shift(frames):
+
+def tile_sums(points: DataFrame, extra: str, rows_of) -> DataFrame:
+    """``rows_of(d2, own, other)`` summed over all points, by block: ``block, ids, sums``.
+
+    ``d2`` is a tile of squared distances, ``own`` and ``other`` are the arrays ``extra`` of its rows and of its columns; the result has a row (of
+    any width) for each row of the tile. A tile serves both of its blocks and is dropped: nothing of size n x n is stored or sent.
+    """
+    def run(frames):
+        sums: dict[int, np.ndarray] = {}
+        ids: dict[int, np.ndarray] = {}
         for f in frames:
-            out = [
-                (t.reshape(len(a), len(b)) - a[:, None] - b[None, :] + grand).ravel()
-                for t, a, b in zip(f.tile, f.mi, f.mj)
-            ]
-            yield f[["bi", "bj", "ids_i", "ids_j"]].assign(tile=out)
+            for bi, bj, ids_i, ids_j, vi, vj, ei, ej in zip(f.bi, f.bj, f.ids_i, f.ids_j, f.values_i, f.values_j, f[f"{extra}_i"], f[f"{extra}_j"]):
+                d2 = squared_distances(vi.reshape(len(ids_i), -1), vj.reshape(len(ids_j), -1))
+                ei, ej = ei.reshape(len(ids_i), -1), ej.reshape(len(ids_j), -1)
+                parts = [(bi, ids_i, rows_of(d2, ei, ej))] + ([(bj, ids_j, rows_of(d2.T, ej, ei))] if bi != bj else [])
+                for b, names, part in parts:
+                    sums[b] = sums[b] + part if b in sums else part
+                    ids[b] = names
+                if sum(v.size for v in sums.values()) > HELD:
+                    yield pd.DataFrame({"block": list(sums), "ids": list(ids.values()), "sums": [v.ravel() for v in sums.values()]})
+                    sums, ids = {}, {}
+        if sums:
+            yield pd.DataFrame({"block": list(sums), "ids": list(ids.values()), "sums": [v.ravel() for v in sums.values()]})
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": frame["block"][:1], "ids": frame["ids"][:1], "sums": [np.sum(np.stack(frame["sums"]), axis=0)]})
 
-    return cut(joined.mapInPandas(shift, "bi int, bj int, ids_i array<long>, ids_j array<long>, tile array<double>"))
+    schema = "block int, ids array<long>, sums array<double>"
+    return _sides(points, extra).mapInPandas(run, schema).groupBy("block").applyInPandas(add, schema)
 
 
-def _grams(z: DataFrame, old: DataFrame, d: int) -> tuple[np.ndarray, np.ndarray]:
-    """``Z'Z`` and ``Z'Z_old`` of two tall matrices held as blocks; two d x d matrices reach the driver."""
-    joined = z.join(old.select("b", F.col("q").alias("old")), "b").select("q", "old")
+def _by_point(sums: DataFrame, name: str) -> DataFrame:
+    """One number for each point from ``tile_sums`` of width 1."""
+    return sums.select(F.explode(F.arrays_zip("ids", "sums")).alias("r")).select(F.col("r.ids").alias("id"), F.col("r.sums").alias(name))
 
-    def partial(frames):
-        total = np.zeros((2, d, d))
+
+def row_means(df: DataFrame, id: str, vec: str, sigma: float | None = None, block: int = BLOCK) -> DataFrame:
+    """Mean of each row of the matrix of squared distances, or of the RBF kernel of width ``sigma``: ``id, row_mean``."""
+    points = cut(point_blocks(df, id, vec, block)).withColumn("one", F.transform("ids", lambda _: F.lit(1.0)))
+    sums = tile_sums(points, "one", lambda d2, _, other: (np.exp(-d2 / sigma**2) if sigma else d2) @ other)
+    n = points.agg(F.sum(F.size("ids"))).first()[0] or 1
+    return _by_point(sums, "row_mean").withColumn("row_mean", F.col("row_mean") / n)
+
+
+def centred_energy(df: DataFrame, id: str, vec: str, sigma: float, block: int = BLOCK) -> DataFrame:
+    """Sum of squares of each row of the centred RBF kernel: ``id, energy``; the means travel with the points."""
+    points = cut(point_blocks(df, id, vec, block))
+    means = cut(row_means(df, id, vec, sigma, block))
+    grand = means.agg(F.avg("row_mean")).first()[0]
+    packed = points.select("block", F.posexplode("ids").alias("p", "id")).join(means, "id").groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("p", "row_mean"))).alias("m")).select("block", F.col("m.row_mean").alias("m"))  # a block has a fixed size
+    sums = tile_sums(points.join(packed, "block"), "m", lambda d2, own, other: ((np.exp(-d2 / sigma**2) - own - other.T + grand) ** 2).sum(1)[:, None])
+    return _by_point(sums, "energy")
+
+
+def _map_q(frame: DataFrame, change, inputs: list[str]) -> DataFrame:
+    """block, ids, q from the arrays ``inputs`` of a block, given as (widths, points, columns)."""
+    def run(frames):
         for f in frames:
-            for q, o in zip(f.q, f.old):
-                x = q.reshape(-1, d)
-                total += np.stack([x.T @ x, x.T @ o.reshape(-1, d)])
-        yield pd.DataFrame({"g": [total.ravel()]})
+            yield pd.DataFrame({"block": f["block"], "ids": f["ids"], "q": [change(len(i), *v).ravel() for i, *v in zip(f["ids"], *[f[c] for c in inputs])]})
 
-    parts = joined.mapInPandas(partial, "g array<double>")
-    sums = parts.select(F.posexplode("g").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()
-    g = np.zeros(2 * d * d)
-    for row in sums:
-        g[row["k"]] = row["v"]
-    return g.reshape(2, d, d)[0], g.reshape(2, d, d)[1]
+    return frame.select("block", "ids", *inputs).mapInPandas(run, "block int, ids array<long>, q array<double>")
 
 
-def _factor(g: np.ndarray) -> np.ndarray:
-    """Upper R with positive diagonal and ``R'R = g``."""
-    return np.linalg.cholesky(g + np.eye(len(g)) * np.trace(g) * 1e-15).T
+def _joint_gram(frames: list[DataFrame], widths: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Products of all columns of the given frames with each other and column sums, by width; small matrices that reach the driver."""
+    joined = frames[0].select("block", F.size("ids").alias("n"), F.col("q").alias("q0"))
+    for k, frame in enumerate(frames[1:], 1):
+        joined = joined.join(frame.select("block", F.col("q").alias(f"q{k}")), "block")
+    names = [f"q{k}" for k in range(len(frames))]
 
+    def partial(batches):
+        total = sums = None
+        points = 0
+        for f in batches:
+            for n, *qs in zip(f["n"], *[f[c] for c in names]):
+                points += n
+                w = np.concatenate([q.reshape(widths, n, -1) for q in qs], axis=2)
+                g, s = w.transpose(0, 2, 1) @ w, w.sum(axis=1)
+                total, sums = (g, s) if total is None else (total + g, sums + s)
+        if total is not None:
+            yield pd.DataFrame({"g": [np.concatenate([total.ravel(), sums.ravel(), [float(points)]])]})
 
-MAX_BROADCAST = 64 << 20
+    rows = joined.select("n", *names).mapInPandas(partial, "g array<double>").select(F.posexplode("g").alias("k", "v"))
+    found = np.array([r.v for r in rows.groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()])
+    count, found = int(found[-1]), found[:-1]
+    columns = int(round((-1 + np.sqrt(1 + 4 * len(found) / widths)) / 2))
+    return found[: widths * columns**2].reshape(widths, columns, columns), found[widths * columns**2:].reshape(widths, columns), count
 
 
-def power_pca(centred: DataFrame, d: int, tol: float = 1e-3, max_iter: int = 1000, seed: int = 0):
-    """Leading ``d`` eigenvalues and components by orthogonal power iteration.
+def _orthonormal(raw: DataFrame, spans: list[DataFrame], widths: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The columns less their means and their share in the orthonormal ``spans``, made orthonormal.
 
-    Returns the values (a list) and a frame ``id, component``. A round multiplies
-    the tiles with the blocks of Q and sums per block; Q itself is kept as
-    ``Z inv(R)`` with a d x d factor R, the only thing the driver sees. Q is
-    broadcast while its known size is small, so that the tiles stay where they
-    are. Rounds are checkpointed.
+    Returns the frame, the shares C and R with ``centred raw = spans C + frame R``, by width.
     """
-    members = centred.filter("bj = 0").select(F.col("bi").alias("b"), F.col("ids_i").alias("ids"))
-    start = F.flatten(F.transform("ids", lambda i: F.array(*[hash_unit(seed, F.lit(c), i) for c in range(d)])))
-    z = cut(members.select("b", "ids", start.alias("q")))
-    points = z.agg(F.sum(F.size("ids"))).first()[0] or 0
-    small = points * d * 8 <= MAX_BROADCAST
-    g, _ = _grams(z, z, d)
-    inverse = np.linalg.inv(_factor(g))
-
-    values = []
-    for _ in range(max_iter):
-        blocks = z.select(F.col("b").alias("bj"), "q")
-        joined = centred.join(F.broadcast(blocks) if small else blocks, "bj").select("bi", "ids_i", "tile", "q")
-
-        def multiply(frames, inverse=inverse):
-            sums, ids = {}, {}
-            for f in frames:
-                for b, a, t, v in zip(f.bi, f.ids_i, f.tile, f.q):
-                    part = t.reshape(len(a), -1) @ (v.reshape(-1, d) @ inverse)
-                    sums[b] = sums[b] + part if b in sums else part
-                    ids[b] = a
-            if sums:
-                yield pd.DataFrame({"b": list(sums), "ids": list(ids.values()), "part": [s.ravel() for s in sums.values()]})
-
-        def add(frame: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"b": frame.b[:1], "ids": frame.ids[:1], "q": [np.sum(np.stack(frame.part), axis=0)]})
-
-        # At most one short row per task and block.
-        parts = joined.mapInPandas(multiply, "b int, ids array<long>, part array<double>")
-        fresh = cut(parts.groupBy("b").applyInPandas(add, "b int, ids array<long>, q array<double>"))
-        g, cross = _grams(fresh, z, d)
-        r = _factor(g)
-        fresh_inverse = np.linalg.inv(r)
-        # Both Q are orthonormal, so their squared difference needs only their inner products.
-        moved = 2 * d - 2 * np.trace(fresh_inverse.T @ cross @ inverse)
-        z, inverse, values = fresh, fresh_inverse, np.diag(r).tolist()
-        if moved < tol:
+    g, sums, n = _joint_gram([*spans, raw], widths)
+    p = g.shape[1] // (len(spans) + 1)
+    m = len(spans) * p
+    mean = sums[:, m:] / n
+    share = g[:, :m, m:] - n * (sums[:, :m] / n)[:, :, None] * mean[:, None, :]
+    left = g[:, m:, m:] - n * mean[:, :, None] * mean[:, None, :]
+    size = np.trace(left, axis1=1, axis2=2)
+    left = left - share.transpose(0, 2, 1) @ g[:, :m, :m] @ share
+    r = np.stack([_factor(a, t) for a, t in zip(left, size)])
+    inverse = np.linalg.inv(r)
+    joined = raw.withColumnRenamed("q", "raw")
+    for k, span in enumerate(spans):
+        joined = joined.join(span.select("block", F.col("q").alias(f"q{k}")), "block")
+
+    def change(points, new, *blocks):
+        rest = new.reshape(widths, points, -1) - mean[:, None, :]
+        if blocks:
+            rest = rest - np.concatenate([b.reshape(widths, points, -1) for b in blocks], axis=2) @ share
+        return rest @ inverse
+
+    return stored(_map_q(joined, change, ["raw", *[f"q{k}" for k in range(len(spans))]]), "columns"), share, r
+
+
+def _factor(g: np.ndarray, size: float) -> np.ndarray:
+    """Upper R with ``R'R = g`` but for directions that are zero against ``size``."""
+    values, basis = np.linalg.eigh((g + g.T) / 2)
+    lifted = basis * np.maximum(values, 1e-12 * size + 1e-300) @ basis.T
+    return np.linalg.cholesky((lifted + lifted.T) / 2).T
+
+
+def kernel_times(points: DataFrame, q: DataFrame, sigmas: list[float]) -> DataFrame:
+    """The RBF kernel of each width times that width's columns ``q``; all widths share a tile's distances."""
+    def rows_of(d2, _, other):
+        parts = np.split(other, len(sigmas), axis=1)
+        return np.concatenate([np.exp(-d2 / sigma**2) @ part for sigma, part in zip(sigmas, parts)], axis=1)
+
+    # Beside the points the columns of all widths lie side by side: (points, widths x columns).
+    flat = _map_q(q, lambda size, v: v.reshape(len(sigmas), size, -1).transpose(1, 0, 2), ["q"])
+    sums = tile_sums(points.join(flat.select("block", "q"), "block"), "q", rows_of).withColumnRenamed("sums", "s")
+    return stored(_map_q(sums, lambda size, v: v.reshape(size, len(sigmas), -1).transpose(1, 0, 2), ["s"]), "product")
+
+
+def _ritz(g: np.ndarray, shares: list[np.ndarray], r: list[np.ndarray], d: int) -> np.ndarray:
+    """Coefficients of the best ``d`` vectors in the span of the first blocks, from products of all blocks."""
+    p = len(r[0])
+    m = len(r) * p
+    image = np.zeros((m + p, m))  # the kernel times block k is the blocks up to k times its share, and block k + 1 times R
+    for k, (share, factor) in enumerate(zip(shares, r)):
+        image[: (k + 1) * p, k * p: (k + 1) * p] = share
+        image[(k + 1) * p: (k + 2) * p, k * p: (k + 1) * p] = factor
+    scale, basis = np.linalg.eigh(g[:m, :m])
+    keep = scale > 1e-6 * scale[-1]
+    white = basis[:, keep] / np.sqrt(scale[keep])
+    inner = white.T @ (g[:m] @ image) @ white
+    _, u = np.linalg.eigh((inner + inner.T) / 2)
+    best = (white @ u)[:, ::-1][:, :d]
+    return np.pad(best, ((0, 0), (0, d - best.shape[1])))  # a column that the span cannot fill stays zero
+
+
+def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, tol: float = 1e-3, cycles: int = 100, steps: int = 9, extra: int = 16,
+               block: int = BLOCK, seed: int = 0) -> list[tuple[list[float], DataFrame]]:
+    """For each width the leading ``d`` eigenvalues of the centred RBF kernel and a frame ``id, component``.
+
+    A restarted block Lanczos iteration on ``d + extra`` columns: a cycle multiplies ``steps`` times, keeps the columns orthogonal and takes the
+    best vectors of their span. It ends when every ``|K q - value q|`` is at most ``tol`` (q of length 1), which the next product tells. Centring is a
+    correction of the columns, not of the kernel; tiles are computed, multiplied and dropped. The driver sees matrices of (steps + 1) * (d + extra) columns.
+    """
+    points = stored(point_blocks(df, id, vec, block), "points")
+    n = points.agg(F.sum(F.size("ids"))).first()[0] or 0
+    if n <= d:
+        raise ValueError(f"{n} points have fewer than {d} components")
+    wide, widths = min(d + extra, n - 1), len(sigmas)
+    steps = max(1, min(steps, (n - 1) // wide - 1))
+    number = F.flatten(F.transform("ids", lambda i: F.array(*[hash_unit(seed, F.lit(c), i) for c in range(wide)])))
+    raw = stored(points.select("block", "ids", F.flatten(F.array_repeat(number, widths)).alias("q")), "start")
+    for _ in range(cycles):
+        first, _, _ = _orthonormal(raw, [], widths)
+        spans, shares, factors = [first], [], []
+        for step in range(steps):
+            q, share, r = _orthonormal(kernel_times(points, spans[-1], sigmas), spans, widths)
+            spans.append(q)
+            shares.append(share)
+            factors.append(r)
+            if step == 0:  # what the product leaves outside the columns themselves
+                values = np.stack([np.diag(c) for c in share])
+                inside = share - values[:, None, :] * np.eye(wide)
+                rest = np.sqrt((inside**2).sum(axis=1) + (r**2).sum(axis=1))[:, :d]
+                if rest.max() <= tol:
+                    break
+        if rest.max() <= tol:
             break
-    rows = z.select(F.posexplode("ids").alias("p", "id"), "q").select("id", F.slice("q", F.col("p") * d + 1, d).alias("_z"))
-    component = [sum((F.get("_z", F.lit(k)) * float(inverse[k, c]) for k in range(d)), F.lit(0.0)) for c in range(d)]
-    return values, rows.select("id", F.array(*component).alias("component"))
+        g, _, _ = _joint_gram(spans, widths)
+        mix = np.stack([_ritz(g[s], [c[s] for c in shares], [r[s] for r in factors], wide) for s in range(widths)])
+        joined = spans[0].withColumnRenamed("q", "q0")
+        for k, span in enumerate(spans[1:-1], 1):
+            joined = joined.join(span.select("block", F.col("q").alias(f"q{k}")), "block")
+
+        def combined(size, *blocks, mix=mix):
+            return np.concatenate([b.reshape(widths, size, -1) for b in blocks], axis=2) @ mix
+
+        raw = stored(_map_q(joined, combined, [f"q{k}" for k in range(len(spans) - 1)]), "best")
+    out = []
+    for s in range(widths):
+        start = F.lit(s) * F.size("ids") * wide
+        rows = first.select(F.posexplode("ids").alias("p", "id"), start.alias("start"), "q")
+        out.append((values[s, :d].tolist(), rows.select("id", F.slice("q", F.col("start") + F.col("p") * wide + 1, d).alias("component"))))
+    return out
+
+
+def residuals(df: DataFrame, id: str, vec: str, sigma: float, values: list[float], components: DataFrame, block: int = BLOCK) -> DataFrame:
+    """For each component its length, its mean and ``|K q - value q|`` by one more product with the centred kernel."""
+    points = cut(point_blocks(df, id, vec, block))
+    d = len(values)
+    q = points.select("block", "ids", F.posexplode("ids").alias("p", "id")).join(components, "id").groupBy("block").agg(
+        F.first("ids").alias("ids"), F.flatten(F.sort_array(F.collect_list(F.struct("p", "component")))["component"]).alias("q"))  # a block has a fixed size
+    q = cut(q)
+    image = kernel_times(points, q, [sigma])
+    g, sums, n = _joint_gram([q, image], 1)
+    mean = sums[0] / n
+    g = g[0] - n * np.outer(mean, mean)
+    lam = np.array(values)
+    own, cross, square = np.diag(g)[:d], np.diag(g[:d, d:]), np.diag(g)[d:]
+    rest = np.sqrt(np.maximum(square - 2 * lam * cross + lam**2 * own, 0.0))
+    rows = [(k, float(lam[k]), float(np.sqrt(own[k])), float(mean[k]), float(rest[k])) for k in range(d)]
+    return df.sparkSession.createDataFrame(rows, "k int, value double, length double, mean double, residual double")

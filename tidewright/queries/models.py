@@ -134,14 +134,17 @@ _EVENT_HASH = "('0x' || substr(md5('{seed}:' || event_id), 1, 8))::BIGINT"
 
 
 @query(f"""WITH neg AS (SELECT event_id, value FROM events WHERE event_type <> 'purchase'),
-    pool AS (SELECT * FROM neg QUALIFY row_number() OVER (ORDER BY {_EVENT_HASH.format(seed=31)}, event_id) <= 2500),
-    hard AS (SELECT * FROM pool ORDER BY value DESC, event_id LIMIT 500),
-    rnd AS (SELECT * FROM neg QUALIFY row_number() OVER (ORDER BY {_EVENT_HASH.format(seed=32)}, event_id) <= 500)
+    size AS (SELECT count(*) AS n, CASE WHEN 5 * count(*) < 30000 THEN 5 * count(*) ELSE CAST(floor(1.5 * count(*)) AS BIGINT) END AS pool FROM events WHERE event_type = 'purchase'),
+    pool AS (SELECT * FROM neg QUALIFY row_number() OVER (ORDER BY {_EVENT_HASH.format(seed=31)}, event_id) <= (SELECT pool FROM size)),
+    hard AS (SELECT * FROM pool QUALIFY row_number() OVER (ORDER BY value DESC, event_id) <= (SELECT n FROM size)),
+    rnd AS (SELECT * FROM neg QUALIFY row_number() OVER (ORDER BY {_EVENT_HASH.format(seed=32)}, event_id) <= (SELECT n FROM size))
     SELECT * FROM hard UNION ALL SELECT * FROM rnd""")
 def mined_negatives(spark, folder):
-    """One mining step for 500 positives: 500 hard ones of a pool of 2,500, and 500 random ones."""
-    negatives = table(spark, folder, "events").filter("event_type <> 'purchase'").select("event_id", "value")
-    return mine_negatives(negatives, lambda f: f.withColumn("_score", F.col("value")), "event_id", 500, 31)
+    """One mining step for all positives: as many hard ones of a random pool, and as many random ones."""
+    events = table(spark, folder, "events")
+    negatives = events.filter("event_type <> 'purchase'").select("event_id", "value")
+    positives = events.filter("event_type = 'purchase'").count()
+    return mine_negatives(negatives, lambda f: f.withColumn("_score", F.col("value")), "event_id", positives, 31)
 
 
 _FITTED: dict[tuple[str, str], Boosted] = {}
@@ -193,7 +196,7 @@ def random_search_trials(spark, folder):
 @query()
 def bagged_probabilities(spark, folder):
     df = _events(spark, folder)
-    ensemble: Ensemble = fit_bagging(df, FEATURES, "y", "id", estimators=2, rows=0.8, cols=0.75, depth=3)
+    ensemble: Ensemble = fit_bagging(df, FEATURES, "y", "id", estimators=9, rows=0.8, cols=0.75)
     return ensemble.extend(df, 1).predict_proba(df, "id")
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewright.operators.blocks import centre, distance_tiles, gram, kernel_means, point_blocks, power_pca, rbf_kernel
+from tidewright.operators.blocks import centred_energy, gram, kernel_pca, residuals, row_means
 from tidewright.operators.metrics import query_costs, vote_share
 from tidewright.operators.similarity import LshIndex, bucket_numbers
 from tidewright.plans.kernel_sweep import sigma_sweep
@@ -89,14 +89,13 @@ _D2 = """d AS (SELECT a.vec_id AS i, b.vec_id AS j, pow(list_distance(CAST(a.emb
 
 @query(f"WITH {_D2} SELECT i AS id, round(avg(d2), 6) AS row_mean FROM d GROUP BY i")
 def distance_row_means(spark, folder):
-    """Mean of each row of the distance matrix, from its tiles."""
-    tiles = distance_tiles(point_blocks(vectors(spark, folder), "vec_id", "vec", 128))
-    return rounded(kernel_means(tiles)[0])
+    """Mean of each row of the distance matrix."""
+    return rounded(row_means(vectors(spark, folder), "vec_id", "vec", block=128))
 
 
 @query(f"WITH {_D2} SELECT i AS id, round(avg(exp(-d2 / 0.64)), 6) AS row_mean FROM d GROUP BY i")
 def kernel_row_means(spark, folder):
-    return rounded(kernel_means(rbf_kernel(vectors(spark, folder), "vec_id", "vec", 0.8, 128))[0])
+    return rounded(row_means(vectors(spark, folder), "vec_id", "vec", 0.8, 128))
 
 
 @query(f"""WITH {_D2}, k AS (SELECT i, j, exp(-d2 / 0.64) AS k FROM d), m AS (SELECT i, avg(k) AS m FROM k GROUP BY i), g AS (SELECT avg(k) AS g FROM k),
@@ -104,27 +103,33 @@ def kernel_row_means(spark, folder):
     SELECT i AS id, round(sum(c * c), 5) AS energy FROM c GROUP BY i""")
 def centred_kernel_energy(spark, folder):
     """Sum of squares of each row of the centred kernel."""
-    centred = centre(rbf_kernel(vectors(spark, folder), "vec_id", "vec", 0.8, 128))
+    return rounded(centred_energy(vectors(spark, folder), "vec_id", "vec", 0.8, 128), 5)
 
-    def energy(frames):
-        import pandas as pd
 
-        for f in frames:
-            if len(f):
-                yield pd.DataFrame({
-                    "id": np.concatenate(list(f.ids_i)),
-                    "e": np.concatenate([(t.reshape(len(a), -1) ** 2).sum(1) for a, t in zip(f.ids_i, f.tile)]),
-                })
+_COMPONENTS: dict = {}
 
-    return rounded(centred.mapInPandas(energy, "id long, e double").groupBy("id").agg(F.sum("e").alias("energy")), 5)
+
+def _components(spark, folder, anew: bool = False):
+    """Values and components of one width, found once a session; the frame reads a stored table."""
+    key = (spark.sparkContext.applicationId, folder)
+    if anew or key not in _COMPONENTS:
+        _COMPONENTS[key] = kernel_pca(vectors(spark, folder), "vec_id", "vec", [0.8], 3, block=128)[0]
+    return _COMPONENTS[key]
 
 
 @query()
 def kernel_components(spark, folder):
-    centred = centre(rbf_kernel(vectors(spark, folder), "vec_id", "vec", 0.8, 128))
-    return power_pca(centred, 3, max_iter=10)[1]
+    return _components(spark, folder, anew=True)[1]
+
+
+@query("SELECT CAST(unnest(range(3)) AS INTEGER) AS k, 1.0::DOUBLE AS length, 0.0::DOUBLE AS mean, true AS settled")
+def kernel_residuals(spark, folder):
+    """Components are of length 1, centred, and eigenvectors to 1e-3 by one more product with the kernel."""
+    values, components = _components(spark, folder)
+    found = residuals(vectors(spark, folder), "vec_id", "vec", 0.8, values, components, 128)
+    return rounded(found.select("k", "length", F.abs("mean").alias("mean"), (F.col("residual") <= 1e-3).alias("settled")))
 
 
 @query()
 def error_by_width(spark, folder):
-    return sigma_sweep(vectors(spark, folder), "vec_id", "vec", "label", [1, 3], [0.8, 1.6], max_iter=6, softmax_iter=20)
+    return sigma_sweep(vectors(spark, folder), "vec_id", "vec", "label", [1, 3], [0.8, 1.6])

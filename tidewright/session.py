@@ -81,3 +81,13 @@ def cut(df):
     """Materialise a frame in the shared folder and cut its lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df, label: str):
+    """Write a frame once below the shared checkpoint folder and read it from there.
+
+    Unlike ``cut`` it computes the frame once; an eager checkpoint does so twice.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
