@@ -114,9 +114,18 @@ class WordIds(Remembered):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # for words of texts without an added token
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content.lower().encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.dtype = np.dtype(dtype)
 
+    def of_text(self, text: bytes) -> bytes:
+        """Ids of a whole text. One that holds an added token goes through the library as it is."""
+        low = text.lower()
+        if any(t in low for t in self.added):
+            return self._pack(self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        return b"".join(map(self.__getitem__, low.split()))
+
     def _ids(self, word: bytes) -> bytes:
         if word.isalpha():  # of bytes: ASCII letters only
             return self._letters(word.decode())
@@ -175,7 +184,7 @@ def write_token_file(
         ids, payloads, size = [], [], 0
         for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                payload = b"".join([*map(words.__getitem__, text.lower().split()), end])
+                payload = words.of_text(text) + end
                 if ids and size + len(payload) > block_ids * width:
                     yield _block(part, number, first, ids, payloads, width)
                     number, first = number + 1, first + size // width
