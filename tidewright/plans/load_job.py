@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +14,11 @@ from tidewright.operators.joins import new_only, pending
 from tidewright.operators.loads import due_jobs, load_report, retain
 from tidewright.operators.order import newest, row_index
 from tidewright.operators.select import only_table
-from tidewright.sources.tables import append_log, read_table, table_exists
+from tidewright.sources.tables import append_log, drop_days, read_table, table_exists
 from tidewright.sources.text_files import discover_many, plain_path
 
 RETENTION_DAYS = 7
+STAGED_DAY = "staged_day"
 TRACKING_SCHEMA = "load_id bigint, path string, file_location string, destination_table string, destination_schema string, date_created timestamp"
 STATUS_SCHEMA = "load_id bigint, schema_title string, action_type string, action_date timestamp, batch_id bigint"
 
@@ -41,6 +42,8 @@ class LoadJob:
     files_per_commit: int = 100
     home: str = ""
     patterns: tuple[str, ...] = ("*.csv",)
+    #: Rows that could not be read go here with their load and reason, if it is given; they stay in the data, marked, as well.
+    rejects: str | None = None
 
     def __post_init__(self):
         if not self.scan_location:
@@ -54,7 +57,10 @@ def _read_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
 
 
 def register_files(spark: SparkSession, job: LoadJob, now: datetime | None = None, keep=None) -> int:
-    """Stage the files found, drop old staged rows, and track the paths not tracked yet; how many were new."""
+    """Stage the files found, delete the days that are too old, and track the paths not tracked yet; how many were new.
+
+    Staged rows lie in one partition a day, and whole days before ``RETENTION_DAYS`` ago are dropped from the table.
+    """
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     found = discover_many(spark, job.scan_location, job.patterns, keep)
     location = strip_home("path", job.home) if job.home else F.col("path")
@@ -64,11 +70,12 @@ def register_files(spark: SparkSession, job: LoadJob, now: datetime | None = Non
     )
     kept = staged_now
     if table_exists(spark, job.staged):
-        kept = retain(read_table(spark, job.staged), "date_created", RETENTION_DAYS, now).unionByName(staged_now)
-    # Staged rows are only appended; retention is a filter when they are read.
+        drop_days(spark, job.staged, STAGED_DAY, (now - timedelta(days=RETENTION_DAYS)).strftime("%Y-%m-%d"))
+    if table_exists(spark, job.staged):  # unless no day is left
+        kept = retain(read_table(spark, job.staged).drop(STAGED_DAY), "date_created", RETENTION_DAYS, now).unionByName(staged_now)
     tracking = _read_or_empty(spark, job.tracking, TRACKING_SCHEMA)
     count = _track(spark, job, kept, tracking, now)
-    append_log(staged_now, job.staged)
+    append_log(staged_now.withColumn(STAGED_DAY, F.lit(now.strftime("%Y-%m-%d"))), job.staged, STAGED_DAY)
     return count
 
 
@@ -106,9 +113,11 @@ def next_batch(spark: SparkSession, job: LoadJob, table: str | None = None) -> D
     return newest(pending(tracking, status, "load_id", path="file_location"), "date_created", job.files_per_commit, "load_id")
 
 
-def load_files(spark: SparkSession, files: DataFrame, schema: T.StructType, dest: str) -> DataFrame:
+def load_files(spark: SparkSession, files: DataFrame, schema: T.StructType, dest: str, rejects: str | None = None, header: bool = True) -> DataFrame:
     """Append the rows of a batch of files with their ``load_id``; returns the rows per file.
 
+    With ``rejects``, rows that could not be read are also appended to that table as load_id, record and reason.
+
     The paths of one batch are at most the job's files per commit, so handing
     them to the reader is bounded. The folder of a load is overwritten as a
     whole, so a batch that is run again does not double its rows.
@@ -117,7 +126,7 @@ def load_files(spark: SparkSession, files: DataFrame, schema: T.StructType, dest
     if not batch:
         return spark.createDataFrame([], "load_id bigint, rows bigint, failed bigint")
     read_schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.csv([r["path"] for r in batch], schema=read_schema, header=True).withColumn(
+    rows = spark.read.csv([r["path"] for r in batch], schema=read_schema, header=header).withColumn(
         "_path", plain_path(F.col("_metadata.file_path"))
     )
     keyed = rows.join(F.broadcast(files.select("load_id", F.col("path").alias("_path"))), "_path")  # one batch of paths
@@ -126,6 +135,12 @@ def load_files(spark: SparkSession, files: DataFrame, schema: T.StructType, dest
     loaded = spark.read.schema(T.StructType([*read_schema.fields, T.StructField("load_id", T.LongType())])).option("basePath", dest).parquet(
         *_folders(spark, dest, [r["load_id"] for r in batch])
     )
+    if rejects is not None:
+        # Rows of the batch as they lie in the data, so a batch that is run again writes them again under its load id.
+        fields = F.size(F.split("_corrupt_record", ","))
+        reason = F.when(fields < len(schema), "too few fields").when(fields > len(schema), "too many fields").otherwise("unreadable value")
+        bad = loaded.where(F.col("_corrupt_record").isNotNull()).select("load_id", F.col("_corrupt_record").alias("record"), reason.alias("reason"))
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(rejects)
     return load_report(loaded, ["load_id"])
 
 
@@ -171,7 +186,7 @@ def run_job(spark: SparkSession, job: LoadJob, now: datetime | None = None) -> D
         if files.isEmpty():
             break
         is_csv = F.lower("path").endswith(".csv")
-        done = load_files(spark, files.where(is_csv), job.columns, job.data)
+        done = load_files(spark, files.where(is_csv), job.columns, job.data, job.rejects)
         rows = spark.createDataFrame(done.collect(), done.schema)  # one row per file of the batch
         append_log(
             files.select("load_id", F.col("destination_schema").alias("schema_title"), F.when(is_csv, "loaded").otherwise("failed").alias("action_type"),

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tidewright.operators.loads import due_jobs, load_report, retain
 from tidewright.operators.order import latest
-from tidewright.plans.load_job import LoadJob, register_files, run_due_jobs, run_job
+from tidewright.plans.load_job import LoadJob, load_files, register_files, run_due_jobs, run_job
 from tidewright.plans.record_feed import record_batches
 from tidewright.queries.fixtures import annotations, table
 from tidewright.queries.registry import query
@@ -72,6 +72,19 @@ def streamed_orders(spark, folder):
     return spark.read.parquet(job.data).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query("""SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'too few fields' ELSE 'unreadable value' END AS reason, count(*) AS rows FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1""")
+def rejected_rows(spark, folder):
+    """Every fifth order is written with a broken line; the load keeps it, and the table of rejects says why."""
+    path = scratch_path(spark, "incoming")
+    key, rest = F.col("o_orderkey").cast("string"), F.concat_ws(",", "o_custkey", "o_totalprice")
+    line = F.when(F.col("o_orderkey") % 5 > 0, F.concat_ws(",", key, rest)).when(F.col("o_orderkey") % 3 == 0, key).otherwise(F.concat_ws(",", F.concat(F.lit("x"), key), rest))
+    table(spark, folder, "orders").select(line.alias("value"), (F.col("o_orderkey") % 4).alias("part")).write.partitionBy("part").option("compression", "none").text(f"{path}/raw")
+    job = _job(spark, path, files_per_commit=8, patterns=("*.txt",), rejects=scratch_path(spark, "rejects"))
+    files = discover(spark, path, "*.txt").withColumn("load_id", F.xxhash64("path"))
+    load_files(spark, files, job.columns, job.data, job.rejects, header=False).count()
+    return read_table(spark, job.rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("""SELECT o_orderpriority AS job_name, CAST(count(*) AS BIGINT) AS rows, 'done' AS action FROM orders GROUP BY 1
     HAVING arg_max(o_orderstatus, o_orderkey) <> 'F'""")
 def due_jobs_done(spark, folder):

@@ -65,10 +65,10 @@ def _status(spark, folder):
 
 
 def _staged(spark, folder):
-    return table(spark, folder, "customer").selectExpr("concat('/in/', c_custkey, '.csv') as file_location", "c_mktsegment as destination_table")
+    return table(spark, folder, "customer").selectExpr("concat('/in/', c_custkey + c_custkey % 3 * 1000000, '.csv') as file_location", "c_mktsegment as destination_table")
 
 
-_STAGED = "staged AS (SELECT '/in/' || c_custkey || '.csv' AS file_location, c_mktsegment AS destination_table FROM customer)"
+_STAGED = "staged AS (SELECT '/in/' || (c_custkey + c_custkey % 3 * 1000000) || '.csv' AS file_location, c_mktsegment AS destination_table FROM customer)"
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand, s_name FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey")
@@ -150,9 +150,11 @@ def first_of_each(spark, folder):
     return one_per(events, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000")
 def customers_never_seen(spark, folder):
-    return unseen(table(spark, folder, "customer").selectExpr("c_custkey as k"), table(spark, folder, "orders").selectExpr("o_custkey as k"))
+    """Customers without a large order."""
+    large = table(spark, folder, "orders").where("o_totalprice > 400000").selectExpr("o_custkey as k")
+    return unseen(table(spark, folder, "customer").selectExpr("c_custkey as k"), large)
 
 
 @query("SELECT DISTINCT o_custkey FROM orders")

@@ -43,9 +43,33 @@ def ensure_table(spark: SparkSession, dest: str, sample: DataFrame) -> bool:
     return True
 
 
-def append_log(df: DataFrame, table: str) -> None:
-    """Append rows to a status or job log."""
+def append_log(df: DataFrame, table: str, by: str | None = None) -> None:
+    """Append rows to a status or job log, in a partition for each value of the column ``by`` if one is given."""
+    writer = df.write.mode("append")
+    if by is not None:
+        writer = writer.partitionBy(by)
     if _is_path(table):
-        df.write.mode("append").parquet(table)
+        writer.parquet(table)
     else:
-        df.write.mode("append").saveAsTable(table)
+        writer.format("parquet").saveAsTable(table)
+
+
+def drop_days(spark: SparkSession, name: str, by: str, before: str) -> list[str]:
+    """Delete the partitions whose day (``yyyy-mm-dd``) lies before the given one, files and all; the days that went."""
+    if not _is_path(name):
+        days = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]  # one row a day
+        gone = sorted(d for d in days if d < before)
+        for day in gone:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({by} = '{day}') PURGE")
+        return gone
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(name)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in system.listStatus(folder):  # one folder a day
+        label = status.getPath().getName()
+        if label.startswith(f"{by}=") and label.split("=", 1)[1] < before:
+            system.delete(status.getPath(), True)
+            gone.append(label.split("=", 1)[1])
+    spark.catalog.refreshByPath(name)
+    return sorted(gone)
