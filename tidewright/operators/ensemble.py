@@ -182,7 +182,27 @@ class Ensemble:
         return ensemble_class(self.predict_proba(df, key))
 
     def log_proba(self, df: DataFrame, key) -> DataFrame:
-        return mean_log_proba(self.scores(df, key), key)
+        """Log of the mean probability of each class, taken on the row."""
+        proba = self.predict_proba(df, key)
+        log = F.when(F.col("p") > 0, F.log("p")).otherwise(F.lit(float("-inf")))
+        return proba.select(*_as_list(key), "class_index", log.alias("log_p"))
+
+    def oob(self, df: DataFrame, key, label: str) -> tuple[DataFrame, DataFrame]:
+        """Out-of-bag shares and AUC as the function ``oob`` gives them, from probabilities and draws that lie on the row: no shuffle but for the AUC.
+
+        For ensembles drawn with replacement, whose draws are an expression on the key.
+        """
+        if not self.settings["replace"]:
+            raise ValueError("draws without replacement are not on the row; use oob with the plan")
+        keys = _as_list(key)
+        mean = self.settings["rows"] if isinstance(self.settings["rows"], float) else self.settings["rows"] / df.count()
+        numbers = range(len(self.models))
+        outside = [_row_weight(keys, F.lit(e), mean, self.settings["seed"]) == 0 for e in numbers]
+        sums = [
+            sum((F.when(out, F.get(f"_v{e}", F.lit(c))).otherwise(0.0) for e, out in zip(numbers, outside)), F.lit(0.0)) for c in (0, 1)
+        ]
+        wide = self._wide(df, [*keys, label]).select(*keys, label, sums[0].alias("_s0"), sums[1].alias("_s1"))
+        return _oob_table(wide, keys, label)
 
     def extend(self, df: DataFrame, more: int) -> Ensemble:
         """Add estimators; the present ones stay and new numbers continue the seeds."""
@@ -260,7 +280,11 @@ def oob(scores: DataFrame, plan: DataFrame, labels: DataFrame, key, label: str)
     sums = outside.groupBy(*keys).agg(
         F.sum(F.col("probs")[0]).alias("_s0"), F.sum(F.col("probs")[1]).alias("_s1")
     )
-    rows = labels.select(*keys, label).join(sums, keys, "left").fillna(0.0, ["_s0", "_s1"])
+    return _oob_table(labels.select(*keys, label).join(sums, keys, "left").fillna(0.0, ["_s0", "_s1"]), keys, label)
+
+
+def _oob_table(rows: DataFrame, keys: list[str], label: str) -> tuple[DataFrame, DataFrame]:
+    """Shares and AUC from the summed probabilities ``_s0`` and ``_s1`` of each row."""
     total = F.col("_s0") + F.col("_s1")
     table = rows.select(
         *keys, label, (total > 0).alias("has_oob"), F.col("_s1").alias("score"), F.try_divide("_s1", total).alias("p")

@@ -223,12 +223,12 @@ def leaf_factorisation(spark, folder):
 
 @query()
 def mined_class_scores(spark, folder):
-    """Models of two mining rounds for label 3, and the mean of their scores."""
+    """Models of the ten mining rounds for label 3, and the mean of their scores."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     df = vectors(spark, folder).select("vec_id", array_to_vector(F.col("vec").cast("array<double>")).alias("features"), (F.col("label") == 3).cast("int").alias("y"))
     scored = df
-    models = one_class(df, "features", "y", "vec_id", rounds=2)
+    models = one_class(df, "features", "y", "vec_id")
     for i, model in enumerate(models):
         scored = model.transform(scored).withColumn(f"s{i}", vector_to_array("rawPrediction")[1]).drop("rawPrediction", "prediction")
     rounds = scored.select("vec_id", F.explode(F.array(*[f"s{i}" for i in range(len(models))])).alias("decision"))
@@ -241,6 +241,13 @@ def scored_table(spark, folder):
     return score_table(df, _fitted(spark, folder), "id")[0].select("id", "p")
 
 
+@query("SELECT count(*) AS samples, true AS timed FROM events")
+def scoring_throughput(spark, folder):
+    """Rows that were scored, and whether the timed parts gave a throughput; its value is the machine's."""
+    scored, speed = score_table(_events(spark, folder), _fitted(spark, folder), "id")
+    return scored.agg(F.count("*").alias("samples")).withColumn("timed", F.lit(speed.first().samples_per_sec > 0))
+
+
 @query("""SELECT event_id, event_type, (row_number() OVER (PARTITION BY event_type ORDER BY md5('13:' || event_id), event_id) - 1) % 3 AS fold FROM events""")
 def event_folds(spark, folder):
     return stratified_folds(table(spark, folder, "events").select("event_id", "event_type"), "event_type", "event_id", 3, 13)
