@@ -1,21 +1,25 @@
-"""Exact n-gram Jaccard join with count-vector R-tree leaves.
+"""Exact n-gram Jaccard join with a packed tree of count vectors.
 
 A text's set is its distinct word 5-grams, each a 64-bit number. The numbers are dealt into groups by their low bits; the
-counts per group are the set's point. Sets share at most the sum of the coordinate minima, a leaf's largest counts bound all its
-points at once, and pairs that pass both bounds are verified on the whole sets.
+counts per group are the set's point. Sets share at most the sum of the coordinate minima, a node's largest counts bound all its
+points at once, and pairs that pass all bounds are verified on the whole sets.
 
 A point has about half as many coordinates as its set has members, and no tree splits so many dimensions well. The
-root is therefore a prefix of the set: in one fixed order of all n-grams (long ones, which are rare, first) two sets
-with Jaccard similarity t or more share one of their first (1 - t) n + 1 members. Only sets that meet there come into
-question, and no link is lost.
-
-1. Sets, points and prefixes per row; equal sets are one *class* from here on.
-2. Prefix members that two classes share: smallest class per member by a combining aggregation.
-3. Each class is tested against the smallest of its members (a star, not all pairs); links join classes to components.
-4. Members under which classes of different components remain untested are rare. Their classes fill leaves of bounded
-   size by size band and hash; leaves of equal and adjacent bands meet, are bounded, and yield pairs for the test.
-
-No group is gathered whole, no pair is made between classes that are joined already, and nothing is capped.
+root level is therefore a prefix of the set: in one fixed order of all n-grams two sets with Jaccard similarity t or more share
+one of their first (1 - t) n + 1 members. Only sets that meet there come into question, and no link is lost, whatever the
+order. The order puts rare n-grams first, so that passages which many texts share leave the prefixes: rarity is a table of counts of
+hashed n-grams over all rows, of a fixed size.
+
+1. Sets of all rows, made and written once; equal sets are one *class* from here on, named by 128 bits.
+2. Counts of n-grams, then points and prefixes of classes; members of prefixes that two classes share.
+3. Rounds of pivots: each class is tested against one seeded class of each of its members, if they are not joined yet (a star, not
+   all pairs); links join classes to components. Rounds go on while a fair part of the tests are links.
+4. In members that still hold several components, all rows outside the largest one are queries. Rows of equal and adjacent
+   size bands fill leaves of bounded size. Two leaves are a cell: a tree over one leaf's points, bulk-loaded, with upper
+   corners on each level, is descended by the other's queries. What survives gets its whole sets, and is verified in the cell.
+
+No group is gathered whole, no pair is made between classes that are joined already, cells emit rows or spanning links but never pairs of
+candidates, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import Remembered, claim, slices, store, text_bytes
@@ -33,12 +37,16 @@ from tidewright.llm.components import components
 
 #: Words of an n-gram and the least similarity in percent.
 WORDS_PER_GRAM, PERCENT = 5, 80
-#: Classes in a leaf, about.
-LEAF_CLASSES = 256
+#: Classes in a leaf, about, and members of all its sets together (a larger set is a leaf of its own).
+LEAF_CLASSES, LEAF_MEMBERS = 256, 1 << 16
+#: Points of a lowest node of the tree.
+NODE_POINTS = 16
 #: Words whose hash a worker keeps, per generation.
 CACHE_WORDS = 80_000
-#: Bits of the filter that spares texts of untested classes the shuffle: 2 MB, whatever the input.
-FILTER_BITS = 1 << 24
+#: Counts of hashed n-grams that order the prefixes: 2 MB, whatever the input.
+RARITY = 1 << 18
+#: A round of pivots follows while at least one in so many tests of the last one was a link.
+ROUND_GAIN = 10
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _HASHES = Remembered(lambda word: xxhash.xxh64_digest(word), CACHE_WORDS)
@@ -51,7 +59,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def gram_set(text: bytes) -> np.ndarray:
-    """Distinct n-grams in the fixed order: 8 bits that fall with the length, then 56 bits of hash.
+    """Distinct n-grams, ascending: 8 bits that fall with the length, then 56 bits of hash.
 
     A-Z is lowered and words end at ASCII white space; a text of fewer words is one n-gram, without words it has none.
     """
@@ -112,63 +120,77 @@ def may_be_similar(points_a: list[bytes], points_b: list[bytes], n_a: np.ndarray
 
 
 def sets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n, class, point, prefix of each row."""
+    """doc_id, n, class, members of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard", _HASHES.forget)
         for batch in slices(batches):
-            n, names, points, prefixes = [], [], [], []
-            for text in text_bytes(batch.column(1)):
-                members = gram_set(text)
-                n.append(len(members))
-                names.append(class_name(members))
-                points.append(point(members))
-                prefixes.append(members[: prefix_size(len(members))].view(np.int64))
-            ends = pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32())
-            prefix = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes), pa.int64()))
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(points, pa.binary()), prefix]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "class", "point", "prefix"])
+            found = [gram_set(text) for text in text_bytes(batch.column(1))]
+            n, names = [len(m) for m in found], [class_name(m) for m in found]
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), _as_lists(found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "class", "members"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, class long, point binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, n long, class binary, members array<long>")
+
+
+def class_name(members: np.ndarray) -> bytes:
+    """128-bit name of a set."""
+    return xxhash.xxh3_128_digest(members.tobytes())
+
 
+def _as_lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64), pa.int64()))
 
-def class_name(members: np.ndarray) -> int:
-    """64-bit name of a set."""
-    return int(np.uint64(xxhash.xxh64_intdigest(members.tobytes())).view(np.int64))
 
+def _from_lists(column: pa.ListArray) -> list[np.ndarray]:
+    values, ends = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+    return [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
 
-def _filter_of(classes: DataFrame) -> np.ndarray:
-    """Bits of the classes, set on the executors; at most FILTER_BITS / 64 numbers come to the driver."""
-    bit = F.pmod(F.col("class"), F.lit(FILTER_BITS))
-    words = classes.select((bit / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(pmod(class, {FILTER_BITS}), 64) AS INT))").alias("v"))
-    found = words.groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[found["w"].to_numpy(np.int64)] = found["v"].to_numpy(np.int64)
-    return bits
 
+def _place(members: np.ndarray) -> np.ndarray:
+    return (members & np.uint64(RARITY - 1)).astype(np.int64)
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, text_col: str) -> DataFrame:
-    """class, members for the classes asked for (and some more, as the filter allows), one row each."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(classes))  # 2 MB
+
+def rarity(rows: DataFrame) -> np.ndarray:
+    """Logarithm of the count of n-grams in each of ``RARITY`` places, over the members of all rows.
+
+    Each task counts into a table of its own; the tables are summed, and only the sum, of fixed size, reaches the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(RARITY, np.int64)
+        for batch in batches:
+            for members in _from_lists(batch.column(0)):
+                np.add.at(counts, _place(members), 1)
+        at = np.flatnonzero(counts)
+        for start in range(0, len(at), 1 << 16):
+            piece = at[start: start + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(counts[piece], pa.int64())], names=["place", "n"])
+
+    found = rows.select("members").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    level = np.zeros(RARITY, np.uint8)
+    level[found["place"].to_numpy(np.int64)] = np.log2(found["n"].to_numpy(np.float64))
+    return level
+
+
+def prefix(members: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The members that decide, in the fixed order: rare places first, then the numbers."""
+    return members[np.lexsort((members, level[_place(members)]))][: prefix_size(len(members))]
+
+
+def _pointed(rows: DataFrame, level: np.ndarray) -> DataFrame:
+    """class, n, point, prefix of each row."""
+    shared = rows.sparkSession.sparkContext.broadcast(level)  # RARITY bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("jaccard", _HASHES.forget)
-        bits = shared.value
         for batch in slices(batches):
-            names, found = [], []
-            for text in text_bytes(batch.column(0)):
-                members = gram_set(text)
-                name = class_name(members)
-                bit = name % FILTER_BITS
-                if len(members) and int(bits[bit // 64]) >> bit % 64 & 1:
-                    names.append(name)
-                    found.append(members.view(np.int64))
-            columns = [pa.array(names, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "members"])
+            found = _from_lists(batch.column(2))
+            new = [pa.array([point(m) for m in found], pa.binary()), _as_lists([prefix(m, shared.value) for m in found])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], names=["class", "n", "point", "prefix"])
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "class long, members array<long>")
-    return found.groupBy("class").agg(F.first("members").alias("members"))
+    return rows.select("class", "n", "members").mapInArrow(run, "class binary, n long, point binary, prefix array<long>")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -184,76 +206,207 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         return classes.select(F.col("class").alias(name), F.col("point").alias(f"point_{name}"), F.col("n").alias(f"n_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "point_a", "point_b", "n_a", "n_b")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """Pairs whose whole sets are similar."""
-    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
-    whole = store(_whole_sets(docs, ends, text_col), "whole-sets")
     one = pairs.join(whole.select(F.col("class").alias("a"), F.col("members").alias("_a")), "a")
     both = one.join(whole.select(F.col("class").alias("b"), F.col("members").alias("_b")), "b")
     common = F.size(F.array_intersect("_a", "_b"))
     return both.where(100 * common >= PERCENT * (F.size("_a") + F.size("_b") - common)).select("a", "b")
 
 
-def _leaf_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) from rows (member, class, comp, n) that meet in leaves and pass the bounds.
+def _placed(met: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """member, class and the class's component, named by itself while it has no link."""
+    if joined is None:
+        return met.select("member", "class", F.col("class").alias("comp"))
+    named = met.select("member", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    return named.select("member", "class", F.coalesce("comp", "class").alias("comp"))
+
 
-    Similar sets differ in size by a quarter at most, so they lie in the same or in adjacent bands of that ratio. A
-    band's classes are dealt into leaves of about ``LEAF_CLASSES`` by hash; a cell is a pair of leaves, and points are joined
-    only once the cells are known.
+def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): in each member with several components one seeded class, and the classes not yet joined to it."""
+    order = F.struct(F.xxhash64(F.lit(turn), "class").alias("h"), "class", "comp")
+    pivots = placed.groupBy("member").agg(F.min(order).alias("_p"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+    pivots = pivots.where("_lo <> _hi").select("member", F.col("_p.class").alias("a"), F.col("_p.comp").alias("_comp"))
+    return placed.join(pivots, "member").where("comp <> _comp").select("a", F.col("class").alias("b")).distinct()
+
+
+def _linked_by_pivots(met: DataFrame, classes: DataFrame, whole: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Links that rounds of pivots find, and the components they make."""
+    links, joined, turn = None, None, 0
+    while True:
+        pairs = store(_bounded(_pivot_pairs(_placed(met, joined), turn), classes), "pairs")
+        fresh = store(_verified(pairs, whole), "links")
+        links = fresh if links is None else links.unionByName(fresh)
+        tested, found = pairs.count(), fresh.count()
+        if found:
+            joined = components(links)
+        if found * ROUND_GAIN <= tested:
+            return links, joined
+        turn += 1
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """cell, side, class, comp, minor, n from rows (member, class, comp, n) of members with several components.
+
+    Rows outside a member's largest component are *minor*: each open pair has one of them at least. Similar sets differ in
+    size by a quarter at most, so they lie in the same or in adjacent bands of that ratio. Minor rows are dealt into leaves of
+    queries, all rows into leaves of points, and a cell is a leaf of queries with a leaf of points of its band or the bands around it.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
-    banded = rows.withColumn("band", band)
-    counts = banded.groupBy("member", "band").agg(F.count("*").alias("_n"))
-    leaves = F.ceil(F.col("_n") / LEAF_CLASSES).cast("int")
-    lower = counts.select("member", (F.col("band") + 1).alias("band"), leaves.alias("_below"))
-    upper = counts.select("member", (F.col("band") - 1).alias("band"), leaves.alias("_above"))
-    around = counts.withColumn("_leaves", leaves).join(lower, ["member", "band"], "left").join(upper, ["member", "band"], "left")
-    dealt = banded.join(around, ["member", "band"]).withColumn("_leaf", F.pmod(F.xxhash64("class", "member"), "_leaves").cast("int"))
-
-    def cells(count, at, side: str, left, right):
-        """One cell for each of ``count`` partner leaves."""
-        partners = F.filter(F.sequence(F.lit(0), F.greatest(F.coalesce(count, F.lit(0)), F.lit(1)) - 1), lambda k: k < F.coalesce(count, F.lit(0)))
-        return F.transform(partners, lambda k: F.struct(at.alias("at"), F.lit(side).alias("side"), left(k).alias("i"), right(k).alias("j")))
-
-    own, leaf = 2 * F.col("band"), F.col("_leaf")
-    alone = F.when(F.col("_n") > 1, F.col("_leaves"))  # a band of one class has no pairs of its own
-    same = F.filter(cells(alone, own, "a", lambda k: leaf, lambda k: k), lambda c: c["j"] <= c["i"])
-    other = F.filter(cells(alone, own, "b", lambda k: k, lambda k: leaf), lambda c: c["j"] < c["i"])
-    down = cells(F.col("_below"), own - 1, "a", lambda k: leaf, lambda k: k)
-    up = cells(F.col("_above"), own + 1, "b", lambda k: k, lambda k: leaf)
-    placed = dealt.select("member", "class", "comp", "n", F.explode(F.concat(same, other, down, up)).alias("_c"))
-    full = placed.join(classes.select("class", "point"), "class")
-    held = F.collect_list(F.struct(F.col("_c.side").alias("side"), "class", "comp", "n", "point"))
-    met = full.groupBy("member", "_c.at", "_c.i", "_c.j").agg(held.alias("rows"))
+    sizes = rows.groupBy("member", "comp").agg(F.count("*").alias("_n"))
+    largest = sizes.groupBy("member").agg(F.max(F.struct("_n", "comp")).alias("_m")).select("member", F.col("_m.comp").alias("_major"))
+    banded = rows.join(largest, "member").select("member", "class", "comp", "n", (F.col("comp") != F.col("_major")).alias("minor"), band.alias("band"))
+    counts = banded.groupBy("member", "band").agg(F.count("*").alias("_n"), F.count_if("minor").alias("_q"), F.max("n").alias("_most"))
+    each = F.greatest(F.lit(1), F.least(F.lit(LEAF_CLASSES), F.floor(F.lit(LEAF_MEMBERS) / F.col("_most")))).cast("long")
+    leaves = counts.select(
+        "member", "band", F.ceil(F.col("_n") / each).cast("int").alias("_points"), F.ceil(F.col("_q") / each).cast("int").alias("_queries"),
+    )
+    near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.struct((F.col("band") + d).alias("band"), (-d).alias("by"), "_points", "_queries"))
+    around = leaves.select("member", F.explode(near).alias("_l")).groupBy("member", F.col("_l.band").alias("band")).agg(
+        F.collect_list("_l").alias("_near"),  # three at most
+    )
+    own = leaves.join(around, ["member", "band"])
+    hashed = F.xxhash64("class", "member")
+    dealt = banded.join(own, ["member", "band"]).withColumns({
+        "_i": F.pmod(hashed, F.greatest("_queries", F.lit(1))).cast("int"), "_j": F.pmod(hashed, "_points").cast("int"),
+    })
+
+    def partners(side: str, count: str, cell) -> Column:
+        """Cells with each leaf of the bands around; a band without such leaves gives none."""
+        lists = F.transform("_near", lambda l: F.transform(
+            F.slice(F.sequence(F.lit(0), F.greatest(l[count], F.lit(1)) - 1), F.lit(1), l[count]),
+            lambda k: F.struct(F.lit(side).alias("side"), cell(l, k).alias("cell")),
+        ))
+        return F.flatten(lists)
+
+    def cell(queries, points, i, j):
+        return F.struct("member", queries.alias("queries"), points.alias("points"), i.alias("i"), j.alias("j"))
+
+    as_query = partners("q", "_points", lambda l, k: cell(F.col("band"), F.col("band") + l["by"], F.col("_i"), k))
+    as_point = partners("p", "_queries", lambda l, k: cell(F.col("band") + l["by"], F.col("band"), k, F.col("_j")))
+    none = F.slice(as_query, 1, 0)
+    both = F.concat(F.when(F.col("minor"), as_query).otherwise(none), as_point)
+    return dealt.select("class", "comp", "minor", "n", F.explode(both).alias("_c")).select("_c.cell", "_c.side", "class", "comp", "minor", "n")
+
+
+_ROW = "cell struct<member:bigint,queries:int,points:int,i:int,j:int>, side string, class binary, comp binary, minor boolean"
+
+
+def _survivors(cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of cells that some row of the other side may be similar to, by the bounds of the tree."""
+    full = cells.join(classes.select("class", "point"), "class")
+    met = full.groupBy("cell").agg(F.collect_list(F.struct("side", "class", "comp", "minor", "n", "point")).alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 16):
-            found: set[tuple[int, int]] = set()
-            for rows in batch.column(0).to_pylist():
-                left, right = ([r for r in rows if r["side"] == side] for side in "ab")
-                if left:
-                    found.update(_leaf_join(left, right or left))
-            ordered = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in ordered], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            at, kept = [], []
+            for i, rows in enumerate(batch.column(1).to_pylist()):
+                found = [rows[k] for k in surviving(rows)]
+                at += [i] * len(found)
+                kept += found
+            columns = [pa.array([r[c] for r in kept], t) for c, t in
+                       (("side", pa.string()), ("class", pa.binary()), ("comp", pa.binary()), ("minor", pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), *columns], names=["cell", "side", "class", "comp", "minor"])
+
+    return met.select("cell", "rows").mapInArrow(run, _ROW)
+
+
+def surviving(rows: list[dict]) -> list[int]:
+    """Places of a cell's rows that belong to a pair which all bounds of the tree allow."""
+    q, p = (np.array([k for k, r in enumerate(rows) if r["side"] == side], np.int64) for side in "qp")
+    if not len(q) or not len(p):
+        return []
+    groups = min(len(r["point"]) for r in rows)
+    counts, n = _folded([r["point"] for r in rows], groups), np.array([r["n"] for r in rows], np.int64)
+    ids: dict[bytes, int] = {}
+    comp = np.array([ids.setdefault(r["comp"], len(ids)) for r in rows], np.int64)
+    kept = np.zeros(len(rows), bool)
+
+    def descend(node: np.ndarray, asked: np.ndarray) -> None:
+        upper = np.minimum(counts[asked], counts[node].max(0)).sum(1)
+        asked = asked[upper >= needed(n[asked], n[node].min())]
+        if not len(asked):
+            return
+        if len(node) > NODE_POINTS:
+            widest = int(np.ptp(counts[node], axis=0).argmax())
+            order = node[np.argsort(counts[node, widest], kind="stable")]
+            descend(order[: len(order) // 2], asked)
+            descend(order[len(order) // 2:], asked)
+            return
+        for k in node:
+            others = asked[comp[asked] != comp[k]]
+            ok = np.minimum(counts[others], counts[k]).sum(1) >= needed(n[others], n[k])
+            ok &= 100 * np.minimum(n[others], n[k]) >= PERCENT * np.maximum(n[others], n[k])
+            kept[others[ok]] = True
+            kept[k] |= ok.any()
+
+    descend(p, q)
+    return np.flatnonzero(kept).tolist()
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Members that each set of one list shares with each of the other: products of bit matrices, by blocks of columns."""
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    out = np.zeros((len(a), len(b)), np.int64)
+    sides = []
+    for parts, flat in ((a, flat_a), (b, flat_b)):
+        row = np.repeat(np.arange(len(parts)), [len(m) for m in parts])
+        hit = np.isin(flat, shared)
+        sides.append((len(parts), row[hit], np.searchsorted(shared, flat[hit])))
+    for start in range(0, len(shared), 4096):
+        bits = []
+        for rows, row, column in sides:
+            here = (column >= start) & (column < start + 4096)
+            matrix = np.zeros((rows, 4096), np.float32)
+            matrix[row[here], column[here] - start] = 1
+            bits.append(matrix)
+        out += (bits[0] @ bits[1].T).astype(np.int64)
+    return out
+
+
+def spanning(q: list[tuple[bytes, bytes, np.ndarray]], p: list[tuple[bytes, bytes, np.ndarray]]) -> Iterator[tuple[bytes, bytes]]:
+    """Links (class, class) between the (class, comp, members) of two sides that join components not joined before."""
+    root: dict[bytes, bytes] = {}
 
-    return met.select("rows").mapInArrow(run, "a long, b long").distinct()
+    def top(c: bytes) -> bytes:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
 
+    common = overlaps([m for *_, m in q], [m for *_, m in p])
+    size_q, size_p = (np.array([len(m) for *_, m in side], np.int64) for side in (q, p))
+    similar = 100 * common >= PERCENT * (size_q[:, None] + size_p[None, :] - common)
+    for i, j in zip(*np.nonzero(similar)):
+        one, other = top(q[i][1]), top(p[j][1])
+        if one != other:
+            root[max(one, other)] = min(one, other)
+            yield q[i][0], p[j][0]
 
-def _leaf_join(a: list[dict], b: list[dict]) -> Iterator[tuple[int, int]]:
-    """Pairs of different components: points of one leaf against the other leaf's upper corner, then against its points."""
-    groups = min(len(r["point"]) for r in (*a, *b))
-    pa_, pb = (_folded([r["point"] for r in rows], groups) for rows in (a, b))
-    na, nb = (np.array([r["n"] for r in rows], np.int64) for rows in (a, b))
-    corner = np.minimum(pa_, pb.max(0)).sum(1) >= needed(na, nb.min())
-    for i in np.flatnonzero(corner):
-        ok = np.minimum(pb, pa_[i]).sum(1) >= needed(nb, na[i])
-        ok &= 100 * np.minimum(nb, na[i]) >= PERCENT * np.maximum(nb, na[i])
-        for j in np.flatnonzero(ok):
-            if a[i]["comp"] != b[j]["comp"]:
-                yield min(a[i]["class"], b[j]["class"]), max(a[i]["class"], b[j]["class"])
+
+def _cell_links(survivors: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links (a, b) of cells, verified on whole sets; no more of a cell than join its components."""
+    full = survivors.join(whole, "class")
+    met = full.groupBy("cell").agg(F.collect_list(F.struct("side", "class", "comp", "members")).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            lists = batch.column(0)
+            rows, ends = lists.values, lists.offsets.to_pylist()
+            found: set[tuple[bytes, bytes]] = set()
+            for start, end in zip(ends[:-1], ends[1:]):
+                part = rows.slice(start, end - start).flatten()
+                side, names, comps = (column.to_pylist() for column in part[:3])
+                held = list(zip(names, comps, _from_lists(part[3])))
+                sides = ([h for h, s in zip(held, side) if s == which] for which in "qp")
+                found.update(spanning(*sides))
+            ordered = sorted(found)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in ordered], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return met.select("rows").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def similar_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -265,20 +418,21 @@ def similar_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     """
     rows = store(sets(docs, text_col, id_col), "sets")
     full = rows.where("n > 0")
-    classes = store(full.groupBy("class").agg(F.first("n").alias("n"), F.first("point").alias("point")), "classes")
-    exploded = full.select("class", F.explode("prefix").alias("member"))
-    shared = exploded.groupBy("member").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most")
-    met = store(exploded.join(shared.select("member", "least"), "member").where("class <> least").distinct(), "met")
-
-    stars = met.select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
-    links = store(_verified(store(_bounded(stars, classes), "pairs"), docs, text_col), "links")
-    joined = components(links)
-
-    comp = F.coalesce("comp", "class").alias("comp")
-    placed = met.select("member", "class").join(joined.withColumnRenamed("node", "class"), "class", "left").select("member", "class", comp)
+    held = _pointed(full, rarity(full)).groupBy("class").agg(*[F.first(c).alias(c) for c in ("n", "point", "prefix")])
+    classes = store(held, "classes")
+    exploded = classes.select("class", F.explode("prefix").alias("member"))
+    shared = exploded.groupBy("member").agg(F.count("*").alias("_n")).where("_n > 1").select("member")
+    met = store(exploded.join(shared, "member"), "met")
+    asked = met.select("class").distinct()
+    chosen = full.select("class", "members").join(asked, "class", "left_semi")
+    whole = store(chosen.groupBy("class").agg(F.first("members").alias("members")), "whole-sets")
+
+    links, joined = _linked_by_pivots(met, classes, whole)
+    placed = _placed(met, joined)
     mixed = placed.groupBy("member").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("member")
     open_rows = store(placed.join(mixed, "member").join(classes.select("class", "n"), "class"), "open")
-    more = store(_verified(store(_leaf_pairs(open_rows, classes), "leaf-pairs"), docs, text_col), "more-links")
+    survivors = store(_survivors(_cells(open_rows), classes), "survivors")
+    more = store(_cell_links(survivors, whole), "more-links")
     found = components(links.unionByName(more))
 
     named = rows.join(found.withColumnRenamed("node", "class"), "class", "left")
@@ -302,7 +456,7 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
         F.col("l.doc_id").alias("_id"), F.col("l.class").alias("_kept"), "_rows"
     ), "kept")
     columns = docs.columns
-    named = docs.mapInArrow(_namer(columns, text_col), docs.withColumn("_class", F.lit(None).cast("long")).schema)
+    named = docs.mapInArrow(_namer(columns, text_col), docs.withColumn("_class", F.lit(None).cast("binary")).schema)
     match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_kept"))
     kept = named.join(stay, match, "left").where("_class is null or _kept is not null")
     if stay.where("_rows > 1").isEmpty():
@@ -318,7 +472,7 @@ def _namer(columns: list[str], text_col: str):
         claim("jaccard", _HASHES.forget)
         for batch in slices(batches):
             found = [gram_set(t) for t in text_bytes(batch.column(text_col))]
-            names = pa.array([class_name(m) if len(m) else None for m in found], pa.int64())
+            names = pa.array([class_name(m) if len(m) else None for m in found], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), names], names=[*columns, "_class"])
 
     return run
