@@ -4,14 +4,15 @@ A text's set is its distinct word 5-grams, each a 64-bit number. The numbers are
 counts per group are the set's point. Sets share at most the sum of the coordinate minima, a node's largest counts bound all its
 points at once, and pairs that pass all bounds are verified on the whole sets.
 
-A point has about half as many coordinates as its set has members, and no tree splits so many dimensions well. The
+A point has some two coordinates for each member of its set, and no tree splits so many dimensions well. The
 root level is therefore a prefix of the set: in one fixed order of all n-grams two sets with Jaccard similarity t or more share
 one of their first (1 - t) n + 1 members. Only sets that meet there come into question, and no link is lost, whatever the
 order. The order puts rare n-grams first, so that passages which many texts share leave the prefixes: rarity is a table of counts of
 hashed n-grams over all rows, of a fixed size.
 
 1. Sets of all rows, made and written once; equal sets are one *class* from here on, named by 128 bits.
-2. Counts of n-grams, then points and prefixes of classes; members of prefixes that two classes share.
+2. Counts of n-grams, then prefixes of classes; members that several classes share, one for all with the same classes. Points of these
+   classes.
 3. Rounds of pivots: each class is tested against one seeded class of each of its members, if they are not joined yet (a star, not
    all pairs); links join classes to components. Rounds go on while a fair part of the tests are links.
 4. In members that still hold several components, all rows outside the largest one are queries. Rows of equal and adjacent
@@ -85,8 +86,8 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def point(members: np.ndarray) -> bytes:
-    """Counts per group; the number of groups is a power of two near half the members. 255 stands for 255 or more."""
-    groups = 1 << max(4, int(len(members) // 3).bit_length())
+    """Counts per group; the number of groups is a power of two from twice the members up. 255 stands for 255 or more."""
+    groups = 1 << max(4, (2 * len(members)).bit_length())
     counts = np.bincount((members & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
@@ -180,17 +181,40 @@ def prefix(members: np.ndarray, level: np.ndarray) -> np.ndarray:
     return members[np.lexsort((members, level[_place(members)]))][: prefix_size(len(members))]
 
 
-def _pointed(rows: DataFrame, level: np.ndarray) -> DataFrame:
-    """class, n, point, prefix of each row."""
+def _prefixed(rows: DataFrame, level: np.ndarray) -> DataFrame:
+    """class, prefix of each row."""
     shared = rows.sparkSession.sparkContext.broadcast(level)  # RARITY bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = _from_lists(batch.column(2))
-            new = [pa.array([point(m) for m in found], pa.binary()), _as_lists([prefix(m, shared.value) for m in found])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *new], names=["class", "n", "point", "prefix"])
+            found = [prefix(m, shared.value) for m in _from_lists(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _as_lists(found)], names=["class", "prefix"])
 
-    return rows.select("class", "n", "members").mapInArrow(run, "class binary, n long, point binary, prefix array<long>")
+    return rows.select("class", "members").mapInArrow(run, "class binary, prefix array<long>")
+
+
+def _pointed(whole: DataFrame) -> DataFrame:
+    """class, n, point of each whole set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = _from_lists(batch.column(1))
+            columns = [pa.array([len(m) for m in found], pa.int64()), pa.array([point(m) for m in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["class", "n", "point"])
+
+    return whole.select("class", "members").mapInArrow(run, "class binary, n long, point binary")
+
+
+def _meetings(prefixes: DataFrame) -> DataFrame:
+    """member, class of members that several classes hold in their prefixes.
+
+    Of members with the same classes one stands for all: they are told by the number of classes and 128 bits over their names.
+    """
+    exploded = prefixes.select("class", F.explode("prefix").alias("member"))
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "class")).alias(f"_x{seed}") for seed in (0, 1)]
+    shared = exploded.groupBy("member").agg(F.count("*").alias("_n"), *marks).where("_n > 1")
+    once = shared.groupBy("_n", "_x0", "_x1").agg(F.min("member").alias("member")).select("member")
+    return exploded.join(once, "member").select("member", "class")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -257,8 +281,10 @@ def _cells(rows: DataFrame) -> DataFrame:
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
     sizes = rows.groupBy("member", "comp").agg(F.count("*").alias("_n"))
-    largest = sizes.groupBy("member").agg(F.max(F.struct("_n", "comp")).alias("_m")).select("member", F.col("_m.comp").alias("_major"))
-    banded = rows.join(largest, "member").select("member", "class", "comp", "n", (F.col("comp") != F.col("_major")).alias("minor"), band.alias("band"))
+    largest = sizes.groupBy("member").agg(F.max(F.struct("_n", "comp")).alias("_m"), F.sum("_n").alias("_all"))
+    largest = largest.select("member", F.col("_m.comp").alias("_major"), (F.col("_all") - F.col("_m._n")).alias("_minors"))
+    minor = (F.col("comp") != F.col("_major")).alias("minor")
+    banded = rows.join(largest, "member").select("member", "class", "comp", "n", "_minors", minor, band.alias("band"))
     counts = banded.groupBy("member", "band").agg(F.count("*").alias("_n"), F.count_if("minor").alias("_q"), F.max("n").alias("_most"))
     each = F.greatest(F.lit(1), F.least(F.lit(LEAF_CLASSES), F.floor(F.lit(LEAF_MEMBERS) / F.col("_most")))).cast("long")
     leaves = counts.select(
@@ -288,7 +314,8 @@ def _cells(rows: DataFrame) -> DataFrame:
     as_query = partners("q", "_points", lambda l, k: cell(F.col("band"), F.col("band") + l["by"], F.col("_i"), k))
     as_point = partners("p", "_queries", lambda l, k: cell(F.col("band") + l["by"], F.col("band"), k, F.col("_j")))
     none = F.slice(as_query, 1, 0)
-    both = F.concat(F.when(F.col("minor"), as_query).otherwise(none), as_point)
+    met = ~F.col("minor") | (F.col("_minors") > 1)  # a lone minor row has no other to meet it
+    both = F.concat(F.when(F.col("minor"), as_query).otherwise(none), F.when(met, as_point).otherwise(none))
     return dealt.select("class", "comp", "minor", "n", F.explode(both).alias("_c")).select("_c.cell", "_c.side", "class", "comp", "minor", "n")
 
 
@@ -418,14 +445,11 @@ def similar_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     """
     rows = store(sets(docs, text_col, id_col), "sets")
     full = rows.where("n > 0")
-    held = _pointed(full, rarity(full)).groupBy("class").agg(*[F.first(c).alias(c) for c in ("n", "point", "prefix")])
-    classes = store(held, "classes")
-    exploded = classes.select("class", F.explode("prefix").alias("member"))
-    shared = exploded.groupBy("member").agg(F.count("*").alias("_n")).where("_n > 1").select("member")
-    met = store(exploded.join(shared, "member"), "met")
-    asked = met.select("class").distinct()
-    chosen = full.select("class", "members").join(asked, "class", "left_semi")
+    held = _prefixed(full, rarity(full)).groupBy("class").agg(F.first("prefix").alias("prefix"))
+    met = store(_meetings(store(held, "prefixes")), "met")
+    chosen = full.select("class", "members").join(met.select("class").distinct(), "class", "left_semi")
     whole = store(chosen.groupBy("class").agg(F.first("members").alias("members")), "whole-sets")
+    classes = store(_pointed(whole), "classes")
 
     links, joined = _linked_by_pivots(met, classes, whole)
     placed = _placed(met, joined)
