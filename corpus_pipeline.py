@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import bpe, decontaminate, jaccard, language, secret_scan
 from tidewright.llm.common import store, table
+from tidewright.session import ship_package
 
 
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,6 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
     docs = table(spark, folder, "documents")
     for name, stage in STAGES:
         docs = store(stage(spark, docs, folder), f"stage-{name}")
