@@ -10,13 +10,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.keys import hash_unit
 from tidewright.operators.order import row_index
 from tidewright.operators.select import sample_n
-from tidewright.session import cut, stored
+from tidewright.session import stored, tidy_shuffles
 
 BLOCK = 256
 #: Columns of a block of the Gram matrix.
@@ -114,54 +115,89 @@ def all_pairs(df: DataFrame, id: str, vec: str, block: int = BLOCK) -> DataFrame
         .select("i", "c.j", "c.d2")
 
 
-def _sides(points: DataFrame, extra: str) -> DataFrame:
-    """Each pair of blocks once, with the points and the column ``extra`` of both."""
-    last = points.agg(F.max("block")).first()[0]
-    last = -1 if last is None else last
-    columns = ["ids", "values", extra]
-    left = points.where(F.col("block") <= last).select(
-        F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(max(last, 0)))).alias("bj"), *[F.col(c).alias(f"{c}_i") for c in columns])
-    right = points.select(
-        F.col("block").alias("bj"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi"), *[F.col(c).alias(f"{c}_j") for c in columns])
-    return left.join(right, ["bi", "bj"])
-
-
 def squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T), 0.0)
 
 
-#: Numbers that a task sums before it hands them on.
-HELD = 1 << 23
+#: Points of a group at most, fewest groups (of one block at least) that share the work, and numbers of a tile that a task holds.
+GROUP_POINTS = 1 << 14
+GROUPS = 16
+HELD = 1 << 20
 
 
-def tile_sums(points: DataFrame, extra: str, rows_of) -> DataFrame:
-    """``rows_of(d2, own, other)`` summed over all points, by block: ``block, ids, sums``.
+def _paired(points: DataFrame, extra: str, block: int) -> DataFrame:
+    """The blocks of both groups of each pair of groups: ``gi, gj, left, block, ids, values, extra``.
 
-    ``d2`` is a tile of squared distances, ``own`` and ``other`` are the arrays ``extra`` of its rows and of its columns; the result has a row (of
-    any width) for each row of the tile. A tile serves both of its blocks and is dropped: nothing of size n x n is stored or sent.
+    A block is sent once for each group, so with groups as large as a task can hold little is sent, however many tiles there are.
     """
-    def run(frames):
-        sums: dict[int, np.ndarray] = {}
-        ids: dict[int, np.ndarray] = {}
-        for f in frames:
-            for bi, bj, ids_i, ids_j, vi, vj, ei, ej in zip(f.bi, f.bj, f.ids_i, f.ids_j, f.values_i, f.values_j, f[f"{extra}_i"], f[f"{extra}_j"]):
-                d2 = squared_distances(vi.reshape(len(ids_i), -1), vj.reshape(len(ids_j), -1))
-                ei, ej = ei.reshape(len(ids_i), -1), ej.reshape(len(ids_j), -1)
-                parts = [(bi, ids_i, rows_of(d2, ei, ej))] + ([(bj, ids_j, rows_of(d2.T, ej, ei))] if bi != bj else [])
-                for b, names, part in parts:
-                    sums[b] = sums[b] + part if b in sums else part
-                    ids[b] = names
-                if sum(v.size for v in sums.values()) > HELD:
-                    yield pd.DataFrame({"block": list(sums), "ids": list(ids.values()), "sums": [v.ravel() for v in sums.values()]})
-                    sums, ids = {}, {}
-        if sums:
-            yield pd.DataFrame({"block": list(sums), "ids": list(ids.values()), "sums": [v.ravel() for v in sums.values()]})
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
+    last = points.agg(F.max("block")).first()[0]
+    blocks = 0 if last is None else int(last) + 1
+    groups = max(1, -(-blocks * block // GROUP_POINTS), min(blocks, GROUPS))
+    each = max(1, -(-blocks // groups))
+    groups = max(1, -(-blocks // each))
+    own = F.floor(F.col("block") / each).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("other")
+    sent = points.select(own.alias("own"), other, "block", "ids", "values", F.col(extra).alias("extra"))
+    sent = sent.select(F.least("own", "other").alias("gi"), F.greatest("own", "other").alias("gj"), (F.col("own") <= F.col("other")).alias("left"),
+                       "block", "ids", "values", "extra")
+    return sent.repartition(min(4096, groups * (groups + 1) // 2), "gi", "gj")
+
+
+def tile_sums(points: DataFrame, extra: str, rows_of, kernel=None, block: int = BLOCK) -> DataFrame:
+    """``rows_of(k, own, other)`` summed over all points, by block: ``block, ids, sums``.
+
+    ``k`` is ``kernel`` of a tile of squared distances (the distances themselves without one), ``own`` and ``other`` are the arrays ``extra`` of its
+    rows and of its columns; the result has a row (of any width) for each row of the tile. A kernel may give several tiles, stacked. A tile
+    serves the points of both sides and is dropped: nothing of size n x n is stored or sent. ``block`` is the number of points of a full block.
+    """
+    def side(table):
+        table = table.sort_by("block").combine_chunks()
+        ids = table.column("ids").combine_chunks()
+        if table.column("values").null_count:
+            raise ValueError("a point has no vector")
+        sizes = np.diff(ids.offsets.to_numpy()) if len(ids) else np.empty(0, np.int64)
+        n = int(sizes.sum())
+        values, carried = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1) for c in ("values", "extra"))
+        return table.column("block"), ids, sizes, values.astype(np.float64, copy=False), carried
+
+    def out(blocks, ids, sizes, sums):
+        width = sums.shape[1]
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes) * width]), pa.int32())
+        return pa.table({"block": blocks, "ids": ids, "sums": pa.ListArray.from_arrays(ends, pa.array(sums.ravel()))})
+
+    def run(table: pa.Table) -> pa.Table:
+        same = table.column("gi")[0].as_py() == table.column("gj")[0].as_py()
+        sides = [side(table.filter(table.column("left")))]
+        if not same:
+            sides.append(side(table.filter(pc.invert(table.column("left")))))
+        (_, _, _, x, ex), (_, _, _, y, ey) = sides[0], sides[-1]
+        high = min(len(x), 512)
+        wide = max(1, HELD // high)
+        sums = [None] * len(sides)
+
+        def add(k, at, part):
+            if sums[k] is None:
+                sums[k] = np.zeros((len(sides[k][3]), part.shape[1]))
+            sums[k][at: at + len(part)] += part
+
+        for i in range(0, len(x), high):
+            rows = slice(i, i + high)
+            if same:  # the square on the diagonal, then what lies right of it
+                square = squared_distances(x[rows], x[rows])
+                add(0, i, rows_of(kernel(square) if kernel else square, ex[rows], ex[rows]))
+            for j in range(i + high if same else 0, len(y), wide):
+                columns = slice(j, j + wide)
+                d2 = squared_distances(x[rows], y[columns])
+                k = kernel(d2) if kernel else d2
+                add(0, i, rows_of(k, ex[rows], ey[columns]))
+                add(len(sides) - 1, j, rows_of(k.swapaxes(-1, -2), ey[columns], ex[rows]))
+        return pa.concat_tables([out(s[0], s[1], s[2], v) for s, v in zip(sides, sums)])
+
+    def add_up(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": frame["block"][:1], "ids": frame["ids"][:1], "sums": [np.sum(np.stack(frame["sums"]), axis=0)]})
 
     schema = "block int, ids array<long>, sums array<double>"
-    return _sides(points, extra).mapInPandas(run, schema).groupBy("block").applyInPandas(add, schema)
+    return _paired(points, extra, block).groupBy("gi", "gj").applyInArrow(run, schema).groupBy("block").applyInPandas(add_up, schema)
 
 
 def _by_point(sums: DataFrame, name: str) -> DataFrame:
@@ -169,22 +205,62 @@ def _by_point(sums: DataFrame, name: str) -> DataFrame:
     return sums.select(F.explode(F.arrays_zip("ids", "sums")).alias("r")).select(F.col("r.ids").alias("id"), F.col("r.sums").alias(name))
 
 
+def _mean_and_spread(points: DataFrame) -> tuple[np.ndarray, float, int]:
+    """The mean vector, the mean squared distance from it, and the number of points; the driver sees one vector."""
+    def sums(of):
+        def run(frames):
+            total, n = 0.0, 0
+            for f in frames:
+                for ids, values in zip(f["ids"], f["values"]):
+                    total, n = total + of(values.reshape(len(ids), -1)), n + len(ids)
+            if n:
+                yield pd.DataFrame({"s": [np.append(total, float(n))]})
+
+        rows = points.select("ids", "values").mapInPandas(run, "s array<double>").select(F.posexplode("s").alias("k", "v"))
+        return np.array([r.v for r in rows.groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()])
+
+    found = sums(lambda x: x.sum(axis=0))
+    if not len(found):
+        return np.empty(0), 0.0, 0
+    mean = found[:-1] / found[-1]
+    square, n = sums(lambda x: np.array([((x - mean) ** 2).sum()]))
+    return mean, float(square / n), int(n)
+
+
+def _row_means(points: DataFrame, sigma: float | None, block: int) -> DataFrame:
+    """The means of ``row_means`` by block: ``block, ids, sums``.
+
+    The mean squared distance of a point to all is its squared distance to the mean vector and the mean one of all points to it,
+    so without a kernel no pair is formed.
+    """
+    schema = "block int, ids array<long>, sums array<double>"
+    if sigma is None:
+        mean, spread, _ = _mean_and_spread(points)
+
+        def run(frames):
+            for f in frames:
+                rows = [((v.reshape(len(i), -1) - mean) ** 2).sum(axis=1) + spread for i, v in zip(f["ids"], f["values"])]
+                yield pd.DataFrame({"block": f["block"], "ids": f["ids"], "sums": rows})
+
+        return points.select("block", "ids", "values").mapInPandas(run, schema)
+    n = points.agg(F.sum(F.size("ids"))).first()[0] or 1
+    ones = points.withColumn("one", F.transform("ids", lambda _: F.lit(1.0)))
+    sums = tile_sums(ones, "one", lambda k, _, other: k @ other, lambda d2: np.exp(-d2 / sigma**2), block)
+    return sums.withColumn("sums", F.transform("sums", lambda s: s / n))
+
+
 def row_means(df: DataFrame, id: str, vec: str, sigma: float | None = None, block: int = BLOCK) -> DataFrame:
     """Mean of each row of the matrix of squared distances, or of the RBF kernel of width ``sigma``: ``id, row_mean``."""
-    points = cut(point_blocks(df, id, vec, block)).withColumn("one", F.transform("ids", lambda _: F.lit(1.0)))
-    sums = tile_sums(points, "one", lambda d2, _, other: (np.exp(-d2 / sigma**2) if sigma else d2) @ other)
-    n = points.agg(F.sum(F.size("ids"))).first()[0] or 1
-    return _by_point(sums, "row_mean").withColumn("row_mean", F.col("row_mean") / n)
+    return _by_point(_row_means(stored(point_blocks(df, id, vec, block), "points"), sigma, block), "row_mean")
 
 
 def centred_energy(df: DataFrame, id: str, vec: str, sigma: float, block: int = BLOCK) -> DataFrame:
     """Sum of squares of each row of the centred RBF kernel: ``id, energy``; the means travel with the points."""
-    points = cut(point_blocks(df, id, vec, block))
-    means = cut(row_means(df, id, vec, sigma, block))
-    grand = means.agg(F.avg("row_mean")).first()[0]
-    packed = points.select("block", F.posexplode("ids").alias("p", "id")).join(means, "id").groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("p", "row_mean"))).alias("m")).select("block", F.col("m.row_mean").alias("m"))  # a block has a fixed size
-    sums = tile_sums(points.join(packed, "block"), "m", lambda d2, own, other: ((np.exp(-d2 / sigma**2) - own - other.T + grand) ** 2).sum(1)[:, None])
+    points = stored(point_blocks(df, id, vec, block), "points")
+    means = stored(_row_means(points, sigma, block).select("block", F.col("sums").alias("m")), "means")
+    grand = means.select(F.explode("m").alias("m")).agg(F.avg("m")).first()[0]
+    sums = tile_sums(points.join(means, "block"), "m", lambda k, own, other: ((k - own - other.T + grand) ** 2).sum(1)[:, None],
+                     lambda d2: np.exp(-d2 / sigma**2), block)
     return _by_point(sums, "energy")
 
 
@@ -217,7 +293,8 @@ def _joint_gram(frames: list[DataFrame], widths: int) -> tuple[np.ndarray, np.nd
             yield pd.DataFrame({"g": [np.concatenate([total.ravel(), sums.ravel(), [float(points)]])]})
 
     rows = joined.select("n", *names).mapInPandas(partial, "g array<double>").select(F.posexplode("g").alias("k", "v"))
-    found = np.array([r.v for r in rows.groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()])
+    with tidy_shuffles(joined.sparkSession):
+        found = np.array([r.v for r in rows.groupBy("k").agg(F.sum("v").alias("v")).orderBy("k").collect()])
     count, found = int(found[-1]), found[:-1]
     columns = int(round((-1 + np.sqrt(1 + 4 * len(found) / widths)) / 2))
     return found[: widths * columns**2].reshape(widths, columns, columns), found[widths * columns**2:].reshape(widths, columns), count
@@ -258,15 +335,17 @@ def _factor(g: np.ndarray, size: float) -> np.ndarray:
     return np.linalg.cholesky((lifted + lifted.T) / 2).T
 
 
-def kernel_times(points: DataFrame, q: DataFrame, sigmas: list[float]) -> DataFrame:
+def kernel_times(points: DataFrame, q: DataFrame, sigmas: list[float], block: int = BLOCK) -> DataFrame:
     """The RBF kernel of each width times that width's columns ``q``; all widths share a tile's distances."""
-    def rows_of(d2, _, other):
-        parts = np.split(other, len(sigmas), axis=1)
-        return np.concatenate([np.exp(-d2 / sigma**2) @ part for sigma, part in zip(sigmas, parts)], axis=1)
+    def kernel(d2):
+        return np.stack([np.exp(-d2 / sigma**2) for sigma in sigmas])
+
+    def rows_of(k, _, other):
+        return np.concatenate([tile @ part for tile, part in zip(k, np.split(other, len(sigmas), axis=1))], axis=1)
 
     # Beside the points the columns of all widths lie side by side: (points, widths x columns).
     flat = _map_q(q, lambda size, v: v.reshape(len(sigmas), size, -1).transpose(1, 0, 2), ["q"])
-    sums = tile_sums(points.join(flat.select("block", "q"), "block"), "q", rows_of).withColumnRenamed("sums", "s")
+    sums = tile_sums(points.join(flat.select("block", "q"), "block"), "q", rows_of, kernel, block).withColumnRenamed("sums", "s")
     return stored(_map_q(sums, lambda size, v: v.reshape(size, len(sigmas), -1).transpose(1, 0, 2), ["s"]), "product")
 
 
@@ -307,7 +386,7 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
         first, _, _ = _orthonormal(raw, [], widths)
         spans, shares, factors = [first], [], []
         for step in range(steps):
-            q, share, r = _orthonormal(kernel_times(points, spans[-1], sigmas), spans, widths)
+            q, share, r = _orthonormal(kernel_times(points, spans[-1], sigmas, block), spans, widths)
             spans.append(q)
             shares.append(share)
             factors.append(r)
@@ -339,12 +418,12 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
 
 def residuals(df: DataFrame, id: str, vec: str, sigma: float, values: list[float], components: DataFrame, block: int = BLOCK) -> DataFrame:
     """For each component its length, its mean and ``|K q - value q|`` by one more product with the centred kernel."""
-    points = cut(point_blocks(df, id, vec, block))
+    points = stored(point_blocks(df, id, vec, block), "points")
     d = len(values)
     q = points.select("block", "ids", F.posexplode("ids").alias("p", "id")).join(components, "id").groupBy("block").agg(
         F.first("ids").alias("ids"), F.flatten(F.sort_array(F.collect_list(F.struct("p", "component")))["component"]).alias("q"))  # a block has a fixed size
-    q = cut(q)
-    image = kernel_times(points, q, [sigma])
+    q = stored(q, "components")
+    image = kernel_times(points, q, [sigma], block)
     g, sums, n = _joint_gram([q, image], 1)
     mean = sums[0] / n
     g = g[0] - n * np.outer(mean, mean)
