@@ -1,10 +1,11 @@
 """Near neighbours by random-projection hashing.
 
-An index row is one (vector, table); query and index meet in an equi join on
-(table, bucket key). Pairs are scored where they are joined and thrown away
-unless near, so no candidate list is shuffled; a bucket with very many vectors
-is cut into chunks and its queries visit each chunk. Copies of a vector, in the
-index or among the queries, are searched once.
+Queries and indexed vectors of a bucket (table, key) meet in one task, which
+multiplies their matrices and hands on the few nearest of each query, so no
+pair is made a row; a bucket with very many vectors is cut into chunks on both
+sides. Candidates are counted without pairs, from the numbers of vectors that
+agree in several tables. Copies of a vector, in the index or among the queries,
+are searched once.
 """
 
 from __future__ import annotations
@@ -13,16 +14,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.operators.blocks import matrix
+from tidewright.operators.blocks import matrix, squared_distances
 from tidewright.operators.metrics import average_precision, mean_ap, query_costs, vote_share
 from tidewright.operators.order import cap_candidates, group_index
 from tidewright.operators.select import thin_candidates
-from tidewright.session import cut
+from tidewright.session import cut, stored
 
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 1 << 14
+#: Tables up to which candidates are counted by sets of tables: 2^n - 1 counts.
+COUNTED_TABLES = 6
+#: Numbers of a tile of distances.
+HELD = 1 << 21
 
 
 def random_planes(tables: int, planes: int, dim: int, seed: int = 0) -> np.ndarray:
@@ -73,6 +79,65 @@ def pair_distance(df: DataFrame, a: str, b: str, name: str = "dist") -> DataFram
     return df.mapInArrow(measure, f"{fields}, `{name}` double")
 
 
+def _crowded(entries: DataFrame, chunk_rows: int) -> DataFrame | None:
+    """Buckets of more than ``chunk_rows`` rows and their number of chunks; None without any."""
+    sizes = entries.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows)
+    sizes = cut(sizes.select("table_id", "key", F.ceil(F.col("_n") / chunk_rows).alias("_chunks")))
+    return None if sizes.isEmpty() else sizes
+
+
+def _chunked(entries: DataFrame, own: DataFrame | None, other: DataFrame | None, names: tuple[str, str], *key) -> DataFrame:
+    """Each row in one chunk of its own side, and once for each chunk of the other side, of its bucket."""
+    for crowded, name in ((own, names[0]), (other, names[1])):
+        if crowded is None:
+            entries = entries.withColumn(name, F.lit(0).cast("long"))
+            continue
+        chunks = F.coalesce("_chunks", F.lit(1).cast("long"))
+        place = F.pmod(F.xxhash64(*key), chunks) if crowded is own else F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))
+        entries = entries.join(crowded, ["table_id", "key"], "left").withColumn(name, place).drop("_chunks")
+    return entries.withColumn("_bucket", F.xxhash64("table_id", "key", "_ic", "_qc"))
+
+
+def _finite(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.isfinite(x).all(axis=1))
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, image: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``x``, rows of ``y`` and their distance: within ``limit`` and among the ``k`` nearest images, ties and perhaps a few more.
+
+    Products of the matrices choose with a margin for their rounding, distances are those of the differences. ``image`` is sorted.
+    """
+    out = [[], [], []]
+    rows, columns = _finite(x), _finite(y)
+    y, image = y[columns], image[columns]
+    if not len(rows) or not len(columns):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    starts = np.flatnonzero(np.r_[True, image[1:] != image[:-1]])
+    slack = 8 * (x.shape[1] + 8) * np.finfo(float).eps * ((x[rows] ** 2).sum(1).max() + (y**2).sum(1).max())
+    step = max(1, HELD // len(columns))
+    for i in range(0, len(rows), step):
+        at = rows[i: i + step]
+        d2 = squared_distances(x[at], y)
+        most = np.full(len(at), limit * limit * (1 + 1e-12) + slack)
+        if len(starts) > k:
+            best = d2 if len(starts) == len(columns) else np.minimum.reduceat(d2, starts, axis=1)
+            most = np.minimum(most, np.partition(best, k - 1, axis=1)[:, k - 1] + 2 * slack)
+        a, b = np.nonzero(d2 <= most[:, None])
+        dist = np.sqrt(((x[at[a]] - y[b]) ** 2).sum(axis=1))
+        near = dist <= limit
+        for held, new in zip(out, (at[a[near]], columns[b[near]], dist[near])):
+            held.append(new)
+    return tuple(np.concatenate(v) for v in out)
+
+
+def _runs(table: pa.Table) -> tuple[pa.Table, dict[int, slice]]:
+    """The table sorted by bucket, and where each bucket lies."""
+    table = table.take(pc.sort_indices(table, [("_bucket", "ascending"), *[(c, "ascending") for c in ("img_id",) if c in table.column_names]])).combine_chunks()
+    bucket = table.column("_bucket").to_numpy()
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
+    return table, {int(bucket[a]): slice(int(a), int(b)) for a, b in zip(starts, [*starts[1:], len(bucket)])}
+
+
 # Copies of a vector are told by two 64-bit hashes of it.
 COPY = ["_h1", "_h2"]
 
@@ -91,11 +156,13 @@ class LshIndex:
     images share costs k rows, not all of them.
     """
 
+    rows: DataFrame
     entries: DataFrame
     copies: DataFrame
     crowded: DataFrame | None
     planes: np.ndarray
     radius: float
+    chunk_rows: int = CHUNK_ROWS
 
     @classmethod
     def build(cls, df: DataFrame, image: str = "img_id", patch: str | None = None, vec: str = "vec", tables: int = 10,
@@ -112,11 +179,9 @@ class LshIndex:
         # Equal patches of one image: the first stands for them.
         single = rows.groupBy(*COPY, "img_id").agg(F.min(F.struct("patch", "label", "vec")).alias("_r")).select(*COPY, "img_id", "_r.*")
         numbered = group_index(single, COPY, "img_id", "_copy")
-        keyed = _bucket_keys(numbered, "vec", planes, radius)
-        entries = cut(keyed.select("*", F.posexplode("_keys").alias("table_id", "key")))
-        sizes = entries.groupBy("table_id", "key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows)
-        sizes = cut(sizes.select("table_id", "key", F.ceil(F.col("_n") / chunk_rows).alias("_chunks")))
-        return cls(entries, copies, None if sizes.isEmpty() else sizes, planes, radius)
+        keyed = stored(_bucket_keys(numbered, "vec", planes, radius), "index")  # a vector once, not once for each table
+        entries = keyed.select("*", F.posexplode("_keys").alias("table_id", "key"))
+        return cls(keyed, entries, copies, _crowded(entries, chunk_rows), planes, radius, chunk_rows)
 
     def table(self) -> DataFrame:
         """The hash tables: ``table_id, key, img_id, patch``."""
@@ -158,9 +223,11 @@ class LshIndex:
         candidates. With ``subsample`` candidates are left out at random. Each
         of these three can pass over a copy, so then all copies take part.
         """
-        exact = not compat and table_limit is None and subsample >= 1.0
         reps, asked = self._distinct(queries, query, vec)
-        pairs = self._pairs(reps, k if exact else 1 << 62).drop(*COPY)
+        if not compat and table_limit is None and subsample >= 1.0:
+            best = self._best(reps, k, c * self.radius).groupBy("rep", "img_id").agg(F.min(F.struct("dist", "patch", "table_id", "label")).alias("_b"))
+            return self._ranked(best.select("rep", "img_id", "_b.*"), reps, asked, k)
+        pairs = self._pairs(reps, 1 << 62).drop(*COPY)
         if subsample < 1.0:
             pairs = thin_candidates(pairs, subsample, seed, ["rep", "img_id", "patch"])
         scored = pair_distance(pairs, "q_vec", "vec")
@@ -173,6 +240,47 @@ class LshIndex:
             one = best.select("rep", "img_id", "_b.*")
         if table_limit is not None:
             one = cap_candidates(one, ["rep", "table_id"], ["img_id", "patch"], table_limit)
+        return self._ranked(one, reps, asked, k)
+
+    def _best(self, reps: DataFrame, k: int, limit: float) -> DataFrame:
+        """Of each query vector and bucket the images that can be among the ``k`` nearest within ``limit``: ``rep, img_id, patch, label, table_id, dist``.
+
+        The k nearest of all buckets are among the k nearest of each, so a task hands on a few rows for each query and bucket.
+        """
+        keyed = _bucket_keys(reps.select("rep", "q_vec").filter(F.col("q_vec").isNotNull()), "q_vec", self.planes, self.radius)
+        asked = stored(keyed, "asked").select("rep", "q_vec", F.posexplode("_keys").alias("table_id", "key"))
+        crowd = _crowded(asked, self.chunk_rows)
+        held = self.entries.filter(F.col("_copy") < k).select("img_id", "patch", "vec", "label", "table_id", "key")
+        held = _chunked(held, self.crowded, crowd, ("_ic", "_qc"), "img_id", "patch", "vec").drop("key", "_ic", "_qc")
+        asked = _chunked(asked, crowd, self.crowded, ("_qc", "_ic"), "rep", "q_vec").drop("table_id", "key", "_ic", "_qc")
+        context = held.sparkSession.sparkContext
+        parts = max(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism)
+
+        def dealt(frame):  # so many buckets to a task; the number is fixed, as little data can be much work
+            return frame.withColumn("_part", F.pmod("_bucket", F.lit(16 * parts))).repartition(parts, "_part").groupBy("_part")
+
+        names = ["rep", "img_id", "patch", "label", "table_id", "dist"]
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            (left, asks), (right, holds) = _runs(left), _runs(right)
+            found = []
+            for bucket in asks.keys() & holds.keys():
+                mine, theirs = (t.slice(s.start, s.stop - s.start) for t, s in ((left, asks[bucket]), (right, holds[bucket])))
+                x, y = (matrix(t.column(v)).astype(np.float64) for t, v in ((mine, "q_vec"), (theirs, "vec")))
+                images = theirs.column("img_id").combine_chunks().dictionary_encode("encode").indices.to_numpy()
+                a, b, dist = _nearest(x, y, images, k, limit)
+                chosen = theirs.select(names[1:5]).take(pa.array(b))
+                found.append(pa.table([mine.column("rep").take(pa.array(a)), *chosen.columns, pa.array(dist)], names))
+            if found:
+                return pa.concat_tables(found)
+            empty = [left.schema.field("rep").type, *[right.schema.field(n).type for n in names[1:5]], pa.float64()]
+            return pa.table([pa.array([], t) for t in empty], names)
+
+        kinds = dict(reps.dtypes) | dict(held.dtypes)
+        schema = ", ".join(f"`{n}` {kinds[n]}" for n in names[:5]) + ", dist double"
+        return dealt(asked).cogroup(dealt(held)).applyInArrow(run, schema)
+
+    def _ranked(self, one: DataFrame, reps: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("rep").orderBy("dist", "img_id", "patch"))
         ranked = one.withColumn("rank", rank).filter(F.col("rank") <= k)
         same = asked.join(reps.select("rep", *COPY), COPY)
@@ -181,8 +289,22 @@ class LshIndex:
     def computed(self, queries: DataFrame, query: str = "query_id", vec: str = "vec") -> DataFrame:
         """Candidates of each query: vectors that share a bucket, copies counted, without listing them.
 
-        Counts combine before the shuffle; a query without any has no row.
+        For each set of tables those that agree with the query in all of them are a plain count; vectors that share any bucket follow by
+        inclusion and exclusion, so the work grows with the rows. Very many tables have too many sets, then pairs are counted. A query without any has no row.
         """
+        tables = self.planes.shape[0]
+        if tables <= COUNTED_TABLES:
+            sets = [[t for t in range(tables) if m >> t & 1] for m in range(1, 1 << tables)]
+            spread = F.explode(F.array(*[
+                F.struct(F.lit(m).alias("m"), F.lit(1 if len(s) % 2 else -1).alias("sign"), F.xxhash64(F.lit(m), *[F.col("_keys")[t] for t in s]).alias("h"))
+                for m, s in enumerate(sets)])).alias("s")
+            held = self.rows.filter(F.col("_copy") == 0).join(self.copies, COPY).groupBy("_keys").agg(F.sum("_n").alias("_n"))
+            counts = held.select(spread, "_n").groupBy("s.m", "s.h").agg(F.sum("_n").alias("_n"))
+            named = queries.select(F.col(query).alias("query_id"), F.col(vec).alias("q_vec")).filter(F.col("q_vec").isNotNull())
+            keyed = stored(_bucket_keys(named, "q_vec", self.planes, self.radius).select("query_id", "_keys"), "asked")
+            asked = keyed.select("_keys").distinct().select("_keys", spread).select("_keys", "s.*")
+            totals = asked.join(counts, ["m", "h"]).groupBy("_keys").agg(F.sum(F.col("sign") * F.col("_n")).alias("n_computed"))
+            return keyed.join(totals.filter(F.col("n_computed") > 0), "_keys").select("query_id", "n_computed")
         reps, asked = self._distinct(queries, query, vec)
         met = self._pairs(reps, 1).select("rep", *COPY).join(self.copies, COPY)
         totals = met.groupBy("rep").agg(F.sum("_n").alias("n_computed"))
@@ -196,7 +318,7 @@ class LshIndex:
         Neighbours are searched once for the largest ``k``; smaller ones are its first ranks.
         """
         found = cut(self.query(queries, max(ks), c, query=query, vec=vec, compat=compat))
-        computed = self.computed(queries, query, vec)
+        computed = cut(self.computed(queries, query, vec))
         truth = queries.select(F.col(query).alias("query_id"), F.col(label).alias("_truth"))
         out = None
         for k in ks:
