@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.operators.metrics import average_precision, mean_ap
-from tidewright.session import cut
+from tidewright.session import cut, stored
 
 # Side of a grid cell in pixels, a few times a usual box: smaller cells copy a box
 # more often, larger ones compare more boxes of a crowded image.
@@ -119,7 +119,7 @@ def match_boxes(anchors: DataFrame, truth: DataFrame, iou: float = 0.5, force: b
     first_box = a.groupBy(*_on("a", image)).agg(F.min("box_id").alias("box_id"))
     pairs = _pairs(anchors, truth, image, 0.0 if force else iou).join(first_truth, _on("b", image)).join(first_box, _on("a", image))
     if force:
-        pairs = cut(pairs)  # read twice: once per box, once per annotation
+        pairs = stored(pairs, "pairs")  # read twice: once per box, once per annotation
     own = (
         pairs.filter(F.col("iou") >= iou)
         .groupBy(*_on("a", image)).agg(F.max(F.struct("iou", (-F.col("truth_id")).alias("n"))).alias("_b"))
