@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.keys import hash_unit
 from tidewright.operators.order import row_index
 from tidewright.operators.select import sample_n
-from tidewright.session import stored, tidy_shuffles
+from tidewright.session import discard, stored, tidy_shuffles
 
 BLOCK = 256
 #: Columns of a block of the Gram matrix.
@@ -382,11 +382,17 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
     steps = max(1, min(steps, (n - 1) // wide - 1))
     number = F.flatten(F.transform("ids", lambda i: F.array(*[hash_unit(seed, F.lit(c), i) for c in range(wide)])))
     raw = stored(points.select("block", "ids", F.flatten(F.array_repeat(number, widths)).alias("q")), "start")
+    first = None
     for _ in range(cycles):
+        if first is not None:
+            discard(first)
         first, _, _ = _orthonormal(raw, [], widths)
+        discard(raw)
         spans, shares, factors = [first], [], []
         for step in range(steps):
-            q, share, r = _orthonormal(kernel_times(points, spans[-1], sigmas, block), spans, widths)
+            product = kernel_times(points, spans[-1], sigmas, block)
+            q, share, r = _orthonormal(product, spans, widths)
+            discard(product)
             spans.append(q)
             shares.append(share)
             factors.append(r)
@@ -408,6 +414,11 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
             return np.concatenate([b.reshape(widths, size, -1) for b in blocks], axis=2) @ mix
 
         raw = stored(_map_q(joined, combined, [f"q{k}" for k in range(len(spans) - 1)]), "best")
+        for span in spans[1:]:
+            discard(span)
+        spans = [first]
+    for frame in [points, raw, *spans[1:]]:  # the columns of the first block are the result
+        discard(frame)
     out = []
     for s in range(widths):
         start = F.lit(s) * F.size("ids") * wide
@@ -425,6 +436,8 @@ def residuals(df: DataFrame, id: str, vec: str, sigma: float, values: list[float
     q = stored(q, "components")
     image = kernel_times(points, q, [sigma], block)
     g, sums, n = _joint_gram([q, image], 1)
+    for frame in (points, q, image):
+        discard(frame)
     mean = sums[0] / n
     g = g[0] - n * np.outer(mean, mean)
     lam = np.array(values)
