@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.operators.metrics import average_precision, mean_ap
+from tidewright.operators.order import prefix_sums
 from tidewright.session import cut, stored
 
 # Side of a grid cell in pixels, a few times a usual box: smaller cells copy a box
@@ -29,17 +29,19 @@ def _on(side: str, image: str) -> list[str]:
     return [image, *[f"{side}_{n}" for n in SIDES]]
 
 
-def _cells(df: DataFrame, side: str, image: str, cell: float) -> DataFrame:
-    """Distinct boxes, one row for each grid cell they touch."""
+def _cells(plain: DataFrame, side: str, cell: float) -> DataFrame:
+    """Flat boxes, one row for each grid cell they touch."""
     x, y, w, h = (F.col(f"{side}_{n}") for n in SIDES)
-    plain = _flat(df, side, image).distinct()
     across = plain.select("*", F.explode(F.sequence(F.floor(x / cell), F.floor((x + w) / cell))).alias("_cx"))
     return across.select("*", F.explode(F.sequence(F.floor(y / cell), F.floor((y + h) / cell))).alias("_cy"))
 
 
-def _pairs(boxes: DataFrame, truth: DataFrame, image: str, min_iou: float, cell: float = CELL) -> DataFrame:
-    """Overlapping pairs as plain coordinates ``a_*`` and ``b_*`` with their IoU."""
-    joined = _cells(boxes, "a", image, cell).join(_cells(truth, "b", image, cell), [image, "_cx", "_cy"])
+def _pairs(boxes: DataFrame, truth: DataFrame, on: list[str], min_iou: float, cell: float = CELL) -> DataFrame:
+    """Overlapping pairs of flat boxes ``a_*`` and ``b_*`` with equal ``on``, with their IoU.
+
+    Each side has a box once for each ``on``; what else it carries (ids, counts) goes along, so nothing is joined back.
+    """
+    joined = _cells(boxes, "a", cell).join(_cells(truth, "b", cell), [*on, "_cx", "_cy"])
     ax, ay, aw, ah = (F.col(f"a_{n}") for n in SIDES)
     bx, by, bw, bh = (F.col(f"b_{n}") for n in SIDES)
     x0, y0 = F.greatest(ax, bx), F.greatest(ay, by)
@@ -51,7 +53,7 @@ def _pairs(boxes: DataFrame, truth: DataFrame, image: str, min_iou: float, cell:
         joined = joined.filter(F.least(*areas) >= min_iou * (1 - 1e-9) * F.greatest(*areas))
     inter = (x1 - x0 + 1) * (y1 - y0 + 1)
     iou = inter / (areas[0] + areas[1] - inter)
-    return joined.filter(iou >= min_iou).select(*_on("a", image), *_on("b", image)[1:], iou.alias("iou"))
+    return joined.filter(iou >= min_iou).drop("_cx", "_cy").withColumn("iou", iou)
 
 
 def box_pairs(boxes: DataFrame, truth: DataFrame, image: str = "img_id", min_iou: float = 0.0, cell: float = CELL) -> DataFrame:
@@ -64,16 +66,15 @@ def box_pairs(boxes: DataFrame, truth: DataFrame, image: str = "img_id", min_iou
     def packed(side, name):
         return F.struct(*[F.col(f"{side}_{n}").alias(n) for n in SIDES]).alias(name)
 
-    return _pairs(boxes, truth, image, min_iou, cell).select(image, packed("a", "box"), packed("b", "truth"), "iou")
+    sides = [_flat(df, side, image).distinct() for df, side in ((boxes, "a"), (truth, "b"))]
+    return _pairs(*sides, [image], min_iou, cell).select(image, packed("a", "box"), packed("b", "truth"), "iou")
 
 
 def _class_pairs(boxes, truth, image, iou, strict):
     """Pairs with each class that is annotated at the place, equal annotations counted once."""
-    pairs = _pairs(boxes, truth, image, iou)
-    if strict:
-        pairs = pairs.filter(F.col("iou") > iou)
     groups = _flat(truth, "b", image, "class_name").groupBy(*_on("b", image), "class_name").agg(F.count(F.lit(1)).alias("copies"))
-    return pairs.join(groups, _on("b", image))
+    pairs = _pairs(_flat(boxes, "a", image).distinct(), groups, [image], iou)
+    return pairs.filter(F.col("iou") > iou) if strict else pairs
 
 
 def box_label_matrix(boxes: DataFrame, truth: DataFrame, classes, iou: float = 0.5, capped: bool = True,
@@ -117,7 +118,7 @@ def match_boxes(anchors: DataFrame, truth: DataFrame, iou: float = 0.5, force: b
     t = _flat(truth, "b", image, "truth_id")
     first_truth = t.groupBy(*_on("b", image)).agg(F.min("truth_id").alias("truth_id"))
     first_box = a.groupBy(*_on("a", image)).agg(F.min("box_id").alias("box_id"))
-    pairs = _pairs(anchors, truth, image, 0.0 if force else iou).join(first_truth, _on("b", image)).join(first_box, _on("a", image))
+    pairs = _pairs(first_box, first_truth, [image], 0.0 if force else iou)
     if force:
         pairs = stored(pairs, "pairs")  # read twice: once per box, once per annotation
     own = (
@@ -207,10 +208,14 @@ def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int | N
     best = det
     if per_image is not None:
         best = det.withColumn("_rank", F.row_number().over(group)).filter(F.col("_rank") <= per_image).drop("_rank")
+    on = ["img_id", "class_name"]
+    dets = _flat(best, "a", "img_id", "class_name", "det_id", "score")
+    truths = _flat(truth, "b", "img_id", "class_name", "truth_id")
+    places = [side.drop(*ids).distinct() for side, ids in ((dets, ["det_id", "score"]), (truths, ["truth_id"]))]
     met = (
-        _pairs(best, truth, "img_id", iou)
-        .join(_flat(best, "a", "img_id", "class_name", "det_id", "score"), _on("a", "img_id"))
-        .join(_flat(truth, "b", "img_id", "class_name", "truth_id"), [*_on("b", "img_id"), "class_name"])
+        _pairs(*places, on, iou)
+        .join(dets, [*_on("a", "img_id"), "class_name"])
+        .join(truths, [*_on("b", "img_id"), "class_name"])
         .select("img_id", "class_name", "det_id", "score", "truth_id", "iou")
     )
     if per_image is None:
@@ -220,8 +225,11 @@ def _near_pairs(det: DataFrame, truth: DataFrame, iou: float, per_image: int | N
     return best, near
 
 
-def _assigned(near: DataFrame) -> DataFrame:
-    """Detections that get an annotation: by falling score, each takes its best one still free."""
+def _assigned(near: DataFrame, limits) -> DataFrame:
+    """Detections that get an annotation: by falling score, each takes its best one still free.
+
+    Bit i of ``hits`` stands for the pairs at or above the i-th limit, each limit being assigned by itself.
+    """
     item = F.struct((-F.col("score")).alias("order"), "det_id", (-F.col("iou")).alias("iou"), "truth_id")
     kind = dict(near.dtypes)
     start = F.struct(
@@ -235,28 +243,49 @@ def _assigned(near: DataFrame) -> DataFrame:
         )
         return F.when(free, taken).otherwise(state)
 
+    def marked(i, limit):
+        dets = F.aggregate(F.filter("_p", lambda p: -p["iou"] >= limit), start, take)["dets"]
+        return F.transform(dets, lambda d: F.struct(d.alias("det_id"), F.lit(1 << i).alias("bit")))
+
     groups = near.groupBy("img_id", "class_name").agg(F.sort_array(F.collect_list(item)).alias("_p"))
-    return groups.select("img_id", "class_name", F.explode(F.aggregate("_p", start, take)["dets"]).alias("det_id"), F.lit(1).alias("hit"))
+    found = groups.select("img_id", "class_name", F.explode(F.concat(*[marked(i, v) for i, v in enumerate(limits)])).alias("_d"))
+    return found.groupBy("img_id", "class_name", "_d.det_id").agg(F.bit_or("_d.bit").alias("hits"))
 
 
-def _with_hits(best: DataFrame, near: DataFrame) -> DataFrame:
-    joined = best.join(_assigned(near), ["img_id", "class_name", "det_id"], "left")
-    return joined.select("img_id", "class_name", "det_id", "score", F.coalesce("hit", F.lit(0)).alias("hit"))
+def _with_hits(best: DataFrame, near: DataFrame, limits) -> DataFrame:
+    joined = best.join(_assigned(near, limits), ["img_id", "class_name", "det_id"], "left")
+    return joined.select("img_id", "class_name", "det_id", "score", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 def detection_hits(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int | None = None) -> DataFrame:
     """The detections of each image and class (the best ``per_image``, if given; the published metric takes 100), with 1 for a hit and 0 for a false alarm."""
-    return _with_hits(*_near_pairs(det, truth, iou, per_image))
+    hits = _with_hits(*_near_pairs(det, truth, iou, per_image), [iou])
+    return hits.withColumnRenamed("hits", "hit")
+
 
+def _step_precision(hits: DataFrame, truth: DataFrame, limits) -> DataFrame:
+    """Average precision by class and limit with recall over all annotations, found or not.
 
-def _step_precision(hits: DataFrame, truth: DataFrame) -> DataFrame:
-    """Average precision by class with recall over all annotations, found or not."""
+    Detections are counted by class and score for all limits at once, so they are read and ranked once.
+    """
+    hit = [f"_hit_{i}" for i in range(len(limits))]
+    counts = hits.groupBy("class_name", "score").agg(
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count_if(F.col("hits").bitwiseAND(F.lit(1 << i)) != 0).alias(c) for i, c in enumerate(hit)],
+    )
+    amounts = {"seen": "_all", **{f"tp{c}": c for c in hit}}
+    cum = prefix_sums(counts, [F.col("score").desc()], amounts, ["class_name"])
+    by_class = cum.groupBy("class_name").agg(F.array(*[
+        F.struct(F.lit(float(v)).alias("iou"), F.sum(F.col(c) * (F.col(f"tp{c}") / F.col("seen"))).alias("area"), F.sum(c).alias("hits"))
+        for c, v in zip(hit, limits)
+    ]).alias("_found"))
     totals = truth.groupBy("class_name").agg(F.count(F.lit(1)).alias("_all"))
-    found = hits.groupBy("class_name").agg(F.sum("hit").alias("_hits"))
-    ap = average_precision(hits, "hit", "score", ["class_name"])
-    joined = totals.join(found, "class_name", "left").join(ap, "class_name", "left")
-    share = F.coalesce("_hits", F.lit(0)) / F.col("_all")
-    return joined.select("class_name", F.when(share > 0, F.col("ap") * share).otherwise(F.lit(0.0)).alias("ap"))
+    absent = F.array(*[F.struct(F.lit(float(v)).alias("iou"), F.lit(0.0).alias("area"), F.lit(0).cast("long").alias("hits")) for v in limits])
+    joined = totals.join(by_class, "class_name", "left")
+    rows = joined.select("class_name", "_all", F.explode(F.coalesce("_found", absent)).alias("_f"))
+    share = F.col("_f.hits") / F.col("_all")
+    ap = F.when(share > 0, F.col("_f.area") / F.col("_f.hits") * share).otherwise(F.lit(0.0))
+    return rows.select("class_name", "_f.iou", ap.alias("ap"))
 
 
 # The ten IoU limits of the detection metric set.
@@ -265,19 +294,18 @@ IOU_LIMITS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
 def detection_map(det: DataFrame, truth: DataFrame, iou: float = 0.5, per_image: int | None = None) -> DataFrame:
     """AP of every annotated class at one IoU limit."""
-    return _step_precision(cut(detection_hits(det, truth, iou, per_image)), truth)
+    hits = _with_hits(*_near_pairs(det, truth, iou, per_image), [iou])
+    return _step_precision(hits, truth, [iou]).drop("iou")
 
 
 def detection_map_set(det: DataFrame, truth: DataFrame, limits=IOU_LIMITS, per_image: int | None = None) -> DataFrame:
     """Mean AP at each IoU limit; their mean is the headline figure.
 
-    Pairs are found once for the lowest limit. They are ordered by IoU, so the
-    pairs of a higher limit are the first of them.
+    Pairs are found once for the lowest limit, and a group of them is assigned for all limits where it is.
     """
-    best, near = (cut(f) for f in _near_pairs(det, truth, min(limits), per_image))
-    out = None
-    for limit in limits:
-        hits = cut(_with_hits(best, near.filter(F.col("iou") >= limit)))
-        row = mean_ap(_step_precision(hits, truth)).select(F.lit(limit).alias("iou"), "map")
-        out = row if out is None else out.unionByName(row)
-    return out
+    hits = _with_hits(*_near_pairs(det, truth, min(limits), per_image), limits)
+    aps = _step_precision(hits, truth, limits)
+    means = aps.agg(F.array(*[
+        F.struct(F.lit(v).alias("iou"), F.avg(F.when(F.col("iou") == v, F.col("ap"))).alias("map")) for v in limits
+    ]).alias("_m"))
+    return means.select(F.inline("_m"))
