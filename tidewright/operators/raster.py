@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.geometry import grid_box
 
+#: Grid values that are pooled at a time in a worker.
+POOL_VALUES = 1 << 20
+
 
 def grid_cells(df: DataFrame, vec: str, width: int, keep) -> DataFrame:
     """An array of ``width * width`` values as long cells ``(x, y, value)``, row by row."""
@@ -44,6 +49,61 @@ def central_crop(cells: DataFrame, extent: int, fraction: float) -> DataFrame:
     return cells.filter(inside[0] & inside[1])
 
 
+def _bins(lo: np.ndarray, hi: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place and end of each of ``n`` bins, by bin and row."""
+    i = np.arange(n)[:, None]
+    return lo + i * (hi - lo) // n, lo - -(i + 1) * (hi - lo) // n
+
+
+def max_pools(grid: np.ndarray, x0, y0, x1, y1, sizes) -> list[np.ndarray]:
+    """Largest value of each bin, ``n * n`` by row for each size; ``grid`` is by x, y and row, NaN counts as largest."""
+    side, _, rows = grid.shape
+    place = np.arange(side)[:, None]
+    least = -np.inf if grid.dtype.kind == "f" else np.iinfo(grid.dtype).min
+    out = []
+    for n in sizes:
+        x_first, x_last = _bins(x0, x1, n)
+        y_first, y_last = _bins(y0, y1, n)
+        pooled = np.empty((n, n, rows), grid.dtype)
+        for j in range(n):
+            columns = np.where((place >= y_first[j]) & (place < y_last[j]), grid, least).max(1)
+            for i in range(n):
+                pooled[i, j] = np.where((place >= x_first[i]) & (place < x_last[i]), columns, least).max(0)
+        out.append(pooled.reshape(n * n, rows).T.astype(grid.dtype))
+    return out
+
+
+def _pooler(kind: str, sizes):
+    """Function of the columns values, side, x0, y0, x1, y1: a struct of pools, null without values or with a null among them."""
+    names = [f"pool_{n}" for n in sizes]
+
+    def run(values: pa.Array, side: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+        given = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
+        flat = values.flatten()
+        sides, *edges = (c.take(pa.array(given)).to_numpy(zero_copy_only=False).astype(np.int64) for c in (side, x0, y0, x1, y1))
+        ends = np.cumsum(sides * sides)
+        whole = np.ones(len(given), bool)
+        if flat.null_count:
+            gaps = np.concatenate([[0], np.cumsum(flat.is_null().to_numpy(zero_copy_only=False))])
+            whole = gaps[ends] == gaps[ends - sides * sides]
+        numbers = flat.fill_null(0).to_numpy(zero_copy_only=False)
+        pools = [np.zeros((len(values), n * n), numbers.dtype) for n in sizes]
+        for width in np.unique(sides[whole]):
+            at = np.flatnonzero(whole & (sides == width))
+            step = max(1, POOL_VALUES // int(width * width))
+            for part in (at[k: k + step] for k in range(0, len(at), step)):
+                places = (ends[part] - width * width) + np.arange(width * width)[:, None]
+                grid = numbers[places].reshape(width, width, len(part))
+                for pool, found in zip(pools, max_pools(grid, *(e[part] for e in edges), sizes)):
+                    pool[given[part]] = found
+        missing = np.ones(len(values), bool)
+        missing[given[whole]] = False
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * n * n, pa.int32()), pa.array(p.ravel())) for n, p in zip(sizes, pools)]
+        return pa.StructArray.from_arrays(lists, names=names, mask=pa.array(missing))
+
+    return F.arrow_udf(run, f"struct<{', '.join(f'{name}: array<{kind}>' for name in names)}>")
+
+
 def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str = "img_id") -> DataFrame:
     """Largest value in each bin of a box crop, for pyramids of ``sizes`` bins per axis.
 
@@ -51,8 +111,9 @@ def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str
     the grid column by column (x outer, y inner) and the grid's ``side``;
     ``boxes`` has ``box_id`` and ``grid`` (x0, y0, x1, y1). A bin i of n over
     length m covers floor(i m / n) .. ceil((i + 1) m / n). A grid is a short
-    array, so pooling is an expression per (box, channel) and the only shuffle
-    is the join of boxes with their image.
+    array, so pooling is per (box, channel) and the only shuffle is the join of
+    boxes with their image. Boxes inside whole square grids of numbers are pooled
+    by columns of many boxes, any other row by an expression of its own.
     """
     joined = boxes.join(grids, image)
     g = F.col("grid")
@@ -73,6 +134,12 @@ def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str
         return F.array_max(columns)
 
     pooled = [F.array(*[bin_max(i, j, n) for i in range(n) for j in range(n)]) for n in sizes]
+    kind = joined.schema["values"].dataType.elementType.simpleString()
+    if kind in ("float", "double", "int", "bigint", "smallint", "tinyint"):
+        inside = (g["x0"] >= 0) & (g["x0"] < g["x1"]) & (g["x1"] <= F.col("side")) & (g["y0"] >= 0) & (g["y0"] < g["y1"]) & (g["y1"] <= F.col("side"))
+        square = F.size("values") == F.col("side").cast("long") * F.col("side")
+        joined = joined.withColumn("_pools", _pooler(kind, sizes)(F.when(inside & square, F.col("values")), "side", g["x0"], g["y0"], g["x1"], g["y1"]))
+        pooled = [F.when(F.col("_pools").isNull(), p).otherwise(F.col(f"_pools.pool_{n}")) for p, n in zip(pooled, sizes)]
     return joined.select(image, "box_id", "channel", *[p.alias(f"pool_{n}") for p, n in zip(pooled, sizes)])
 
 
