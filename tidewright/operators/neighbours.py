@@ -3,6 +3,7 @@
 Each value finds its k-th neighbour among the values of its class in sorted order, where neighbours lie within k places: the
 order is cut into chunks of fixed size, and k rows of either side go along with each chunk. How many values of any class lie
 nearer is a difference of two places in the order of all values, found by one running sum over values and interval ends.
+Equal values of a class are counted first: they share distance and place, and k + 1 of them stand for any number.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.keys import match_on
 from tidewright.operators.order import prefix_sums, row_index
-from tidewright.session import cut
+from tidewright.session import stored
 
 #: Rows of a chunk of the sorted values.
 CHUNK = 100_000
@@ -51,8 +52,10 @@ def neighbour_information(df: DataFrame, cols, label: str, k: int = 3, chunk: in
     """
     values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])).alias("p")
     long = df.select(F.col(label).alias("y"), values).select("p.feature", "y", "p.x").where("y IS NOT NULL AND x IS NOT NULL AND NOT isnan(x)")
-    sizes = long.groupBy("feature", "y").agg(F.count("*").alias("size")).where("size > 1")
-    ordered = row_index(match_on(long, sizes, ["feature", "y"]), ["feature", "y", "x"], "idx")
+    counted = stored(long.groupBy("feature", "y", "x").agg(F.count("*").alias("rows")), "values")
+    sizes = counted.groupBy("feature", "y").agg(F.sum("rows").alias("size")).where("size > 1")
+    copies = F.explode(F.sequence(F.lit(1), F.least("rows", F.lit(k + 1)).cast("int"))).alias("copy")
+    ordered = row_index(match_on(counted, sizes, ["feature", "y"]).select("*", copies), ["feature", "y", "x"], "idx")
     place, own = F.col("idx") % chunk, F.floor(F.col("idx") / chunk)
     before, after = F.when(place < k, own - 1), F.when(place >= chunk - k, own + 1)
     homes = F.filter(F.array(own, before, after), lambda c: c.isNotNull())
@@ -64,20 +67,25 @@ def neighbour_information(df: DataFrame, cols, label: str, k: int = 3, chunk: in
         nearest = np.minimum(k, frame["size"].to_numpy() - 1)
         frame["r"] = kth_distances(frame["x"].to_numpy(), segment.cumsum().to_numpy(), nearest)
         frame["k"] = nearest
-        return frame.loc[frame["own"] == frame["chunk"], ["feature", "idx", "x", "size", "k", "r"]]
+        first = (frame["own"] == frame["chunk"]) & (frame["copy"] == 1)
+        return frame.loc[first, ["feature", "idx", "x", "rows", "size", "k", "r"]]
 
-    found = cut(spread.groupBy("chunk").applyInPandas(distances, "feature string, idx long, x double, size long, k long, r double"))
+    found = stored(spread.groupBy("chunk").applyInPandas(distances, "feature string, idx long, x double, rows long, size long, k long, r double"), "distances")
     # Kind orders what has one value: 0 before the values, 1 the values, 2 behind them.
     exact = F.col("r") == 0
     ends = F.array(
-        F.struct(F.col("x").alias("v"), F.lit(1).alias("kind"), F.lit(1).alias("one"), F.lit(0).alias("sign")),
-        F.struct((F.col("x") + F.col("r")).alias("v"), F.when(exact, 2).otherwise(0).alias("kind"), F.lit(0).alias("one"), F.lit(1).alias("sign")),
-        F.struct((F.col("x") - F.col("r")).alias("v"), F.when(exact, 0).otherwise(2).alias("kind"), F.lit(0).alias("one"), F.lit(-1).alias("sign")),
+        F.struct(F.col("x").alias("v"), F.lit(1).alias("kind"), F.col("rows").alias("one"), F.lit(0).alias("sign")),
+        F.struct((F.col("x") + F.col("r")).alias("v"), F.when(exact, 2).otherwise(0).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(1).alias("sign")),
+        F.struct((F.col("x") - F.col("r")).alias("v"), F.when(exact, 0).otherwise(2).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(-1).alias("sign")),
     )
     marks = found.select("feature", "idx", F.explode(ends).alias("e")).select("feature", "idx", "e.*")
     running = prefix_sums(marks, ["v", "kind"], {"upto": "one"}, by=["feature"]).where("sign <> 0")
     nearer = running.groupBy("feature", "idx").agg(F.sum(F.col("sign") * F.col("upto")).alias("m"))
     terms = found.join(nearer, ["feature", "idx"])
-    means = terms.groupBy("feature").agg(
-        F.count("*").alias("n"), F.avg(digamma(F.col("k"))).alias("k"), F.avg(digamma(F.col("size"))).alias("size"), F.avg(digamma(F.col("m"))).alias("m"))
+    n = F.sum("rows")
+
+    def mean(name: str) -> Column:
+        return (F.sum(digamma(F.col(name)) * F.col("rows")) / n).alias(name)
+
+    means = terms.groupBy("feature").agg(n.alias("n"), mean("k"), mean("size"), mean("m"))
     return means.select("feature", F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("k") - F.col("size") - F.col("m")).alias("mi"))
