@@ -52,7 +52,7 @@ def _pairs(boxes: DataFrame, truth: DataFrame, on: list[str], min_iou: float, ce
     if min_iou > 0:
         joined = joined.filter(F.least(*areas) >= min_iou * (1 - 1e-9) * F.greatest(*areas))
     inter = (x1 - x0 + 1) * (y1 - y0 + 1)
-    iou = inter / (areas[0] + areas[1] - inter)
+    iou = F.try_divide(inter, areas[0] + areas[1] - inter)  # Spark may compute it before the filters, where the divisor can be 0
     return joined.filter(iou >= min_iou).drop("_cx", "_cy").withColumn("iou", iou)
 
 
