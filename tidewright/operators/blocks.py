@@ -116,13 +116,16 @@ def all_pairs(df: DataFrame, id: str, vec: str, block: int = BLOCK) -> DataFrame
 
 
 def squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T), 0.0)
+    d2 = x @ y.T
+    d2 *= -2
+    d2 += (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
+    return np.maximum(d2, 0.0, out=d2)
 
 
 #: Points of a group at most, fewest groups (of one block at least) that share the work, and numbers of a tile that a task holds.
 GROUP_POINTS = 1 << 14
 GROUPS = 16
-HELD = 1 << 20
+HELD = 1 << 17
 
 
 def _paired(points: DataFrame, extra: str, block: int) -> DataFrame:
@@ -171,7 +174,7 @@ def tile_sums(points: DataFrame, extra: str, rows_of, kernel=None, block: int =
         if not same:
             sides.append(side(table.filter(pc.invert(table.column("left")))))
         (_, _, _, x, ex), (_, _, _, y, ey) = sides[0], sides[-1]
-        high = min(len(x), 512)
+        high = min(len(x), 256)
         wide = max(1, HELD // high)
         sums = [None] * len(sides)
 
@@ -300,10 +303,15 @@ def _joint_gram(frames: list[DataFrame], widths: int) -> tuple[np.ndarray, np.nd
     return found[: widths * columns**2].reshape(widths, columns, columns), found[widths * columns**2:].reshape(widths, columns), count
 
 
-def _orthonormal(raw: DataFrame, spans: list[DataFrame], widths: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+#: Part of a column's square outside the spans from which on it is the difference of two products; less is measured on the columns themselves.
+CANCELLED = 1e-8
+
+
+def _orthonormal(raw: DataFrame, spans: list[DataFrame], widths: int, again: bool = False) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """The columns less their means and their share in the orthonormal ``spans``, made orthonormal.
 
-    Returns the frame, the shares C and R with ``centred raw = spans C + frame R``, by width.
+    Returns the frame, the shares C and R with ``centred raw = spans C + frame R``, by width. Of columns that lie nearly whole in
+    the spans the rest is formed first and then taken in turn, so R is right however small it is against C.
     """
     g, sums, n = _joint_gram([*spans, raw], widths)
     p = g.shape[1] // (len(spans) + 1)
@@ -311,10 +319,13 @@ def _orthonormal(raw: DataFrame, spans: list[DataFrame], widths: int) -> tuple[D
     mean = sums[:, m:] / n
     share = g[:, :m, m:] - n * (sums[:, :m] / n)[:, :, None] * mean[:, None, :]
     left = g[:, m:, m:] - n * mean[:, :, None] * mean[:, None, :]
-    size = np.trace(left, axis1=1, axis2=2)
-    left = left - share.transpose(0, 2, 1) @ g[:, :m, :m] @ share
-    r = np.stack([_factor(a, t) for a, t in zip(left, size)])
-    inverse = np.linalg.inv(r)
+    size = np.sqrt(np.maximum(np.diagonal(left, axis1=1, axis2=2), 0.0))
+    size = np.where(size > 0, size, 1.0)
+    left = (left - share.transpose(0, 2, 1) @ g[:, :m, :m] @ share) / size[:, :, None] / size[:, None, :]
+    cancelled = bool(spans) and not again and np.linalg.eigvalsh((left + left.transpose(0, 2, 1)) / 2).min() <= CANCELLED
+    if not cancelled:
+        r = np.stack([_factor(a) for a in left]) * size[:, None, :]
+        inverse = np.linalg.inv(r)
     joined = raw.withColumnRenamed("q", "raw")
     for k, span in enumerate(spans):
         joined = joined.join(span.select("block", F.col("q").alias(f"q{k}")), "block")
@@ -323,22 +334,30 @@ def _orthonormal(raw: DataFrame, spans: list[DataFrame], widths: int) -> tuple[D
         rest = new.reshape(widths, points, -1) - mean[:, None, :]
         if blocks:
             rest = rest - np.concatenate([b.reshape(widths, points, -1) for b in blocks], axis=2) @ share
-        return rest @ inverse
+        return rest if cancelled else rest @ inverse
 
-    return stored(_map_q(joined, change, ["raw", *[f"q{k}" for k in range(len(spans))]]), "columns"), share, r
+    changed = stored(_map_q(joined, change, ["raw", *[f"q{k}" for k in range(len(spans))]]), "columns")
+    if not cancelled:
+        return changed, share, r
+    frame, more, r = _orthonormal(changed, spans, widths, True)
+    discard(changed)
+    return frame, share + more, r
 
 
-def _factor(g: np.ndarray, size: float) -> np.ndarray:
-    """Upper R with ``R'R = g`` but for directions that are zero against ``size``."""
+def _factor(g: np.ndarray) -> np.ndarray:
+    """Upper R with ``R'R = g`` but for directions that are zero; columns behind ``g`` had length 1."""
     values, basis = np.linalg.eigh((g + g.T) / 2)
-    lifted = basis * np.maximum(values, 1e-12 * size + 1e-300) @ basis.T
+    lifted = basis * np.maximum(values, 1e-12) @ basis.T
     return np.linalg.cholesky((lifted + lifted.T) / 2).T
 
 
 def kernel_times(points: DataFrame, q: DataFrame, sigmas: list[float], block: int = BLOCK) -> DataFrame:
     """The RBF kernel of each width times that width's columns ``q``; all widths share a tile's distances."""
     def kernel(d2):
-        return np.stack([np.exp(-d2 / sigma**2) for sigma in sigmas])
+        out = np.empty((len(sigmas), *d2.shape))
+        for tile, sigma in zip(out, sigmas):
+            np.exp(np.multiply(d2, -1 / sigma**2, out=tile), out=tile)
+        return out
 
     def rows_of(k, _, other):
         return np.concatenate([tile @ part for tile, part in zip(k, np.split(other, len(sigmas), axis=1))], axis=1)
@@ -435,13 +454,14 @@ def residuals(df: DataFrame, id: str, vec: str, sigma: float, values: list[float
         F.first("ids").alias("ids"), F.flatten(F.sort_array(F.collect_list(F.struct("p", "component")))["component"]).alias("q"))  # a block has a fixed size
     q = stored(q, "components")
     image = kernel_times(points, q, [sigma], block)
-    g, sums, n = _joint_gram([q, image], 1)
-    for frame in (points, q, image):
+    lam = np.array(values)
+    joined = image.withColumnRenamed("q", "image").join(q.select("block", "q"), "block")
+    left = stored(_map_q(joined, lambda size, image, q: image.reshape(size, -1) - lam * q.reshape(size, -1), ["image", "q"]), "left")
+    g, sums, n = _joint_gram([q, left], 1)
+    for frame in (points, q, image, left):
         discard(frame)
     mean = sums[0] / n
     g = g[0] - n * np.outer(mean, mean)
-    lam = np.array(values)
-    own, cross, square = np.diag(g)[:d], np.diag(g[:d, d:]), np.diag(g)[d:]
-    rest = np.sqrt(np.maximum(square - 2 * lam * cross + lam**2 * own, 0.0))
+    own, rest = np.diag(g)[:d], np.sqrt(np.maximum(np.diag(g)[d:], 0.0))
     rows = [(k, float(lam[k]), float(np.sqrt(own[k])), float(mean[k]), float(rest[k])) for k in range(d)]
     return df.sparkSession.createDataFrame(rows, "k int, value double, length double, mean double, residual double")
