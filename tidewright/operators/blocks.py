@@ -368,14 +368,28 @@ def kernel_times(points: DataFrame, q: DataFrame, sigmas: list[float], block: in
     return stored(_map_q(sums, lambda size, v: v.reshape(size, len(sigmas), -1).transpose(1, 0, 2), ["s"]), "product")
 
 
-def _ritz(g: np.ndarray, shares: list[np.ndarray], r: list[np.ndarray], d: int) -> np.ndarray:
-    """Coefficients of the best ``d`` vectors in the span of the first blocks, from products of all blocks."""
+def _image(shares: list[np.ndarray], r: list[np.ndarray]) -> np.ndarray:
+    """The kernel times each block by blocks: those up to k times the share of block k, and block k + 1 times its R."""
     p = len(r[0])
-    m = len(r) * p
-    image = np.zeros((m + p, m))  # the kernel times block k is the blocks up to k times its share, and block k + 1 times R
+    image = np.zeros(((len(r) + 1) * p, len(r) * p))
     for k, (share, factor) in enumerate(zip(shares, r)):
         image[: (k + 1) * p, k * p: (k + 1) * p] = share
         image[(k + 1) * p: (k + 2) * p, k * p: (k + 1) * p] = factor
+    return image
+
+
+def _expected_rest(shares: list[np.ndarray], r: list[np.ndarray], d: int) -> float:
+    """What a product would leave of the best ``d`` vectors in the span of the first blocks, were all blocks orthonormal."""
+    image = _image(shares, r)
+    m = image.shape[1]
+    _, u = np.linalg.eigh((image[:m] + image[:m].T) / 2)
+    return float(np.linalg.norm(image[m:] @ u[:, ::-1][:, :d], axis=0).max())
+
+
+def _ritz(g: np.ndarray, shares: list[np.ndarray], r: list[np.ndarray], d: int) -> np.ndarray:
+    """Coefficients of the best ``d`` vectors in the span of the first blocks, from products of all blocks."""
+    m = len(r) * len(r[0])
+    image = _image(shares, r)
     scale, basis = np.linalg.eigh(g[:m, :m])
     keep = scale > 1e-6 * scale[-1]
     white = basis[:, keep] / np.sqrt(scale[keep])
@@ -389,7 +403,7 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
                block: int = BLOCK, seed: int = 0) -> list[tuple[list[float], DataFrame]]:
     """For each width the leading ``d`` eigenvalues of the centred RBF kernel and a frame ``id, component``.
 
-    A restarted block Lanczos iteration on ``d + extra`` columns: a cycle multiplies ``steps`` times, keeps the columns orthogonal and takes the
+    A restarted block Lanczos iteration on ``d + extra`` columns: a cycle multiplies ``steps`` times or until its span should hold them, keeps the columns orthogonal and takes the
     best vectors of their span. It ends when every ``|K q - value q|`` is at most ``tol`` (q of length 1), which the next product tells. Centring is a
     correction of the columns, not of the kernel; tiles are computed, multiplied and dropped. The driver sees matrices of (steps + 1) * (d + extra) columns.
     """
@@ -421,6 +435,8 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
                 rest = np.sqrt((inside**2).sum(axis=1) + (r**2).sum(axis=1))[:, :d]
                 if rest.max() <= tol:
                     break
+            elif max(_expected_rest([c[s] for c in shares], [f[s] for f in factors], d) for s in range(widths)) <= tol / 2:
+                break  # the next product tells
         if rest.max() <= tol:
             break
         g, _, _ = _joint_gram(spans, widths)
