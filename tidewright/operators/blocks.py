@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.keys import hash_unit
@@ -463,10 +463,15 @@ def kernel_pca(df: DataFrame, id: str, vec: str, sigmas: list[float], d: int, to
 
 
 def residuals(df: DataFrame, id: str, vec: str, sigma: float, values: list[float], components: DataFrame, block: int = BLOCK) -> DataFrame:
-    """For each component its length, its mean and ``|K q - value q|`` by one more product with the centred kernel."""
+    """For each component its length, its mean and ``|K q - value q|`` by one more product with the centred kernel.
+
+    Rows of one id are taken as copies of a point, each with one of the id's rows of ``components``.
+    """
     points = stored(point_blocks(df, id, vec, block), "points")
     d = len(values)
-    q = points.select("block", "ids", F.posexplode("ids").alias("p", "id")).join(components, "id").groupBy("block").agg(
+    places = points.select("block", "ids", F.posexplode("ids").alias("p", "id")).withColumn("copy", F.row_number().over(Window.partitionBy("id").orderBy("block", "p")))
+    given = components.select(F.col("id").alias("of"), "component", F.row_number().over(Window.partitionBy("id").orderBy("component")).alias("number"))
+    q = places.join(given, F.col("id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("number"))).groupBy("block").agg(
         F.first("ids").alias("ids"), F.flatten(F.sort_array(F.collect_list(F.struct("p", "component")))["component"]).alias("q"))  # a block has a fixed size
     q = stored(q, "components")
     image = kernel_times(points, q, [sigma], block)
