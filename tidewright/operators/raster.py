@@ -150,7 +150,7 @@ def _plain_pools(values, side, g, sizes) -> list:
     return [F.array(*[bin_max(i, j, n) for i in range(n) for j in range(n)]) for n in sizes]
 
 
-def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str = "img_id") -> DataFrame:
+def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str = "img_id", columns: bool = True) -> DataFrame:
     """Largest value in each bin of a box crop, for pyramids of ``sizes`` bins per axis.
 
     ``grids`` has one row per image and channel with ``values``, the cells of
@@ -159,13 +159,13 @@ def pyramid_pool(grids: DataFrame, boxes: DataFrame, sizes=(1, 3, 6), image: str
     length m covers floor(i m / n) .. ceil((i + 1) m / n). A grid is a short
     array, so pooling is per (box, channel) and the only shuffle is the join of
     boxes with their image. Boxes inside whole square grids of numbers are pooled
-    by columns of many boxes, any other row by an expression of its own.
+    by columns of many boxes, any other row (without ``columns`` each) by an expression of its own.
     """
     joined = boxes.join(grids, image)
     g = F.col("grid")
     pooled = _plain_pools(F.col("values"), F.col("side"), g, sizes)
     kind = joined.schema["values"].dataType.elementType.simpleString()
-    if kind in NUMBERS:
+    if columns and kind in NUMBERS:
         joined = joined.withColumn("_pools", _pooler(kind, sizes)(_whole(F.col("values"), F.col("side"), g), "side", g["x0"], g["y0"], g["x1"], g["y1"]))
         pooled = [F.when(F.col("_pools").isNull(), p).otherwise(F.col(f"_pools.pool_{n}")) for p, n in zip(pooled, sizes)]
     return joined.select(image, "box_id", "channel", *[p.alias(f"pool_{n}") for p, n in zip(pooled, sizes)])

@@ -121,7 +121,7 @@ def pyramid_of_boxes(spark, folder):
         "vec_id as img_id", "vec_id as box_id",
         "named_struct('x0', cast(vec_id % 3 as int), 'y0', cast(vec_id % 2 as int), 'x1', cast(5 + vec_id % 4 as int), 'y1', cast(6 + vec_id % 3 as int)) as grid",
     )
-    return pyramid_pool(_grids(spark, folder), placed).select("img_id", "pool_1", "pool_3", "pool_6")
+    return pyramid_pool(_grids(spark, folder), placed, columns=False).select("img_id", "pool_1", "pool_3", "pool_6")
 
 
 @query()
